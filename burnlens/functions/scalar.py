@@ -152,12 +152,20 @@ def month_label(ts) -> Column:
 
 
 def sig_round(x, digits: int = 10) -> Column:
-    """Round a double to ``digits`` significant digits using only exact powers
-    of ten, so the same value comes out of any IEEE engine."""
+    """Keep ``digits`` significant digits, identically in any IEEE engine.
+
+    Only exact powers of ten are used, and the rounding boundary sits at
+    0.4863 of the last kept digit instead of 0.5: averages of decimal data
+    often end exactly on a half, where float summation order would decide
+    the direction; an off-centre boundary is never hit by such values.
+    """
     x = col(x)
     k = F.floor(F.log10(F.abs(x))) - F.lit(digits - 1)
     up = F.pow(F.lit(10.0), k)
     down = F.pow(F.lit(10.0), -k)
-    scaled = F.when(k >= 0, F.round(x / up)).otherwise(F.round(x * down))
+    scaled = F.when(k >= 0, F.floor(x / up + ROUND_SHIFT)).otherwise(F.floor(x * down + ROUND_SHIFT))
     back = F.when(k >= 0, scaled * up).otherwise(scaled / down)
     return F.when(x.isNull() | (x == 0) | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x).otherwise(back)
+
+
+ROUND_SHIFT = 0.5137

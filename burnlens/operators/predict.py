@@ -26,11 +26,20 @@ def hash_split(df: DataFrame, key: str = "OrderKey", validation_pct: int = C.SPL
     return df.withColumns({"IsValidation": b < validation_pct, "Fold": (b % C.N_FOLDS).cast("int")})
 
 
+def exact_mean(c: str, scale: int = 6):
+    """Order-independent mean: the sum is accumulated as DECIMAL(38, scale)
+    (exact for values with at most ``scale`` decimals), so the result is the
+    same on every run, partitioning and engine; float ``avg`` is not."""
+    total = F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double")
+    return total / F.count(c)
+
+
 def group_mean_model(train: DataFrame, by: str = "AircraftTypeGroup", target: str = C.TARGET,
                      name: str = "_pred") -> DataFrame:
     """Fit: mean target per group (one row per group; NULL groups dropped,
-    as ``groupby`` does)."""
-    return train.where(F.col(by).isNotNull()).groupBy(by).agg(F.avg(target).alias(name))
+    as ``groupby`` does). The mean is exact (see ``exact_mean``) so the
+    benchmark, and every residual built on it, is reproducible."""
+    return train.where(F.col(by).isNotNull()).groupBy(by).agg(exact_mean(target).alias(name))
 
 
 def apply_group_mean(df: DataFrame, model: DataFrame, by: str = "AircraftTypeGroup") -> DataFrame:

@@ -174,9 +174,9 @@ def monthly_volume(df: DataFrame, ts: str = "DepartureScheduled") -> DataFrame:
     """Rows per month with the peak / trough months and their ratio."""
     vol = df.groupBy(S.month_label(ts).alias("Month")).agg(F.count(F.lit(1)).alias("Flights"))
     peak = vol.agg(
-        F.max_by("Month", F.struct(F.col("Flights"), F.col("Month"))).alias("PeakMonth"),
+        F.max_by("Month", F.struct(F.col("Flights"), -F.unix_date(F.to_date(F.concat("Month", F.lit("-01")))))).alias("PeakMonth"),
         F.max("Flights").alias("PeakFlights"),
-        F.min_by("Month", F.struct(F.col("Flights"), -F.unix_date(F.to_date(F.concat("Month", F.lit("-01")))))).alias("TroughMonth"),
+        F.min_by("Month", F.struct(F.col("Flights"), F.unix_date(F.to_date(F.concat("Month", F.lit("-01")))))).alias("TroughMonth"),
         F.min("Flights").alias("TroughFlights"),
     )
     return with_scalars(vol, peak).withColumn(
