@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import with_scalars
+from ..operators.sizing import measured_broadcast, with_scalars
 
 DEFAULT_ACCURACY = 10_000
 
@@ -73,7 +73,7 @@ def exact_quantiles(
     def attach(frame: DataFrame, st: DataFrame) -> DataFrame:
         if not by:
             return with_scalars(frame, st)
-        r = st.select(*[F.col(c).alias(f"_j_{c}") for c in by], *[c for c in st.columns if c not in by])
+        r = measured_broadcast(st.select(*[F.col(c).alias(f"_j_{c}") for c in by], *[c for c in st.columns if c not in by]))
         cond = [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in by]
         return frame.join(r, cond, "inner").drop(*[f"_j_{c}" for c in by])
 

@@ -13,13 +13,14 @@ dropped, as pandas ``groupby`` does.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import scalar as S
 from ..functions.quantile import exact_quantiles
-from .sizing import with_scalars
+from .sizing import measured_broadcast, with_scalars
 
 ALL_KEYS = [
     "ScheduledRoute", "AircraftTypeGroup", "Carrier", "Origin", "Destination",
@@ -77,7 +78,7 @@ def segment_zscores(df: DataFrame, specs: list | None = None, value: str = "Resi
     them when small and falls back to a shuffle join otherwise.
     """
     specs = specs or C.Z_SPECS
-    stats = segment_stats(df, specs, value, min_size)
+    stats = measured_broadcast(segment_stats(df, specs, value, min_size))
     out = with_scalars(df, global_residual_stats(df, value))
     for i, (label, cols) in enumerate(specs):
         lvl = stats.where(F.col("SegmentType") == label).select(
@@ -120,6 +121,8 @@ def opportunity_score(frame: DataFrame, cost: str, rate: str, volume: str, std:
     (0.5 + 0.5 * stability), stability = clip(1 - std / (median std + 1e-9), 0, 1)
     with NULL -> 0; the median is taken over ``frame`` (per ``by`` group)."""
     by = list(by or [])
+    # one row per segment: cached so the median passes do not recompute it
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     med = exact_quantiles(frame, std, {"_std_median": 0.5}, by=by)
     if by:
         med = med.select(*[F.col(c).alias(f"_j_{c}") for c in by], "_std_median")
@@ -264,8 +267,9 @@ def segment_opportunity(flights: DataFrame, specs: list | None = None, econ: C.E
     long = segment_long(flights, specs, SEGMENT_MEASURES)
     keys = [c for c in long.columns if c in ALL_KEYS]
     gk = ["SegmentType", "SegmentName"]
-    agg = long.groupBy(*gk).agg(
-        *[F.first(k).alias(k) for k in keys],
+    # the key columns are functions of SegmentName: grouping by them too keeps
+    # the groups and keeps the aggregate on the hash (not sort) path
+    agg = long.groupBy(*gk, *keys).agg(
         F.count(F.lit(1)).alias("FlightCount"),
         F.avg("ExcessBurn_kg").alias("MeanExcessBurn"),
         _rate(F.col("ExcessBurn_kg") > 0).alias("PositiveExcessRate"),
@@ -305,8 +309,7 @@ def anomaly_monitor(flights: DataFrame, specs: list | None = None) -> DataFrame:
         ["IsAnomaly", "IsOverburnAnomaly", "IsUnderburnAnomaly", "ExcessBurn_kg", "Residual_kg", "OpsPlanningGap_kg"],
     )
     keys = [c for c in long.columns if c in ALL_KEYS]
-    mon = long.groupBy("SegmentType", "SegmentName").agg(
-        *[F.first(k).alias(k) for k in keys],
+    mon = long.groupBy("SegmentType", "SegmentName", *keys).agg(
         F.count(F.lit(1)).alias("FlightCount"),
         F.count_if("IsAnomaly").alias("AnomalyCount"),
         F.count_if("IsOverburnAnomaly").alias("OverburnCount"),

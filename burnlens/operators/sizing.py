@@ -9,9 +9,14 @@ broadcast at runtime only if the measured size is under
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A per-key table is broadcast only when its measured row count is at most
+# this many rows (about 20-40 MB for the narrow stats tables used here).
+STATS_BROADCAST_ROWS = 200_000
+
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
@@ -23,6 +28,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return df
 
 
+def measured_broadcast(df: DataFrame, max_rows: int = STATS_BROADCAST_ROWS) -> DataFrame:
+    """For derived per-key tables (one row per group) whose size has no
+    static bound: persist, count, and broadcast only under ``max_rows``;
+    above it the plain (cached) frame goes into a shuffle join, where AQE
+    can still split skewed partitions. The count also fills the cache, so
+    the aggregate is not recomputed by the join."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if df.count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach every column of a 1-row aggregate to each row of ``df``.
 

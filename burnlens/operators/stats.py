@@ -14,26 +14,31 @@ from ..functions.quantile import exact_quantiles
 from .sizing import with_scalars
 
 
-def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
+def corr_long(df: DataFrame, cols: list[str], chunk: int = 9) -> DataFrame:
     """L1: Pearson r for every ordered pair, pairwise-complete rows (NULLs
-    skipped per pair, like pandas), in one aggregate pass; long (a, b, r)."""
-    exprs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i < j:
-                exprs.append(F.corr(a, b).alias(f"{i}_{j}"))
-    row = df.agg(*exprs)
-    pairs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            key = f"{min(i, j)}_{max(i, j)}"
-            pairs.append((a, b, key, i == j))
-    structs = [
-        F.struct(F.lit(a).alias("FeatureA"), F.lit(b).alias("FeatureB"),
-                 (F.lit(1.0) if diag else F.col(key)).cast("double").alias("Corr"))
-        for a, b, key, diag in pairs
-    ]
-    return row.select(F.inline(F.array(*structs)))
+    skipped per pair, like pandas); long (FeatureA, FeatureB, Corr).
+
+    The k(k-1)/2 correlations are computed ``chunk`` per aggregate: one
+    aggregate with all of them outgrows the generated-code size limit and
+    runs interpreted. Each chunk is a partial aggregation (one row per task).
+    """
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
+    parts = []
+    for k in range(0, len(pairs), chunk):
+        block = pairs[k:k + chunk]
+        row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in block])
+        structs = []
+        for i, j in block:
+            r = F.col(f"c{i}_{j}")
+            structs.append(F.struct(F.lit(cols[i]).alias("FeatureA"), F.lit(cols[j]).alias("FeatureB"), r.alias("Corr")))
+            structs.append(F.struct(F.lit(cols[j]).alias("FeatureA"), F.lit(cols[i]).alias("FeatureB"), r.alias("Corr")))
+        parts.append(row.select(F.inline(F.array(*structs))))
+    spark = df.sparkSession
+    diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "FeatureA string, FeatureB string, Corr double")
+    out = diag
+    for p in parts:
+        out = out.unionByName(p)
+    return out
 
 
 def strongest_pairs(corr: DataFrame, target: str) -> DataFrame:

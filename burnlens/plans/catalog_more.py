@@ -673,40 +673,51 @@ def drift_check(spark, sf):
 _ML_CACHE: dict = {}
 
 
-def _trained(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _ML_CACHE:
-        return _ML_CACHE[key]
-    eng = _eng(spark, sf)
-    data = ml.training_frame(eng)
-    train = data.where(~F.col("IsValidation"))
-    val = data.where(F.col("IsValidation"))
-    models = [ml.ridge_cv(train), ml.rf_cv(train), ml.gbt(train)]
-    _ML_CACHE[key] = (data, train, val, models)
+def _data(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "data")
+    if key not in _ML_CACHE:
+        data = ml.training_frame(_eng(spark, sf))
+        _ML_CACHE[key] = (data, data.where(~F.col("IsValidation")), data.where(F.col("IsValidation")))
     return _ML_CACHE[key]
 
 
+def _model(spark, sf, which: str):
+    """Each learner is trained once per session and shared by the queries."""
+    key = (spark.sparkContext.applicationId, sf, which)
+    if key not in _ML_CACHE:
+        _, train, _ = _data(spark, sf)
+        _ML_CACHE[key] = {"ridge": ml.ridge_cv, "rf": ml.rf_cv, "gbt": ml.gbt}[which](train)
+    return _ML_CACHE[key]
+
+
+def _trained(spark, sf):
+    data, train, val = _data(spark, sf)
+    return data, train, val, [_model(spark, sf, w) for w in ("ridge", "rf", "gbt")]
+
+
+def clear_models() -> None:
+    _ML_CACHE.clear()
+
+
 @query("ridge_cv")
 def ridge_cv(spark, sf):
     """ML4/ML8/ML9: ridge alpha search log (alpha, CV RMSE)."""
-    _, _, _, models = _trained(spark, sf)
-    rows = [("Ridge Regression", float(p["alpha"]), float(m)) for p, m in models[0].search]
+    rows = [("Ridge Regression", float(p["alpha"]), float(m)) for p, m in _model(spark, sf, "ridge").search]
     return spark.createDataFrame(rows, "Model string, Alpha double, CV_RMSE double")
 
 
 @query("rf_cv")
 def rf_cv(spark, sf):
     """ML5/ML8/ML9: random-forest configuration search log."""
-    _, _, _, models = _trained(spark, sf)
-    rows = [("Random Forest", str(sorted(p.items())), float(m)) for p, m in models[1].search]
+    rows = [("Random Forest", str(sorted(p.items())), float(m)) for p, m in _model(spark, sf, "rf").search]
     return spark.createDataFrame(rows, "Model string, Params string, CV_RMSE double")
 
 
 @query("gbt")
 def gbt(spark, sf):
     """ML6/ML7: boosted-tree predictions on the validation split."""
-    _, _, val, models = _trained(spark, sf)
-    return models[2].model.transform(val).select("OrderKey", "label", "prediction")
+    _, _, val = _data(spark, sf)
+    return _model(spark, sf, "gbt").model.transform(val).select("OrderKey", "label", "prediction")
 
 
 @query("scoreboard")

@@ -45,23 +45,36 @@ def engineered(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFram
     return df
 
 
-def scored_plan(eng: DataFrame, econ: C.Economics = C.Economics(), rules: C.AnomalyRules = C.AnomalyRules()) -> DataFrame:
-    """Stage 6 flight-level layer over any engineered frame."""
+def zscored_plan(eng: DataFrame, econ: C.Economics = C.Economics(), rules: C.AnomalyRules = C.AnomalyRules()) -> DataFrame:
+    """Stage 6a: benchmark, residuals, money / CO2, bands, segment z-scores."""
     df = predict.with_benchmark(eng)
     df = value.flight_residuals(df)
     df = value.emissions_and_cost(df, econ)
     df = value.bands(df)
-    df = segments.segment_zscores(df, rules.z_specs, min_size=rules.min_segment)
-    df = value.classify_anomalies(df, rules)
-    return value.annualise(df, econ)
+    return segments.segment_zscores(df, rules.z_specs, min_size=rules.min_segment)
+
+
+def classified_plan(z: DataFrame, econ: C.Economics = C.Economics(), rules: C.AnomalyRules = C.AnomalyRules()) -> DataFrame:
+    """Stage 6b: anomaly labels (global exact 99.5 % cut) and annualisation."""
+    return value.annualise(value.classify_anomalies(z, rules), econ)
+
+
+def scored_plan(eng: DataFrame, econ: C.Economics = C.Economics(), rules: C.AnomalyRules = C.AnomalyRules()) -> DataFrame:
+    """Stage 6 flight-level layer over any engineered frame (lazy, unwritten)."""
+    return classified_plan(zscored_plan(eng, econ, rules), econ, rules)
 
 
 def scored(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
-    """Stage 6 flight_analytics (all engineered rows, with prediction)."""
+    """Stage 6 flight_analytics (all engineered rows, with prediction).
+
+    Written in two steps: the z-scored fact first, so that the three passes
+    of the global exact quantile scan Parquet instead of re-running the
+    benchmark and segment joins inside each pass."""
     k = _key(spark, sf_dir, "scored")
     if reuse and k in _CACHE:
         return _CACHE[k]
-    df = materialize(scored_plan(engineered(spark, sf_dir, reuse)), "scored")
+    z = materialize(zscored_plan(engineered(spark, sf_dir, reuse)), "zscored")
+    df = materialize(classified_plan(z), "scored")
     _CACHE[k] = df
     return df
 

@@ -21,6 +21,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -39,6 +40,18 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # No broadcast from planner estimates: after column pruning and
+    # generators they can be off by orders of magnitude (a 6.6M-row frame
+    # was estimated under 10 MB). Broadcasts come from explicit, size-checked
+    # hints or from AQE on measured shuffle sizes.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+    # Sketch aggregates (percentile_approx) over thousands of groups per task
+    # stay hash-based instead of sorting every input row.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
+    # Wide fact rows (70+ columns) make one whole-stage method too large for
+    # the JIT; above 48 fields operators are generated separately.
+    spark.conf.set("spark.sql.codegen.maxFields", "48")
     checkpoint_dir(spark)
 
 
