@@ -45,12 +45,15 @@ def exact_quantiles(
     """One row per group of ``by`` (one row overall when empty) with a column
     per entry of ``probs`` holding the exact linear-interpolated quantile.
 
-    Groups whose values are all NULL get NULL quantiles. NULL group keys form
+    Groups whose values are all NULL / NaN get no row (callers left-join). NULL group keys form
     their own group, as in ``groupBy``; callers drop them when needed.
     """
     by = list(by or [])
     names = list(probs)
-    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    # NULL and NaN are both "missing" (pandas semantics)
+    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))
+    )
 
     # pass 1: count + sketch brackets
     pct = []
@@ -101,19 +104,19 @@ def exact_quantiles(
         keep = F.when(F.col(f"_ok{i}"), inside).otherwise(F.lit(True))
         offset = F.when(F.col(f"_ok{i}"), F.col(f"_below{i}")).otherwise(F.lit(0))
         picks.append(
-            F.when(keep, F.struct(F.lit(i).alias("q"), offset.alias("off"), F.col(f"_k{i}").alias("k")))
+            F.when(keep, F.struct(F.lit(i).alias("_qi"), offset.alias("_off"), F.col(f"_k{i}").alias("_kth")))
         )
     exploded = with_st2.select(
         *by, "_v", F.explode(F.filter(F.array(*picks), lambda s: s.isNotNull())).alias("_p")
-    ).select(*by, "_v", "_p.q", "_p.off", "_p.k")
-    w = Window.partitionBy(*by, "q").orderBy("_v")
-    ranked = exploded.withColumn("_r", F.col("off") + F.row_number().over(w) - 1).where(
-        (F.col("_r") == F.col("k")) | (F.col("_r") == F.col("k") + 1)
+    ).select(*by, "_v", "_p._qi", "_p._off", "_p._kth")
+    w = Window.partitionBy(*by, "_qi").orderBy("_v")
+    ranked = exploded.withColumn("_r", F.col("_off") + F.row_number().over(w) - 1).where(
+        (F.col("_r") == F.col("_kth")) | (F.col("_r") == F.col("_kth") + 1)
     )
     agg3 = []
     for i in range(len(names)):
-        agg3.append(F.max(F.when((F.col("q") == i) & (F.col("_r") == F.col("k")), F.col("_v"))).alias(f"_a{i}"))
-        agg3.append(F.max(F.when((F.col("q") == i) & (F.col("_r") == F.col("k") + 1), F.col("_v"))).alias(f"_b{i}"))
+        agg3.append(F.max(F.when((F.col("_qi") == i) & (F.col("_r") == F.col("_kth")), F.col("_v"))).alias(f"_a{i}"))
+        agg3.append(F.max(F.when((F.col("_qi") == i) & (F.col("_r") == F.col("_kth") + 1), F.col("_v"))).alias(f"_b{i}"))
     picked = ranked.groupBy(*by).agg(*agg3) if by else ranked.agg(*agg3)
 
     out = attach(stats2, picked) if by else with_scalars(stats2, picked)

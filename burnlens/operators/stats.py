@@ -23,6 +23,8 @@ def corr_long(df: DataFrame, cols: list[str], chunk: int = 9) -> DataFrame:
     runs interpreted. Each chunk is a partial aggregation (one row per task).
     """
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
+    # NaN counts as missing, as in pandas
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     parts = []
     for k in range(0, len(pairs), chunk):
         block = pairs[k:k + chunk]
