@@ -686,7 +686,7 @@ def _model(spark, sf, which: str):
     key = (spark.sparkContext.applicationId, sf, which)
     if key not in _ML_CACHE:
         _, train, _ = _data(spark, sf)
-        _ML_CACHE[key] = {"ridge": ml.ridge_cv, "rf": ml.rf_cv, "gbt": ml.gbt}[which](train)
+        _ML_CACHE[key] = {"ridge": ml.ridge_closed_form_cv, "rf": ml.rf_cv, "gbt": ml.gbt}[which](train)
     return _ML_CACHE[key]
 
 
@@ -750,6 +750,8 @@ def batch_score(spark, sf):
     paths = []
     for name in order:
         p = f"{checkpoint_dir(spark)}/burnlens/models/{name.replace(' ', '_')}-{spark.sparkContext.applicationId}"
-        paths.append(ml.save_model(by_name[name], p))
+        if isinstance(by_name[name].model, ml.LinearModel):
+            p += ".linear"
+        paths.append(ml.save_model(by_name[name], p, spark))
     scoring = ml.impute_for_scoring(val.drop("label", C.TARGET))
     return ml.batch_score(paths, scoring)
