@@ -27,7 +27,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("BURNLENS_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("BURNLENS_DRIVER_MEMORY", "6g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
