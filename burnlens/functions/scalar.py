@@ -151,7 +151,7 @@ def month_label(ts) -> Column:
     return F.date_format(col(ts), "yyyy-MM")
 
 
-def sig_round(x, digits: int = 10) -> Column:
+def sig_round(x, digits: int = 9) -> Column:
     """Keep ``digits`` significant digits, identically in any IEEE engine.
 
     Only exact powers of ten are used, and the rounding boundary sits at

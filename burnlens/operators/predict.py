@@ -45,9 +45,12 @@ def group_mean_model(train: DataFrame, by: str = "AircraftTypeGroup", target: st
 def apply_group_mean(df: DataFrame, model: DataFrame, by: str = "AircraftTypeGroup") -> DataFrame:
     """Predict: left lookup of the group mean (NULL for unseen groups).
 
-    The model has one row per group value; its size is measured at runtime
-    by AQE, which broadcasts it when small and otherwise shuffles."""
-    return df.join(model, by, "left")
+    The model has one row per group value: it is counted and broadcast when
+    under the row bound, so the fact is streamed, not shuffled by a key
+    with a handful of values (the skew worst case)."""
+    from .sizing import measured_broadcast
+
+    return df.join(measured_broadcast(model), by, "left")
 
 
 def with_benchmark(eng: DataFrame, by: str = "AircraftTypeGroup", target: str = C.TARGET) -> DataFrame:

@@ -173,7 +173,9 @@ def box_summary(df: DataFrame, x: str, by: str) -> DataFrame:
     q = q.withColumn("IQR", F.col("Q3") - F.col("Q1")).withColumns(
         {"_lf": F.col("Q1") - 1.5 * F.col("IQR"), "_uf": F.col("Q3") + 1.5 * F.col("IQR")}
     )
-    j = d.select(by, x).join(q, by)
+    from .sizing import measured_broadcast
+
+    j = d.select(by, x).join(measured_broadcast(q), by)
     inside = (F.col(x) >= F.col("_lf")) & (F.col(x) <= F.col("_uf"))
     agg = j.groupBy(by).agg(
         F.min(F.when(inside, F.col(x))).alias("WhiskerLow"),
@@ -200,7 +202,9 @@ def top_n_per_group(df: DataFrame, group: str, order: str, n: int, tie: str | No
 
 def normalise_by_group_max(df: DataFrame, group: str, value: str) -> DataFrame:
     """Value / max(value) within group when that max is > 0."""
-    m = df.groupBy(group).agg(F.max(value).alias("_gmax"))
+    from .sizing import measured_broadcast
+
+    m = measured_broadcast(df.groupBy(group).agg(F.max(value).alias("_gmax")))
     return df.join(m, group, "left").withColumn(
         "Normalised", F.when(F.col("_gmax") > 0, F.col(value) / F.col("_gmax")).otherwise(F.col(value))
     ).drop("_gmax")
@@ -208,7 +212,9 @@ def normalise_by_group_max(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def normalise_by_total(df: DataFrame, group: str, value: str) -> DataFrame:
     """|value| / sum |value| within group."""
-    t = df.groupBy(group).agg(F.sum(F.abs(value)).alias("_tot"))
+    from .sizing import measured_broadcast
+
+    t = measured_broadcast(df.groupBy(group).agg(F.sum(F.abs(value)).alias("_tot")))
     return df.join(t, group, "left").withColumn(
         "Share", F.when(F.col("_tot") == 0, F.lit(None)).otherwise(F.abs(value) / F.col("_tot"))
     ).drop("_tot")

@@ -103,7 +103,12 @@ def route_arcs(route_err: DataFrame, min_flights: int = 5, n: int = 500) -> Data
 def routes_flown_by(route_err: DataFrame, eng: DataFrame, types: DataFrame) -> DataFrame:
     """Routes with at least one flight by one of ``types`` (a semi join;
     the type list is a frame, so its size never matters)."""
-    flown = eng.join(types, "AircraftTypeGroup", "left_semi").select("ScheduledRoute")
+    from .sizing import measured_broadcast
+
+    flown = (
+        eng.join(measured_broadcast(types), "AircraftTypeGroup", "left_semi")
+        .where(F.col("ScheduledRoute").isNotNull()).select("ScheduledRoute").distinct()
+    )
     return route_err.join(flown, "ScheduledRoute", "left_semi")
 
 
@@ -147,7 +152,6 @@ def hour_hotspots(segment_opp: DataFrame, n: int = 15) -> DataFrame:
     nb = cells.agg(F.count_distinct("HourBand").alias("_bands"))
     per = cells.groupBy("Origin").agg(
         F.sum(F.coalesce("RatePct", F.lit(0.0))).alias("_sum"),
-        F.max_by(F.col("HourBand"), F.struct(F.coalesce("RatePct", F.lit(0.0)), F.lit(0) - F.hash("HourBand"))).alias("_mb"),
         F.max(F.coalesce("RatePct", F.lit(0.0))).alias("MaxRatePct"),
     )
     per = with_scalars(per, nb).withColumn("RowMeanPct", F.col("_sum") / F.col("_bands"))

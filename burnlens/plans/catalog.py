@@ -3,7 +3,7 @@
 Each Spark callable takes ``(spark, sf_dir)`` and returns a DataFrame built
 from the driver tables (through the written stage tables of
 ``plans.stages``). Each oracle is ``BASE`` (the same stages in SQL) plus a
-body. DOUBLE outputs are rounded to 10 significant digits on both sides
+body. DOUBLE outputs are rounded to 9 significant digits on both sides
 (``sig_round`` / ``sr``) so that summation order cannot flip a hash.
 """
 
@@ -26,7 +26,7 @@ ORACLES: dict[str, str] = {}
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE column to 10 significant digits."""
+    """Round every DOUBLE column to 9 significant digits."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):

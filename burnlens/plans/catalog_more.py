@@ -446,7 +446,9 @@ def scoreboard_gaps(spark, sf):
             for k in keys:
                 nn = nn & F.col(k).isNotNull()
             fit = train.where(nn).groupBy(*keys).agg(predict.exact_mean(C.TARGET).alias("_p"))
-            p = val.join(fit, keys)
+            from ..operators.sizing import measured_broadcast
+
+            p = val.join(measured_broadcast(fit), keys)
         else:
             p = with_scalars(val, train.agg(predict.exact_mean(C.TARGET).alias("_p")))
         part = p.select(F.lit(name).alias("Model"), F.col(C.TARGET).alias("y"), F.col("_p").alias("yhat"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from .. import config as C
 
 
-def sr(expr: str, digits: int = 10) -> str:
+def sr(expr: str, digits: int = 9) -> str:
     """SQL twin of ``functions.scalar.sig_round``."""
     k = f"(floor(log10(abs({expr}))) - {digits - 1})"
     return (

@@ -49,9 +49,6 @@ def configure(spark: SparkSession) -> None:
     # Sketch aggregates (percentile_approx) over thousands of groups per task
     # stay hash-based instead of sorting every input row.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
-    # Wide fact rows (70+ columns) make one whole-stage method too large for
-    # the JIT; above 48 fields operators are generated separately.
-    spark.conf.set("spark.sql.codegen.maxFields", "48")
     checkpoint_dir(spark)
 
 
@@ -91,3 +88,19 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread an under-split input over the cluster.
+
+    A fact stored as one large file with a single row group is read by one
+    task, and broadcast joins keep it there. When the scan has fewer splits
+    than the session's default parallelism, hash-partition it (by ``keys``
+    when given) to twice that; a large input (thousands of splits) is
+    returned untouched, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    n = 2 * target
+    return df.repartition(n, *keys) if keys else df.repartition(n)

@@ -15,11 +15,12 @@ by the DuckDB oracle in ``plans/oracle.py``):
                       ZFW TOW - 3000 - l_quantity * 100; ramp TOW + l_tax * 10000
 
 Scale notes: lineitem, orders, part, supplier and customer all grow with the
-scale factor, so none is broadcast by hint; the planner/AQE picks broadcast
-only when the runtime size is measured small. orders is first reduced to the
+scale factor. Each dimension is broadcast only behind a row-count check
+(``bounded_broadcast`` reads at most bound+1 rows); above the bound it is a
+shuffle join, which is what a 100 TB run gets. orders is first reduced to the
 two columns needed and joined to customer (orders is 4x smaller than
-lineitem), so lineitem is shuffled once per remaining dimension key. nation
-(25 rows by definition) goes through ``bounded_broadcast``.
+lineitem), so lineitem is shuffled at most once per dimension key. nation
+(25 rows by definition) goes through the same check.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sizing import bounded_broadcast
+from ..session import ensure_parallelism
+
+# Dimension tables up to this many rows (a few narrow columns: tens of MB)
+# are broadcast; larger ones take a shuffle join.
+DIM_BROADCAST_ROWS = 1_000_000
 
 RAW_COLUMNS = [
     "OrderKey", "ScheduledRoute", "DepartureScheduled", "ArrivalScheduled",
@@ -47,6 +53,7 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )
+    li = ensure_parallelism(li, "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -55,7 +62,11 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
 
+    cust = bounded_broadcast(cust, DIM_BROADCAST_ROWS)
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "c_mktsegment", "c_nationkey")
+    part = bounded_broadcast(part, DIM_BROADCAST_ROWS)
+    supp = bounded_broadcast(supp, DIM_BROADCAST_ROWS)
+    oc = bounded_broadcast(oc, DIM_BROADCAST_ROWS)
     f = (
         li.join(part, li.l_partkey == part.p_partkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
