@@ -282,7 +282,9 @@ def segment_opportunity(flights: DataFrame, specs: list | None = None, econ: C.E
         F.avg("StructuralCO2_kg").alias("MeanStructuralCO2_kg"),
         F.avg("OpsPlanningGap_kg").alias("MeanOpsPlanningGap_kg"),
     )
-    med = exact_quantiles(long, "ExcessBurn_kg", {"MedianExcessBurn": 0.5}, by=gk)
+    # narrow copy of the expansion for the quantile passes: no key columns
+    narrow = segment_long(flights, specs, ["ExcessBurn_kg"], keep_keys=False)
+    med = exact_quantiles(narrow, "ExcessBurn_kg", {"MedianExcessBurn": 0.5}, by=gk)
     out = agg.join(med, gk, "left")
     out = with_scalars(out, flights.agg((F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("_scale")))
     out = out.withColumns(
