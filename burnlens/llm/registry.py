@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import simhash
+from burnlens.llm import packing, simhash
 from burnlens.llm.common import table
 
 
@@ -16,8 +16,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training sequences of 4,096 tokens from ``documents``."""
+    return packing.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {}
