@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import packing, simhash
+from burnlens.llm import packing, simhash, tokencount
 from burnlens.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op8_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text of ``documents``."""
+    return tokencount.query(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training sequences of 4,096 tokens from ``documents``."""
     return packing.query(table(spark, sf_dir, "documents"))
@@ -23,6 +28,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op8_tokencount": op8_tokencount,
     "op9_packing": op9_packing,
 }
 
