@@ -25,11 +25,11 @@ from burnlens.llm.wordhash import HashTable, prefix_sums, stretch_hash, word_bou
 #: in the library, but for one capital whose lower case lies beyond.
 RANGE_END, EXCEPT = 0x180, "İ"
 #: Entries and ids of the table, and bits of its slots.
-TABLE_STRETCHES, TABLE_IDS, TABLE_BITS = 800_000, 8_000_000, 21
+TABLE_STRETCHES, TABLE_IDS, TABLE_BITS = 400_000, 4_000_000, 20
 #: Stretches over this many bytes are never kept.
 STRETCH_BYTES = 64
 #: Bytes of text that are looked up together.
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 
 
 def _class(kinds: str) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 
 #: Words end at these bytes (the ASCII white space).
@@ -16,16 +14,17 @@ _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_table: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _size(n: int) -> int:
-    return 1 << max(16, int(n).bit_length())
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` powers at least of the base and of its inverse modulo 2**64."""
+    if len(_table[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            out = np.full(1 << max(16, int(n - 1).bit_length()), base, np.uint64)
+            out[0] = 1
+            _table[k] = np.cumprod(out)
+    return _table[0], _table[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -35,7 +34,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def prefix_sums(buf: np.ndarray) -> np.ndarray:
     """Sums of ``(byte + 1) * base**i``: the polynomial hash of any stretch is a difference of two."""
-    up, _ = _powers(_size(len(buf)))
+    up, _ = _powers(len(buf) + 1)
     out = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=out[1:])
     return out
@@ -43,7 +42,7 @@ def prefix_sums(buf: np.ndarray) -> np.ndarray:
 
 def stretch_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of ``buf[start:end]``, the same wherever the stretch stands."""
-    _, down = _powers(_size(len(sums) - 1))
+    _, down = _powers(len(sums))
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _MIX)
 
 
