@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import packing, simhash, tokencount
+from burnlens.llm import packing, simhash, tokencount, topk
 from burnlens.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best partners in ``embeddings`` of every hundredth vector."""
+    return topk.query(table(spark, sf_dir, "embeddings"))
+
+
 def op8_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text of ``documents``."""
     return tokencount.query(table(spark, sf_dir, "documents"))
@@ -28,8 +33,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_topk": op4_topk,
     "op8_tokencount": op8_tokencount,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_topk": topk.SQL,
+}
