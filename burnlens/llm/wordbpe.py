@@ -25,7 +25,7 @@ from burnlens.llm.wordhash import HashTable, prefix_sums, stretch_hash, word_bou
 #: in the library, but for one capital whose lower case lies beyond.
 RANGE_END, EXCEPT = 0x180, "İ"
 #: Entries and ids of the table, and bits of its slots.
-TABLE_STRETCHES, TABLE_IDS, TABLE_BITS = 400_000, 4_000_000, 20
+TABLE_STRETCHES, TABLE_IDS, TABLE_BITS = 800_000, 8_000_000, 21
 #: Stretches over this many bytes are never kept.
 STRETCH_BYTES = 64
 #: Bytes of text that are looked up together.
@@ -58,9 +58,9 @@ class WordBpe:
 
     def _clear(self) -> None:
         self.table = HashTable(TABLE_BITS)
-        self.first = np.zeros(1 << 16, np.int64)  # of each entry's ids
-        self.count = np.zeros(1 << 16, np.int64)
-        self.store = np.zeros(1 << 18, "<u4")
+        # An entry's ids are store[first : first + count].
+        self.first, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint32)
+        self.store = np.zeros(1 << 18, np.uint16 if len(self.closes) <= 1 << 16 else np.uint32)
         self.entries = self.stored = 0
 
     @classmethod
@@ -121,10 +121,10 @@ class WordBpe:
             self.table.put(new[keep], added[keep])
             number = number.copy()
             number[~known] = added[back]
-        counts = self.count[number]
+        counts = self.count[number].astype(np.int64)
         till = np.cumsum(counts)
         total = int(till[-1]) if len(till) else 0
-        ids = self.store[np.repeat(self.first[number] - till + counts, counts) + np.arange(total)].tobytes()
+        ids = self.store[np.repeat(self.first[number] - till + counts, counts) + np.arange(total)].astype("<u4").tobytes()
         text_end = np.cumsum([len(t) + 1 for t in texts])
         cuts = np.concatenate([[0], till])[np.searchsorted(start, text_end)] * 4
         return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
