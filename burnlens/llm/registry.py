@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import packing, simhash, tokencount, topk
+from burnlens.llm import decontaminate, packing, simhash, tokencount, topk, warc
 from burnlens.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.query(table(spark, sf_dir, "embeddings"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written as WARC archives and read back."""
+    return warc.query(table(spark, sf_dir, "pages"))
+
+
 def op8_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text of ``documents``."""
     return tokencount.query(table(spark, sf_dir, "documents"))
@@ -31,13 +36,21 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of ``documents`` that match an item of ``benchmark``."""
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
+    "op5_warc": op5_warc,
     "op8_tokencount": op8_tokencount,
     "op9_packing": op9_packing,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op4_topk": topk.SQL,
+    "op5_warc": warc.SQL,
 }
