@@ -7,10 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import decontaminate, packing, simhash, tokencount, topk, warc
+from burnlens.llm import decontaminate, packing, pii, simhash, tokencount, topk, warc
 from burnlens.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``."""
+    return pii.query(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of ``documents`` by SimHash."""
     return simhash.query(table(spark, sf_dir, "documents"))
@@ -42,6 +47,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
     "op5_warc": op5_warc,
