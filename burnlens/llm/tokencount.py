@@ -1,7 +1,7 @@
 """Token counts of whole texts, huge documents by overlap resynchronisation.
 
-A text of up to ``chunk`` characters is one library call.  A longer one is
-encoded as overlapping chunks with offsets, and neighbours are spliced at a
+A text of up to ``chunk`` characters is counted by stretches that the library has
+encoded before (``bytebpe``) or is one library call.  A longer one is encoded as overlapping chunks with offsets, and neighbours are spliced at a
 boundary that is proven to be one of the whole text:
 
 * the pre-tokenizer scans from left to right and what it cuts after a word
@@ -33,20 +33,19 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from burnlens.llm.bytebpe import ByteBpeCounts
 from burnlens.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 #: Characters of a chunk, of the overlap at first, and of the library's look-ahead at most.
 CHUNK, OVERLAP, MARGIN = 32_768, 256, 32
-#: Characters of the texts in one library call.
-CALL_CHARS = 1 << 20
 
-_open: dict[str, object] = {}
+_open: dict[str, tuple[object, ByteBpeCounts]] = {}
 
 
 def library(path: str):
-    """This process's tokenizer for ``path``."""
+    """This process's tokenizer for ``path`` and its table of counts."""
     if path not in _open:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -54,7 +53,7 @@ def library(path: str):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        _open[path] = tokenizer
+        _open[path] = (tokenizer, ByteBpeCounts(tokenizer))
     return _open[path]
 
 
@@ -104,27 +103,10 @@ def spliced(text: str, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP, ma
     yield left.ids[left.tokens_before(proven) :]
 
 
-def counts(texts: list[str], tokenizer, chunk: int = CHUNK) -> list[int]:
-    out = [0] * len(texts)
-    held: list[int] = []
-    size = 0
-
-    def close() -> None:
-        for k, e in zip(held, tokenizer.encode_batch_fast([texts[k] for k in held], add_special_tokens=False)):
-            out[k] = len(e)
-        held.clear()
-
-    for k, text in enumerate(texts):
-        if len(text) > chunk:
-            out[k] = sum(map(len, spliced(text, tokenizer, chunk)))
-            continue
-        held.append(k)
-        size += len(text)
-        if size > CALL_CHARS:
-            close()
-            size = 0
-    close()
-    return out
+def counts(texts: list[str], tokenizer, table: ByteBpeCounts, chunk: int = CHUNK) -> list[int]:
+    short = [k for k, t in enumerate(texts) if len(t) <= chunk]
+    known = dict(zip(short, table.counts([texts[k] for k in short])))
+    return [n if (n := known.get(k)) is not None else sum(map(len, spliced(t, tokenizer, chunk))) for k, t in enumerate(texts)]
 
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -132,10 +114,10 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = library(path)
+        tokenizer, table = library(path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            n = np.array(counts(texts, tokenizer), np.int64)
+            n = np.array(counts(texts, tokenizer, table), np.int64)
             size = np.array([len(t) if t.isascii() else len(t.encode()) for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(n), pa.array(n > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
