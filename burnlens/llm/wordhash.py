@@ -46,12 +46,17 @@ def stretch_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _MIX)
 
 
+def table_bounds(buf: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that ``inside`` (256 truth values) has."""
+    within = np.zeros(len(buf) + 2, np.int8)
+    within[1:-1] = inside[buf]
+    edge = np.diff(within)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of ``buf``."""
-    inside = np.zeros(len(buf) + 2, np.int8)
-    inside[1:-1] = ~SPACE[buf]
-    edge = np.diff(inside)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return table_bounds(buf, ~SPACE)
 
 
 class HashTable:
