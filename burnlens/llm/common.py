@@ -12,13 +12,22 @@ from pyspark.sql import functions as F
 
 from burnlens.session import checkpoint_dir, materialize
 
-__all__ = ["checkpoint_dir", "components", "documents", "forest", "map_arrow", "materialize", "table", "texts"]
+BATCH_ROWS = 1024
+
+__all__ = ["checkpoint_dir", "components", "documents", "forest", "map_arrow", "materialize", "small_batches", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows from here on: the default of 10,000
+    whole documents takes several copies of tens of MB in every task."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def documents(docs: DataFrame, *more: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id long, text string)`` plus ``more``; a null text counts as empty.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents
+from burnlens.llm.common import documents, small_batches
 
 CHARS_PER_ERROR = 10
 #: Characters of the items in one block.
@@ -227,6 +227,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_error: in
 
         return rows.mapInArrow(run, rows.schema)
 
+    small_batches(docs.sparkSession)
     return reduce(one, blocks(benchmark, block_chars), docs)
 
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents
+from burnlens.llm.common import documents, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)  # label of what is no personal data
@@ -362,6 +362,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 def redact(docs: DataFrame, model: Field | None = None, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
     """All rows and columns of ``docs``, with the personal data in the text replaced by its
     kind; ``size_col``, if there, becomes the new text's length."""
+    small_batches(docs.sparkSession)
     model = model or train(docs)
     schema = docs.schema
     size_col = size_col if size_col in docs.columns else None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import decontaminate, packing, pii, simhash, tokencount, topk, toxicity, warc
+from burnlens.llm import decontaminate, packing, pii, quality, simhash, tokencount, topk, toxicity, warc
 from burnlens.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.query(table(spark, sf_dir, "pages"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every text of ``documents``."""
+    return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of every text of ``documents``."""
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
     "op5_warc": op5_warc,
+    "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_tokencount": op8_tokencount,
     "op9_packing": op9_packing,

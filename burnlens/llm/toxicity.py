@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, map_arrow
-from burnlens.llm.wordhash import prefix_sums, stretch_hash, table_bounds
+from burnlens.llm.common import documents, map_arrow, small_batches
+from burnlens.llm.labelled import SAMPLE_ROWS, held_out, labelled_texts, sampled_labels
+from burnlens.llm.wordhash import mixed, prefix_sums, stretch_hash, table_bounds
 
-SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
 
 # Lexicons by kind, in alphabetical order.
@@ -45,8 +45,8 @@ PROFANITY = "arse bloody bollocks bullshit crap cunt damn dick fuck fucking piss
 THREATS = ["beat you up", "burn in hell", "drop dead", "go to hell", "hope you die", "i will hurt you", "i will kill you", "kill yourself", "shut up", "you deserve to die"]
 ATTACKS = ["you are a ", "you are an ", "you are so ", "you re a ", "you're a ", "you're an ", "you're so ", "people like you"]
 
-#: A mined entry occurs in this many toxic sample rows at least, and its odds are this much higher than the sample's.
-MINED_ROWS, MINED_ODDS = 4, 12.0
+#: A mined entry occurs in so many toxic sample rows, and so large a share of them, at least, and its odds are this much higher than the sample's.
+MINED_ROWS, MINED_SHARE, MINED_ODDS = 4, 0.005, 12.0
 #: Mined lexicons: bytes of the word's beginning (0: whole word), and entries of each at most.
 MINED = (0, 4, 5, 6)
 MINED_ENTRIES = 5000
@@ -259,13 +259,20 @@ def calibrate(model: Linear, margin: np.ndarray, label: np.ndarray) -> None:
     """Scale and shift of the margin that fit labelled rows best (Newton steps, lightly held to 1 and 0)."""
     if len(np.unique(label)) < 2:
         return
-    w = np.array([1.0, 0.0])
     x = np.stack([margin, np.ones_like(margin)], 1)
+    prior = np.array([1.0, 0.0])
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.logaddexp(0, np.where(label > 0, -1, 1) * (x @ w)).sum() + 0.5 * ((w - prior) ** 2).sum())
+
+    w = prior
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - label) + 1.0 * (w - [1.0, 0.0])
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
-        w = w - np.linalg.solve(h, g)
+        g = x.T @ (p - label) + (w - prior)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), g)
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w - step
     if w[0] > 0:
         model.scale, model.shift = float(w[0]), float(w[1])
 
@@ -273,21 +280,35 @@ def calibrate(model: Linear, margin: np.ndarray, label: np.ndarray) -> None:
 # --- Spark -------------------------------------------------------------------------
 
 
-def sampled_labels(labels: DataFrame, learn: Column, label_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(doc_id, label)`` of at most about ``rows`` allowed rows, evenly by hash."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & learn)
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    n = known.count()
-    return known if n <= rows else known.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * rows / n))
+def sketch(lowered: list[bytes]) -> np.ndarray:
+    """Smallest hash of three words in a row of each text: copies and near copies mostly share it."""
+    joined = b"\n".join(lowered)
+    buf = np.frombuffer(joined, np.uint8)
+    start, end = table_bounds(buf, INSIDE)
+    text_start = np.cumsum([0, *(len(t) + 1 for t in lowered[:-1])])
+    of = np.searchsorted(text_start, start, "right") - 1
+    h = stretch_hash(prefix_sums(buf), start, end)
+    out = np.full(len(lowered), np.iinfo(np.uint64).max, np.uint64)
+    if len(h) > 2:
+        three = mixed(h[:-2] * np.uint64(3) + h[1:-1] * np.uint64(5) + h[2:] * np.uint64(7))
+        np.minimum.at(out, of[:-2], three)
+    return out
+
 
+def mine(labelled: DataFrame) -> dict[int, np.ndarray]:
+    """Mined lexicons: words and beginnings with high odds in toxic rows.
 
-def labelled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """``(doc_id, text, label)``; the sample is bounded, so it is broadcast."""
-    return documents(docs).join(F.broadcast(sample), "doc_id")
+    Rows that share their sketch count once, or a group of copies would make
+    every rare word in it a sign of its label.
+    """
 
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, low in groups(batch.column("text").to_pylist()):
+                part = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([part.column("text"), part.column("label"), pa.array(sketch(low).view(np.int64))], names=["text", "label", "sketch"])
 
-def mine(labelled: DataFrame) -> dict[int, np.ndarray]:
-    """Mined lexicons: words and beginnings with high odds in toxic rows."""
+    labelled = labelled.select("text", "label").mapInArrow(sketched, "text string, label int, sketch long").groupBy("sketch", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,18 +322,20 @@ def mine(labelled: DataFrame) -> dict[int, np.ndarray]:
                     every = np.bincount(back, minlength=len(seen))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), size, np.int32)), pa.array(seen.view(np.int64)), pa.array(toxic), pa.array(every - toxic)], names=["size", "h", "toxic", "other"])
 
+    labelled = labelled.persist()
     rows = labelled.agg(F.count("*").alias("n"), F.sum((F.col("label") > 0).cast("int")).alias("t")).first()
     toxic, other = rows.t or 0, rows.n - (rows.t or 0)
-    counts = labelled.select("text", "label").mapInArrow(run, "size int, h long, toxic long, other long").groupBy("size", "h").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counts = labelled.mapInArrow(run, "size int, h long, toxic long, other long").groupBy("size", "h").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = (F.col("toxic") / (F.col("other") + 0.5)) / ((toxic + 1) / (other + 1))
     out = {}
-    strong = counts.where((F.col("toxic") >= MINED_ROWS) & (odds >= MINED_ODDS)).persist()
+    strong = counts.where((F.col("toxic") >= max(MINED_ROWS, MINED_SHARE * toxic)) & (odds >= MINED_ODDS)).persist()
     try:
         for size in MINED:
             best = strong.where(F.col("size") == size).orderBy(F.desc("toxic"), "other", "h").limit(MINED_ENTRIES).select("h").collect()
             out[size] = np.sort(np.array([r.h for r in best], np.int64).view(np.uint64))
     finally:
         strong.unpersist()
+        labelled.unpersist()
     return out
 
 
@@ -393,10 +416,6 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
     return Model(voters, model, linear)
 
 
-def held_out(doc_id: Column, divisor: int, remainder: int) -> Column:
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(divisor)) == remainder, F.lit(False))
-
-
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, score, predicted)``, one row per input row."""
 
@@ -416,6 +435,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
                 texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
                 yield batch.filter(pa.array(model.scores(texts) < threshold))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 
