@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import decontaminate, packing, pii, quality, simhash, tokencount, topk, toxicity, warc
+from burnlens.llm import decontaminate, lm, packing, pii, quality, simhash, tokencount, topk, toxicity, warc
 from burnlens.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-frequency and context-mixing scores of every text of ``documents``."""
+    return lm.query(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of ``documents`` by SimHash."""
     return simhash.query(table(spark, sf_dir, "documents"))
@@ -58,6 +63,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_lm": op2_lm,
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
     "op5_warc": op5_warc,

@@ -62,10 +62,10 @@ def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class HashTable:
     """Direct-mapped ``hash -> number`` table; a later entry may take an earlier one's place."""
 
-    def __init__(self, bits: int) -> None:
+    def __init__(self, bits: int, dtype: type = np.int32) -> None:
         self.mask = np.uint64((1 << bits) - 1)
         self.keys = np.zeros(1 << bits, np.uint64)
-        self.values = np.zeros(1 << bits, np.int32)
+        self.values = np.zeros(1 << bits, dtype)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and which of them are right."""
