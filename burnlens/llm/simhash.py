@@ -38,8 +38,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from burnlens.llm.common import components, documents, forest, map_arrow, materialize, texts
+from burnlens.llm.common import components, documents, forest, map_arrow, materialize, small_batches, texts
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -266,19 +267,47 @@ def links(fps: DataFrame, groups: list[list[int]], thresholds: list[int], max_bi
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(doc_id, fp, component_id)``, one row per input row."""
-    prints = materialize(fingerprints(docs, shingle), "simhash-prints")
+def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame | None:
+    """``(fp, low, root)`` of the distinct fingerprints of ``prints(doc_id, fp)``:
+    smallest id and the group's smallest fingerprint; None without rows."""
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     n = distinct.count()
     if not n:
-        return prints.withColumn("component_id", F.lit(None).cast("long"))
+        return None
     groups, thresholds = plan(bit_counts(distinct), n, max_bits)
     roots = materialize(components(links(distinct.select("fp"), groups, thresholds, max_bits), "simhash"), "simhash-roots")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(doc_id, fp, component_id)``, one row per input row."""
+    prints = materialize(fingerprints(docs, shingle), "simhash-prints")
+    rooted = classes(prints, max_bits)
+    if rooted is None:
+        return prints.withColumn("component_id", F.lit(None).cast("long"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group, with all columns of ``docs``: that of the smallest id (a row
+    without an id only if the whole group has none; one of repeated rows)."""
+    small_batches(docs.sparkSession)
+    fp = "__simhash_fp"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [fingerprint(t, shingle) for t in texts(batch.column(batch.schema.get_field_index(text_col)))]
+            yield batch.append_column(fp, pa.array(np.array(prints, np.uint64).view(np.int64)))
+
+    whole = materialize(docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())])), "simhash-documents")
+    rooted = classes(whole.select(F.col(id_col).cast("long").alias("doc_id"), F.col(fp).alias("fp")), max_bits)
+    if rooted is None:
+        return docs
+    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("kept")
+    kept = rooted.groupBy("root").agg(first).select(F.col("kept.low").alias("__kept_id"), F.col("kept.fp").alias("__kept_fp"))
+    same = whole[id_col].cast("long").eqNullSafe(kept["__kept_id"]) & (whole[fp] == kept["__kept_fp"])
+    return whole.join(kept, same, "left_semi").dropDuplicates([id_col, fp]).drop(fp)
 
 
 def query(docs: DataFrame) -> DataFrame:
