@@ -145,7 +145,7 @@ class Matcher:
         for last, (size, found) in self.automaton.iter(text):
             at = last - size + 1
             for number, leaf in found:
-                if (known := out.get(number)) and (known[0] == 0 or known[1] <= at < known[2]):
+                if (known := out.get(number)) and known[0] == 0:
                     continue
                 errors = self.climb(text, at, leaf)
                 if errors is not None and (not known or errors < known[0]):

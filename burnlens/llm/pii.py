@@ -49,7 +49,8 @@ NONE = len(KINDS)  # label of what is no personal data
 LABELS = NONE + 1
 NEAR = 40
 MISS, BREAK = 0.02, 0.01
-SMOOTH = 0.5
+#: Counts of each cell before anything is seen, and of skip links between equal labels.
+SMOOTH, SAME = 0.5, 20.0
 ROUNDS, DAMPING, SURE = 30, 0.3, 0.5
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -217,7 +218,7 @@ class Field:
     def of(cls, counts: dict[tuple[str, int, int], float]) -> Field:
         """From counts ``(form, label, -1)`` and ``(factor, label, label)``."""
         forms: dict[str, np.ndarray] = defaultdict(lambda: np.full(LABELS, SMOOTH))
-        joint = {f: np.full((LABELS, LABELS), SMOOTH) for f in FACTORS}
+        joint = {f: np.full((LABELS, LABELS), SMOOTH) + np.eye(LABELS) * (SAME if f != "chain" else 0) for f in FACTORS}
         for (name, a, b), n in counts.items():
             if b < 0:
                 forms[name][a] += n
