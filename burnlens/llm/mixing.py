@@ -37,7 +37,7 @@ BLOCK_BITS = 16
 ORDERS = len(TABLE_BITS)
 MODEL_BYTES = 2 * sum(1 << b for b in TABLE_BITS)
 #: Counts before anything is seen.
-PRIOR = 0.4
+PRIOR = 0.15
 GATES = 8 * (ORDERS) * 2
 LEVELS, LEVEL_STEP = 33, 0.5
 START, END = b"\n" * 5, b"\0"

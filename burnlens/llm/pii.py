@@ -50,7 +50,7 @@ LABELS = NONE + 1
 NEAR = 40
 MISS, BREAK = 0.02, 0.01
 #: Counts of each cell before anything is seen, and of skip links between equal labels.
-SMOOTH, SAME = 0.5, 20.0
+SMOOTH, SAME = 0.5, 100.0
 ROUNDS, DAMPING, SURE = 30, 0.3, 0.5
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
