@@ -5,11 +5,13 @@ Base score: sum over a text's words and its end of
 distinct tokens of the training texts.  Score: log10 probability under
 ``mixing.Model``.
 
-1. One pass over the training texts: every task counts its words and turns its
-   texts into sparse blocks of the model's tables and online-trained mixer
-   weights; these are written once.
-2. Word counts are summed by word (64-bit hash); blocks are summed in two levels,
-   each task holding one block at a time.  The finished model has a fixed size.
+1. One pass over the training texts: every task counts its distinct tokens and the
+   borders between them and picks occurrences (one byte in so many) for the mixer.
+   The counts are summed by a shuffle and written once.
+2. Tasks turn the distinct tokens and borders into sparse blocks of the model's
+   tables, which are summed in two levels, each task holding one block at a time.
+   Then tasks train the mixer online on their occurrences, each predicted from the
+   others, and the weights are averaged.  The model has a fixed size.
 3. One pass over all texts: the model scores them, and words among the
    ``HEAD_WORDS`` most frequent are looked up where they stand.  The others of
    each text (none of them more frequent than the head's last) are joined with the
@@ -33,41 +35,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burnlens.llm import mixing
-from burnlens.llm.common import documents, materialize, texts
+from burnlens.llm.common import documents, map_arrow, materialize, texts
 from burnlens.llm.labelled import held_out
 from burnlens.llm.wordhash import HashTable, prefix_sums, stretch_hash
 
-#: Most frequent words that go to every task; the rest are joined.
-HEAD_WORDS, HEAD_TABLE_BITS = 262_144, 21
+#: Most frequent words that go to every task (about, never more); the rest are joined.
+HEAD_WORDS, HEAD_TABLE_BITS = 131_072, 20
+#: Steps of the frequency scale by which the head is cut, for each doubling.
+SCALE = 16
 #: First level of the blocks' sums: so many parts a block.
 MERGE_PARTS = 16
 
-COUNTED = "block int, part int, h long, n long, data binary"
-WORDS, DOCUMENTS = None, -2  # in the place of a block's number
+DOCUMENTS = 3  # kind of the row that counts documents
 
 _model: dict[str, mixing.Model] = {}
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """Word counts, blocks and the number of documents, per task."""
+def _rows(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+
 
-    def rows(block, part, h=None, n=None, data=None, size=1) -> pa.RecordBatch:
-        column = lambda x, kind: pa.nulls(size, kind) if x is None else pa.array(x, kind)
-        return pa.RecordBatch.from_arrays(
-            [column(block, pa.int32()), pa.array([part] * size, pa.int32()), column(h, pa.int64()), column(n, pa.int64()), column(data, pa.binary())],
-            names=["block", "part", "h", "n", "data"],
-        )
+def counted(docs: DataFrame) -> DataFrame:
+    """``(kind, key, n)``: tokens, borders, occurrences and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, n = mixing.Counter(), 0
-        part = TaskContext.get().partitionId() % MERGE_PARTS
 
         def close() -> Iterator[pa.RecordBatch]:
-            h, count = counter.words()
-            if len(h):
-                yield rows(WORDS, part, h.view(np.int64), count, size=len(h))
-            for block, data in counter.blocks():
-                yield rows([block], part, data=[data])
+            for kind, keys, number in counter.rows():
+                for k in range(0, len(keys), 1 << 16):
+                    part = keys[k : k + (1 << 16)]
+                    yield _rows(kind=([kind] * len(part), pa.int32()), key=(part, pa.binary()), n=(number[k : k + (1 << 16)], pa.int64()))
 
         for batch in batches:
             raw = texts(batch.column("text"))
@@ -77,32 +75,67 @@ def counted(docs: DataFrame) -> DataFrame:
                 if counter.full():
                     yield from close()
         yield from close()
-        yield rows([DOCUMENTS], part, n=[n])
+        yield _rows(kind=([DOCUMENTS], pa.int32()), key=([b""], pa.binary()), n=([n], pa.int64()))
+
+    return docs.select("text").mapInArrow(run, "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
 
-    return docs.select("text").mapInArrow(run, COUNTED)
+def vocabulary_of(counts: DataFrame) -> DataFrame:
+    """``(h, n)`` of the distinct words."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        h, n = mixing.word_counts(batch.column("key").to_pylist(), batch.column("n").to_numpy())
+        return _rows(h=(h.view(np.int64), pa.int64()), n=(n, pa.int64()))
+
+    return map_arrow(counts.where(F.col("kind") == mixing.TOKEN).select("key", "n"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def block_parts(counts: DataFrame) -> DataFrame:
+    """``(block, part, data)``: each task's share of the tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = None
+        part = TaskContext.get().partitionId() % MERGE_PARTS
+        held: list[tuple[list[bytes], np.ndarray]] = [([], []), ([], [])]
+
+        def flush() -> None:
+            for kind, (keys, number) in enumerate(held):
+                if keys:
+                    (tables.add_tokens, tables.add_borders)[kind](keys, np.array(number, np.int64))
+                keys.clear(), number.clear()
+
+        for batch in batches:
+            tables = tables or mixing.Tables()
+            for kind, key, n in zip(*(batch.column(c).to_pylist() for c in ("kind", "key", "n"))):
+                held[kind][0].append(key)
+                held[kind][1].append(n)
+            if sum(len(k) for k, _ in held) >= mixing.TOKENS_AT_ONCE:
+                flush()
+        if tables:
+            flush()
+            for block, data in tables.blocks():
+                yield _rows(block=([block], pa.int32()), part=([part], pa.int32()), data=([data], pa.binary()))
+
+    return counts.where(F.col("kind").isin(mixing.TOKEN, mixing.BORDER)).mapInArrow(run, "block int, part int, data binary")
 
 
 def merge_blocks(parts: DataFrame, finish: bool) -> DataFrame:
     """Sums by the columns but ``data``; a task reads sorted rows and holds one sum."""
     keys = [c for c in parts.columns if c != "data"]
-    names = ["block", *(["part"] if "part" in keys else []), "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = None, None
 
         def close() -> pa.RecordBatch:
-            block = key[0]
-            data = total.result()
-            if finish:
-                data = mixing.finished(block, data)
-            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.int32()) for k in key), pa.array([data], pa.binary())], names=names)
+            data = total.finished() if finish else total.parts()
+            return _rows(**{c: ([k], pa.int32()) for c, k in zip(keys, key)}, data=([data], pa.binary()))
 
         for batch in batches:
             for *own, data in zip(*(batch.column(c).to_pylist() for c in keys), batch.column("data")):
                 if own != key:
                     if key is not None:
                         yield close()
-                    key, total = own, mixing.Sum(own[0])
+                    key, total = own, mixing.Sum()
                 total.add(data.as_py())
         if key is not None:
             yield close()
@@ -111,69 +144,105 @@ def merge_blocks(parts: DataFrame, finish: bool) -> DataFrame:
     return dealt.mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", data binary")
 
 
-def scored(docs: DataFrame, blocks: dict[int, bytes], head: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def train_mixer(counts: DataFrame, blocks: dict[int, bytes]) -> mixing.Mixer:
+    """The mixer's weights, averaged over the tasks that learned them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, total = None, 0
+        for batch in batches:
+            model = model or mixing.Model(blocks)
+            pairs = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint64).reshape(-1, 2)
+            model.learn(pairs[:, 0], pairs[:, 1])
+            total += len(pairs)
+        if total:
+            sums = model.mixer.sums(total)
+            yield _rows(k=(np.arange(len(sums)), pa.int32()), v=(sums, pa.float64()))
+
+    occurrences = counts.where(F.col("kind") == mixing.OCCURRENCE).select("key")
+    rows = occurrences.mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()
+    return mixing.Mixer.of(np.array([r.v for r in rows]))
+
+
+def head_words(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the words above a frequency that ``HEAD_WORDS`` at most reach, rarest first."""
+    step = F.floor(F.log2("n") * SCALE).cast("int")
+    sizes = vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    cut, total = None, 0
+    for r in sorted(sizes, key=lambda r: -r.step):
+        total += r.words
+        if total > HEAD_WORDS:
+            break
+        cut = r.step
+    if cut is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    top = vocabulary.where(step >= cut).toArrow()
+    h, n = top.column("h").to_numpy(), top.column("n").to_numpy()
+    order = np.lexsort((h, n))
+    return h[order].view(np.uint64), n[order]
+
+
+def scored(docs: DataFrame, blocks: dict[int, bytes], mixer: mixing.Mixer, head: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Model scores, the head's share of the base sums, and the words that are left."""
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _model:
             _model.clear()
-            _model[name] = mixing.Model(blocks)
+            _model[name] = mixing.Model(blocks, mixer)
         model = _model[name]
         table = HashTable(HEAD_TABLE_BITS)
         table.put(head[0], np.arange(len(head[0]), dtype=np.int32))  # the more frequent ones come last and stay
-        count = np.append(head[1], 0)
+        log_count = np.log10(np.append(head[1], 0) + 0.1)
         for batch in batches:
-            raw = texts(batch.column("text"))
-            score = model.scores(raw)
-            parts = [_words(raw[a:b], stream, begin, table, count) for a, b, stream, begin in mixing.streams(raw)]
-            n, known, total = (np.concatenate(x) for x in list(zip(*parts))[:3])
-            tail_h, tail_n = ([v for p in parts for v in p[k]] for k in (3, 4))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(known), pa.array(total), pa.array(score), pa.array(tail_h, pa.list_(pa.int64())), pa.array(tail_n, pa.list_(pa.int32()))],
-                names=["doc_id", "n_words", "head_known", "head_sum", "score", "tail_h", "tail_n"],
-            )
+            doc_id = batch.column("doc_id")
+            for first, last, stream, begin in mixing.streams(texts(batch.column("text"))):
+                n = last - first
+                start, end = mixing.tokens(stream, begin)
+                sums = prefix_sums(stream)
+                score = model.score(stream, begin, start, end, sums)
+                real = end - start > 1
+                start, end = start[real], end[real] - 1
+                of = np.searchsorted(begin, start, "right") - 1
+                h = stretch_hash(sums, start, end)
+                number, known = table.find(h)
+                total = np.bincount(of[known], log_count[number[known]], n)
+                rest_of, rest = of[~known], h[~known]
+                order = np.lexsort((rest, rest_of))
+                rest_of, rest = rest_of[order], rest[order]
+                fresh = np.ones(len(rest), bool)
+                fresh[1:] = (rest_of[1:] != rest_of[:-1]) | (rest[1:] != rest[:-1])
+                at = np.flatnonzero(fresh)
+                cut = pa.array(np.searchsorted(rest_of[at], np.arange(n + 1)), pa.int32())
+                times = np.diff(at, append=len(rest)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc_id.slice(first, n),
+                        pa.array(np.bincount(of, minlength=n)),
+                        pa.array(np.bincount(of[known], minlength=n)),
+                        pa.array(total),
+                        pa.array(score),
+                        pa.ListArray.from_arrays(cut, pa.array(rest[at].view(np.int64))),
+                        pa.ListArray.from_arrays(cut, pa.array(times)),
+                    ],
+                    names=["doc_id", "n_words", "head_known", "head_sum", "score", "tail_h", "tail_n"],
+                )
 
     return docs.mapInArrow(run, "doc_id long, n_words long, head_known long, head_sum double, score double, tail_h array<long>, tail_n array<int>")
 
 
-def _words(raw: list[bytes], stream: np.ndarray, begin: np.ndarray, table: HashTable, count: np.ndarray):
-    """Per text: words, words of the head and their log counts, hashes and numbers of the others."""
-    n = len(raw)
-    start, end = mixing.tokens(stream, begin)
-    real = end - start > 1
-    start, end = start[real], end[real] - 1
-    of = np.searchsorted(begin, start, "right") - 1
-    h = stretch_hash(prefix_sums(stream), start, end)
-    number, known = table.find(h)
-    c = count[number[known]]
-    total = np.bincount(of[known], np.log10(c + 0.1), n)
-    rest_of, rest = of[~known], h[~known]
-    order = np.lexsort((rest, rest_of))
-    rest_of, rest = rest_of[order], rest[order]
-    first = np.ones(len(rest), bool)
-    first[1:] = (rest_of[1:] != rest_of[:-1]) | (rest[1:] != rest[:-1])
-    at = np.flatnonzero(first)
-    size = np.diff(at, append=len(rest)).astype(np.int32)
-    cut = np.searchsorted(rest_of[at], np.arange(1, n))
-    words = np.bincount(of, minlength=n).astype(np.int64)
-    return words, np.bincount(of[known], minlength=n).astype(np.int64), total, np.split(rest[at].view(np.int64), cut), np.split(size, cut)
-
-
 def scores(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per input row."""
     slim = documents(docs)
     out = held_out(F.col("doc_id"), 10, 0)
-    learned = materialize(counted(slim.where(~out)), "lm-counted")
-    vocabulary = materialize(learned.where("block IS NULL").groupBy("h").agg(F.sum("n").alias("n")), "lm-vocabulary")
-    n_docs = learned.where(F.col("block") == DOCUMENTS).agg(F.sum("n").alias("n")).first().n or 0
+    counts = materialize(counted(slim.where(~out)), "lm-counts")
+    vocabulary = materialize(vocabulary_of(counts), "lm-vocabulary")
+    n_docs = counts.where(F.col("kind") == DOCUMENTS).agg(F.sum("n").alias("n")).first().n or 0
     size = vocabulary.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
     n_tokens, n_types = (size.tokens or 0) + n_docs, size.words + (n_docs > 0)
-    parts = merge_blocks(learned.where(F.col("block") != DOCUMENTS).select("block", "part", "data"), finish=False)
+    parts = merge_blocks(block_parts(counts), finish=False)
     blocks = {r.block: bytes(r.data) for r in merge_blocks(parts.select("block", "data"), finish=True).collect()}  # the model: bounded
-    top = vocabulary.orderBy(F.desc("n"), "h").limit(HEAD_WORDS).toPandas()[::-1]
-    head = (top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
-    rows = materialize(scored(slim, blocks, head).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    mixer, head = train_mixer(counts, blocks), head_words(vocabulary)
+    rows = materialize(scored(slim, blocks, mixer, head).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     tails = rows.where(F.size("tail_h") > 0).select("row", F.explode(F.arrays_zip("tail_h", "tail_n")).alias("t")).select("row", F.col("t.tail_h").alias("h"), F.col("t.tail_n").alias("times"))
     tails = (
         tails.join(vocabulary, "h", "left")

@@ -45,11 +45,11 @@ START, END = b"\n" * 5, b"\0"
 BEFORE = 0x20
 #: Classes of texts, the contexts that know them, and the least shares of letters beyond ASCII and of marks that count.
 CLASSES, CLASS_ORDERS, LETTER_SHARE, MARK_SHARE = 32, (3, 5), 0.002, 0.05
-#: Distinct borders and tokens that are held before they go into tables.
-HELD = 400_000
-#: One byte in so many is an occurrence that the mixer may learn from; how many it learns from each time, its steps and their size.
-OCCURRENCE_BYTES, OCCURRENCES, STEP_OCCURRENCES, RATE = 128, 65_536, 128, 0.02
-TABLE_BITS_OF_TALLY, TABLE_BITS_OF_SCORES = 20, 21
+#: Distinct borders and tokens that a task holds before it passes them on, and tokens whose contexts are worked out together.
+HELD, TOKENS_AT_ONCE = 1_000_000, 60_000
+#: One byte in so many is an occurrence that the mixer learns from; its steps and their size.
+OCCURRENCE_BYTES, STEP_OCCURRENCES, RATE = 256, 128, 0.02
+TALLY_BITS, SCORE_BITS, EVENT_BITS = 20, 20, 21
 #: Bytes of text and events that are worked on together.
 BYTES_AT_ONCE, EVENTS_AT_ONCE = 1 << 18, 1 << 15
 
@@ -135,10 +135,13 @@ def rests(words: list[bytes], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def slots(order: int, window: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Slot numbers of the eight bits of each event in one context's table (events x 8)."""
+    """Slot numbers of the eight bits of each event in one context's table (events x 8).
+
+    The four bits of a half byte stand next to each other.
+    """
     byte = window & np.uint64(0xFF)
-    node = (byte | np.uint64(0x100))[:, None] >> (_SHIFT + np.uint64(1))
     if order == 0:
+        node = (byte | np.uint64(0x100))[:, None] >> (_SHIFT + np.uint64(1))
         return (((window & np.uint64(0xFF00))[:, None]) | node).astype(np.int64)
     if order < ORDERS - 1:
         context = (window >> np.uint64(8)) & np.uint64((1 << (8 * (order + 1))) - 1)
@@ -147,7 +150,13 @@ def slots(order: int, window: np.ndarray, word: np.ndarray) -> np.ndarray:
     if order in CLASS_ORDERS:
         context = context + (window >> np.uint64(48)) * _A
     h = mixed(context * _B + np.uint64(order))
-    return ((((h[:, None] + node * _C) * _A) >> np.uint64(64 - TABLE_BITS[order]))).astype(np.int64)
+    high = byte >> np.uint64(4)
+    out = np.empty((len(window), 8), np.int64)
+    shift = np.uint64(64 - TABLE_BITS[order] + 4)
+    for k, (place, half) in enumerate(((h * _A, high), ((h + (high + np.uint64(1)) * _C) * _A, byte & np.uint64(0xF)))):
+        node = (half | np.uint64(0x10))[:, None] >> (_SHIFT[4:] + np.uint64(1))
+        out[:, 4 * k : 4 * k + 4] = ((place >> shift) << np.uint64(4))[:, None] | node
+    return out
 
 
 def bits(window: np.ndarray) -> np.ndarray:
@@ -182,6 +191,20 @@ class Mixer:
         level = squash((np.arange(LEVELS) - LEVELS // 2) * LEVEL_STEP)
         return cls(np.full((GATES, ORDERS), 0.3), np.full((8, LEVELS), 20.0), np.tile(20 * level, (8, 1)))
 
+    def sums(self, weight: float) -> np.ndarray:
+        """What is added up over tasks: the weights by their occurrences, and what the mixer saw."""
+        fresh = Mixer.fresh()
+        return np.concatenate([[weight], (self.weights * weight).ravel(), (self.hits - fresh.hits).ravel(), (self.ones - fresh.ones).ravel()])
+
+    @classmethod
+    def of(cls, sums: np.ndarray) -> Mixer:
+        out = cls.fresh()
+        if len(sums) and sums[0]:
+            w, h, o = np.split(sums[1:], [GATES * ORDERS, GATES * ORDERS + 8 * LEVELS])
+            out.weights = (w / sums[0]).reshape(GATES, ORDERS)
+            out.hits, out.ones = out.hits + h.reshape(8, LEVELS), out.ones + o.reshape(8, LEVELS)
+        return out
+
     def mix(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gate = gates(inputs)
         out = np.zeros(inputs.shape[1:])
@@ -212,6 +235,11 @@ class Mixer:
                 self.ones += np.bincount(at.ravel(), (share * bit).ravel(), 8 * LEVELS).reshape(8, LEVELS)
 
 
+CLASS_BYTE = [bytes([c]) for c in range(CLASSES)]
+CLASS_OF = {b: c for c, b in enumerate(CLASS_BYTE)}
+NOTHING = stretch_hash(np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64))
+
+
 def packed(a: np.ndarray) -> bytes:
     """Compressed numbers, byte by byte of equal rank."""
     return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes())
@@ -259,19 +287,22 @@ def summed(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return order[first], np.add.reduceat(weight[order].astype(np.float64), first)
 
 
+TOKEN, BORDER, OCCURRENCE = 0, 1, 2
+
+
 class Counter:
-    """Counts of many texts; ``blocks()`` turns them into what the tables and the mixer get from them."""
+    """Numbers of the distinct tokens (after their text's class) and borders of many texts, and
+    some occurrences for the mixer, as ``(kind, key)`` rows."""
 
     def __init__(self) -> None:
+        self.rng = np.random.default_rng(11)
         self.clear()
 
     def clear(self) -> None:
-        self.borders, self.tokens = Tally(TABLE_BITS_OF_TALLY), Tally(TABLE_BITS_OF_TALLY)
+        self.borders, self.tokens = Tally(TALLY_BITS), Tally(TALLY_BITS)
         self.border: list[np.ndarray] = []
         self.token: list[bytes] = []
-        self.kind: list[np.ndarray] = []  # classes of the tokens' texts
-        self.seen: list[tuple[np.ndarray, np.ndarray]] = []
-        self.rng = np.random.default_rng(11)
+        self.seen: list[bytes] = []
 
     def full(self) -> bool:
         return self.borders.held + self.tokens.held > HELD
@@ -283,74 +314,79 @@ class Counter:
         border = known_class(windows(stream, start), kind)
         self.border.append(border[self.borders.add(mixed(border))])
         new = self.tokens.add(stretch_hash(sums, start, end) + kind * _C)
-        self.kind.append(kind[new])
         raw = stream.tobytes()
-        self.token += [raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())]
-        at = np.sort(self.rng.integers(0, len(stream), len(stream) // OCCURRENCE_BYTES + 1))
+        self.token += [CLASS_BYTE[c] + raw[a:b] for c, a, b in zip(kind[new].tolist(), start[new].tolist(), end[new].tolist())]
+        at = self.rng.integers(0, len(stream), len(stream) // OCCURRENCE_BYTES + 1)
         k = np.searchsorted(start, at, "right") - 1
-        at, k = at[(k >= 0) & (at < end[k])], k[(k >= 0) & (at < end[k])]
-        inside = at - start[k]
+        inside = (k >= 0) & (at < end[k])
+        at, k = at[inside], k[inside]
         window = windows(stream, at)
-        self.seen.append((known_class(np.where(inside > 0, anchored(window, inside), window), kind[k]), stretch_hash(sums, start[k], at)))
-
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and counts of the distinct words."""
-        buf = np.frombuffer(b"".join(self.token), np.uint8)
-        size = np.array([len(t) for t in self.token], np.int64)
-        end = np.cumsum(size) - 1  # without the byte that ends them
-        h = stretch_hash(prefix_sums(buf), end + 1 - size, end)
-        real = size > 1
-        at, n = summed(h[real], self.tokens.counts()[real])
-        return h[real][at], n.astype(np.int64)
+        window = known_class(np.where(at > start[k], anchored(window, at - start[k]), window), kind[k])
+        pairs = np.stack([window, stretch_hash(sums, start[k], at)], 1)
+        self.seen += [p.tobytes() for p in pairs]
+
+    def rows(self) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+        """``(kind, keys, numbers)``; forgets them."""
+        border = [w.tobytes() for w in np.concatenate(self.border)] if self.border else []
+        yield TOKEN, self.token, self.tokens.counts()
+        yield BORDER, border, self.borders.counts()
+        yield OCCURRENCE, self.seen, np.ones(len(self.seen), np.int64)
+        self.clear()
 
-    def blocks(self) -> Iterator[tuple[int, bytes]]:
-        """``(block, sparse counts)`` of every table, and block -1 with the mixer's sums."""
-        if not self.borders.held:
-            return
-        seen_window, seen_word = (np.concatenate(x) for x in zip(*self.seen))
-        if len(seen_window) > OCCURRENCES:
-            some = np.sort(self.rng.permutation(len(seen_window))[:OCCURRENCES])
-            seen_window, seen_word = seen_window[some], seen_word[some]
-        bit = bits(seen_window)
-        inputs = np.zeros((ORDERS, len(seen_window), 8), np.float32)
-        window, word, of = rests(self.token, np.concatenate(self.kind))
-        border = np.concatenate(self.border)
-        nothing = stretch_hash(np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64))
-        window = np.concatenate([border, window])
-        word = np.concatenate([np.repeat(nothing, len(border)), word])
-        weight = np.concatenate([self.borders.counts(), self.tokens.counts()[of]]).astype(np.float64)
+
+def word_counts(keys: list[bytes], number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and numbers of the words of tokens (a class byte, the word, the byte that ends it)."""
+    buf = np.frombuffer(b"".join(keys), np.uint8)
+    size = np.array([len(k) for k in keys], np.int64)
+    end = np.cumsum(size) - 1
+    real = size > 2
+    return stretch_hash(prefix_sums(buf), (end + 2 - size)[real], end[real]), number[real]
+
+
+class Tables:
+    """Dense counts of all contexts."""
+
+    def __init__(self) -> None:
+        self.every, self.ones = ([np.zeros(1 << b, np.float32) for b in TABLE_BITS] for _ in range(2))
+
+    def add_tokens(self, keys: list[bytes], number: np.ndarray) -> None:
+        for k in range(0, len(keys), TOKENS_AT_ONCE):
+            part = keys[k : k + TOKENS_AT_ONCE]
+            kind = np.array([CLASS_OF[t[:1]] for t in part], np.uint64)
+            window, word, of = rests([t[1:] for t in part], kind)
+            self._add(window, word, number[k : k + TOKENS_AT_ONCE][of])
+
+    def add_borders(self, keys: list[bytes], number: np.ndarray) -> None:
+        window = np.frombuffer(b"".join(keys), np.uint64)
+        self._add(window, np.repeat(NOTHING, len(window)), number)
+
+    def _add(self, window: np.ndarray, word: np.ndarray, weight: np.ndarray) -> None:
         at, total = summed(mixed(word * _C + (window & np.uint64(0xFF)) + (window >> np.uint64(48)) * _A), weight)
-        distinct = {ORDERS - 1: (window[at], word[at], total)}
+        self._slots(ORDERS - 1, window[at], word[at], total)
         for order in range(ORDERS - 2, -1, -1):
             mask = (1 << (8 * (order + 2))) - 1
             # The class goes with the last context that knows it.
             window = window & np.uint64(mask | (0xFF << 48 if order >= min(CLASS_ORDERS) else 0))
             at, weight = summed(window, weight)
             window = window[at]
-            distinct[order] = (window, window, weight)
-        self.borders = self.tokens = None  # frees their tables
-        for order, size in enumerate(TABLE_BITS):
-            window, word, weight = distinct.pop(order)
-            every, ones = np.zeros(1 << size, np.uint32), np.zeros(1 << size, np.uint32)
-            for k in range(0, len(window), EVENTS_AT_ONCE * 8):
-                part = slice(k, k + EVENTS_AT_ONCE * 8)
-                slot = slots(order, window[part], word[part]).ravel()
-                n = np.repeat(weight[part].astype(np.uint32), 8)
-                np.add.at(every, slot, n)
-                one = bits(window[part]).ravel()
-                np.add.at(ones, slot[one], n[one])
-            slot = slots(order, seen_window, seen_word)
-            # An occurrence is predicted from the others.
-            n1, n0 = ones[slot].astype(np.int64) - bit, every[slot].astype(np.int64) - ones[slot] - ~bit
-            inputs[order] = np.log((np.maximum(n1, 0) + PRIOR) / (np.maximum(n0, 0) + PRIOR))
-            yield from sparse_blocks(order, every, ones)
-        mixer = Mixer.fresh()
-        fresh_hits, fresh_ones = mixer.hits.copy(), mixer.ones.copy()
-        for k in range(0, len(bit), STEP_OCCURRENCES):
-            mixer.learn(inputs[:, k : k + STEP_OCCURRENCES], bit[k : k + STEP_OCCURRENCES], refine=2 * k >= len(bit))
-        sums = np.concatenate([[len(bit)], (mixer.weights * len(bit)).ravel(), (mixer.hits - fresh_hits).ravel(), (mixer.ones - fresh_ones).ravel()])
-        yield -1, sums.tobytes()
-        self.clear()
+            self._slots(order, window, window, weight)
+
+    def _slots(self, order: int, window: np.ndarray, word: np.ndarray, weight: np.ndarray) -> None:
+        for k in range(0, len(window), EVENTS_AT_ONCE):
+            part = slice(k, k + EVENTS_AT_ONCE)
+            slot = slots(order, window[part], word[part]).ravel()
+            n = np.repeat(weight[part].astype(np.float32), 8)
+            np.add.at(self.every[order], slot, n)
+            one = bits(window[part]).ravel()
+            np.add.at(self.ones[order], slot[one], n[one])
+
+    def blocks(self) -> Iterator[tuple[int, bytes]]:
+        """``(block, sparse counts)`` of every table."""
+        for order, (every, ones) in enumerate(zip(self.every, self.ones)):
+            for k in range(1 << (TABLE_BITS[order] - BLOCK_BITS)):
+                part = slice(k << BLOCK_BITS, (k + 1) << BLOCK_BITS)
+                if (data := sparse(every[part], ones[part])) is not None:
+                    yield first_block(order) + k, data
 
 
 def first_block(order: int) -> int:
@@ -360,18 +396,11 @@ def first_block(order: int) -> int:
 BLOCKS = first_block(ORDERS)
 
 
-def sparse_blocks(order: int, every: np.ndarray, ones: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    for k in range(1 << (TABLE_BITS[order] - BLOCK_BITS)):
-        part = slice(k << BLOCK_BITS, (k + 1) << BLOCK_BITS)
-        if (data := sparse(every[part], ones[part])) is not None:
-            yield first_block(order) + k, data
-
-
 def sparse(every: np.ndarray, ones: np.ndarray) -> bytes | None:
     at = np.flatnonzero(every)
     if not len(at):
         return None
-    parts = [packed(np.diff(at, prepend=0).astype(np.uint16)), packed(every[at].astype(np.uint64)), packed(ones[at].astype(np.uint64))]
+    parts = [packed(np.diff(at, prepend=0).astype(np.uint16)), *(packed(np.rint(x[at]).astype(np.uint64)) for x in (every, ones))]
     return b"".join([np.array([len(p) for p in parts], "<u4").tobytes(), *parts])
 
 
@@ -384,52 +413,67 @@ def add_sparse(data: bytes, every: np.ndarray, ones: np.ndarray) -> None:
 
 
 class Sum:
-    """The sum of one block's parts, in their form."""
+    """The sum of one block's parts."""
 
-    def __init__(self, block: int) -> None:
-        self.plain = block < 0
-        self.total = np.zeros(1) if self.plain else np.zeros((2, 1 << BLOCK_BITS), np.int64)
+    def __init__(self) -> None:
+        self.total = np.zeros((2, 1 << BLOCK_BITS), np.int64)
 
     def add(self, data: bytes) -> None:
-        if self.plain:
-            self.total = self.total + np.frombuffer(data)
-        else:
-            add_sparse(data, *self.total)
+        add_sparse(data, *self.total)
 
-    def result(self) -> bytes:
-        return self.total.tobytes() if self.plain else sparse(*self.total) or b""
+    def parts(self) -> bytes:
+        """In the parts' form."""
+        return sparse(*self.total) or b""
 
-
-def finished(block: int, data: bytes) -> bytes:
-    """A merged block as the model's compressed 16-bit inputs (the mixer's sums as they are)."""
-    if block < 0:
-        return data
-    every, ones = np.zeros(1 << BLOCK_BITS, np.int64), np.zeros(1 << BLOCK_BITS, np.int64)
-    add_sparse(data, every, ones)
-    value = np.log((ones + PRIOR) / (every - ones + PRIOR)).astype(np.float16)
-    # A balanced slot is known all the same.
-    value[(every > 0) & (value == 0)] = np.float16(1e-4)
-    return packed(value)
+    def finished(self) -> bytes:
+        """As the model's compressed 16-bit inputs, and how often each slot was seen, up to 255."""
+        every, ones = self.total
+        value = np.log((ones + PRIOR) / (every - ones + PRIOR)).astype(np.float16)
+        # A balanced slot is known all the same.
+        value[(every > 0) & (value == 0)] = np.float16(1e-4)
+        parts = [packed(value), packed(np.minimum(every, 255).astype(np.uint8))]
+        return np.array([len(parts[0])], "<u4").tobytes() + b"".join(parts)
 
 
 class Model:
-    """Tables and mixer from finished blocks, with a table of events scored before."""
+    """Tables from finished blocks and a mixer, with tables of what was scored before."""
 
-    def __init__(self, blocks: dict[int, bytes]) -> None:
-        flat = np.zeros(BLOCKS << BLOCK_BITS, np.float16)
+    def __init__(self, blocks: dict[int, bytes], mixer: Mixer | None = None) -> None:
+        flat, seen = np.zeros(BLOCKS << BLOCK_BITS, np.float16), None
+        if mixer is None:
+            seen = np.zeros(BLOCKS << BLOCK_BITS, np.uint8)
         for k, data in blocks.items():
-            if k >= 0:
-                flat[k << BLOCK_BITS : (k + 1) << BLOCK_BITS] = unpacked(data, np.float16)
+            part = slice(k << BLOCK_BITS, (k + 1) << BLOCK_BITS)
+            cut = 4 + int(np.frombuffer(data[:4], "<u4")[0])
+            flat[part] = unpacked(data[4:cut], np.float16)
+            if seen is not None:
+                seen[part] = unpacked(data[cut:], np.uint8)
         starts = [first_block(o) << BLOCK_BITS for o in range(ORDERS)]
         self.tables = [flat[s : s + (1 << b)] for s, b in zip(starts, TABLE_BITS)]
-        self.mixer = Mixer.fresh()
-        if -1 in blocks:
-            sums = np.frombuffer(blocks[-1])
-            n, (w, h, o) = sums[0], np.split(sums[1:], [GATES * ORDERS, GATES * ORDERS + 8 * LEVELS])
-            self.mixer.weights = (w / n).reshape(GATES, ORDERS)
-            self.mixer.hits = self.mixer.hits + h.reshape(8, LEVELS)
-            self.mixer.ones = self.mixer.ones + o.reshape(8, LEVELS)
-        self.borders, self.tokens, self.events = (HashTable(TABLE_BITS_OF_SCORES, np.float32) for _ in range(3))
+        self.seen = None if seen is None else [seen[s : s + (1 << b)] for s, b in zip(starts, TABLE_BITS)]
+        self.mixer = mixer or Mixer.fresh()
+        self.borders, self.tokens = (HashTable(SCORE_BITS, np.float32) for _ in range(2))
+        self.events = HashTable(EVENT_BITS, np.float32)
+
+    def others(self, window: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Inputs (contexts x events x 8) of occurrences that are themselves in the tables: each is predicted from the others."""
+        bit = bits(window)
+        out = np.empty((ORDERS, len(window), 8), np.float32)
+        for order in range(ORDERS):
+            at = slots(order, window, word)
+            value, n = self.tables[order][at].astype(np.float64), self.seen[order][at].astype(np.float64)
+            ones = np.rint(squash(value) * (n + 2 * PRIOR) - PRIOR)
+            few = n < 255  # beyond, one more or less is nothing
+            n1, n0 = np.maximum(ones - bit, 0), np.maximum(n - ones - ~bit, 0)
+            out[order] = np.where(few, np.where(n > 1, np.log((n1 + PRIOR) / (n0 + PRIOR)), 0), value)
+            out[order][few & (n > 1) & (out[order] == 0)] = 1e-4
+        return out
+
+    def learn(self, window: np.ndarray, word: np.ndarray) -> None:
+        """Online steps of the mixer; the second half also refines."""
+        for k in range(0, len(window), STEP_OCCURRENCES):
+            part = slice(k, k + STEP_OCCURRENCES)
+            self.mixer.learn(self.others(window[part], word[part]), bits(window[part]), refine=2 * k >= len(window))
 
     def log2(self, window: np.ndarray, word: np.ndarray) -> np.ndarray:
         """log2 probability of each event's byte."""
@@ -447,19 +491,20 @@ class Model:
         value = looked_up(self.events, mixed(window * _A + word), lambda rows: self.log2(window[rows], word[rows]))
         return np.bincount(of, value, len(words))
 
+    def score(self, stream: np.ndarray, begin: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """log10 probability of each whole text of a stream with its tokens."""
+        kind = classes(stream, begin)[np.searchsorted(begin, start, "right") - 1]
+        border, raw = known_class(windows(stream, start), kind), stream.tobytes()
+        value = looked_up(self.borders, mixed(border), lambda rows: self.log2(border[rows], np.repeat(NOTHING, len(rows))))
+        token = stretch_hash(sums, start, end) + kind * _C
+        value = value + looked_up(self.tokens, token, lambda rows: self._rests([raw[x:y] for x, y in zip(start[rows].tolist(), end[rows].tolist())], kind[rows]))
+        return (np.add.reduceat(value.astype(np.float64), np.searchsorted(start, begin)) - np.log2(CLASSES)) * np.log10(2)
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each whole text, its end included."""
         out = np.zeros(len(texts))
-        nothing = stretch_hash(np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64))
-        for first, end, stream, begin in streams(texts):
-            a, b = tokens(stream, begin)
-            kind = classes(stream, begin)[np.searchsorted(begin, a, "right") - 1]
-            border, raw = known_class(windows(stream, a), kind), stream.tobytes()
-            value = looked_up(self.borders, mixed(border), lambda rows: self.log2(border[rows], np.repeat(nothing, len(rows))))
-            token = stretch_hash(prefix_sums(stream), a, b) + kind * _C
-            value = value + looked_up(self.tokens, token, lambda rows: self._rests([raw[x:y] for x, y in zip(a[rows].tolist(), b[rows].tolist())], kind[rows]))
-            out[first:end] += np.add.reduceat(value.astype(np.float64), np.searchsorted(a, begin)) - np.log2(CLASSES)
-        return out * np.log10(2)
+        for first, last, stream, begin in streams(texts):
+            out[first:last] = self.score(stream, begin, *tokens(stream, begin), prefix_sums(stream))
+        return out
 
 
 def looked_up(table: HashTable, h: np.ndarray, work) -> np.ndarray:

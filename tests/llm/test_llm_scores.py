@@ -41,7 +41,7 @@ def test_lm_whole_table(table, monkeypatch):
     size = sum(len((t or "").encode()) + 1 for _, t in rows)
     assert -sum(r.score for r in got) / np.log10(2) / size < 3.2  # bits per byte
     # With hardly any head, the join gives the same sums.
-    monkeypatch.setattr(lm, "HEAD_WORDS", 5)
+    monkeypatch.setattr(lm, "HEAD_WORDS", 40)
     assert_base(lm.query(table("documents")).collect(), rows)
 
 
@@ -55,20 +55,29 @@ def test_lm_edge_cases(edge_docs, edge_rows, empty_docs):
 
 
 def model_of(texts, held=10**9):
-    counter, parts = mixing.Counter(), []
-    old, mixing.HELD = mixing.HELD, held
-    try:
-        for _, _, stream, begin in mixing.streams(texts):
-            counter.add(stream, begin)
-            if counter.full():
-                parts += list(counter.blocks())
-        parts += list(counter.blocks())
-    finally:
-        mixing.HELD = old
-    sums = {}
-    for block, data in parts:
-        sums.setdefault(block, mixing.Sum(block)).add(data)
-    return mixing.Model({k: mixing.finished(k, s.result()) for k, s in sums.items()})
+    """The model of texts whose counts are passed on whenever ``held`` are reached."""
+    counter, sums, seen = mixing.Counter(), {}, []
+
+    def close():
+        tables = mixing.Tables()
+        for kind, keys, number in counter.rows():
+            if kind == mixing.OCCURRENCE:
+                seen.extend(keys)
+            else:
+                (tables.add_tokens, tables.add_borders)[kind](keys, number.copy())
+        for block, data in tables.blocks():
+            sums.setdefault(block, mixing.Sum()).add(data)
+
+    for _, _, stream, begin in mixing.streams(texts):
+        counter.add(stream, begin)
+        if counter.borders.held + counter.tokens.held > held:
+            close()
+    close()
+    blocks = {k: s.finished() for k, s in sums.items()}
+    learner = mixing.Model(blocks)
+    pairs = np.frombuffer(b"".join(seen), np.uint64).reshape(-1, 2)
+    learner.learn(pairs[:, 0], pairs[:, 1])
+    return mixing.Model(blocks, mixing.Mixer.of(learner.mixer.sums(len(pairs))))
 
 
 def plain_events(model, text):
