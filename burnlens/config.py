@@ -42,6 +42,9 @@ WHAT_IF_FLOOR_KG = 500.0
 # Aircraft-type multipliers (default 1 for anything else).
 TYPE_FACTORS = {"NG": 1.0, "Max": 2.0, "Airbus": 1.5}
 
+# Driver data: part types that stand for the named aircraft families.
+TYPE_NAMES = {"ECONOMY": "NG", "LARGE": "Max", "MEDIUM": "Airbus"}
+
 # Season by departure month.
 SEASONS = {
     "Winter": (12, 1, 2),

@@ -3,45 +3,45 @@
 pandas ``quantile`` (linear interpolation, NULLs skipped) is what the reference
 uses for medians, P90s, the 99.5 % data-issue cut and box summaries. Spark's
 exact ``percentile`` merges a value->count map of the *whole group* in one task,
-which does not survive a key holding a third of 100 TB. This operator gets the
-same exact answer in three distributed passes:
-
-1. per group: ``n`` and a GK sketch (``percentile_approx``) evaluated just
-   below and just above each wanted probability. GK guarantees rank error
-   <= n / accuracy, so the two sketch values bracket the wanted order
-   statistics. Sketches are mergeable: partial aggregation, bounded memory.
-2. per group: how many values lie below the bracket and how many inside it
-   (two ``count_if``; partial aggregation again). If a bracket fails to hold
-   the wanted ranks (only possible for tiny groups) it is widened to the
-   whole group.
-3. rows inside a bracket only (about 6/accuracy of the group) are ranked with
-   a window; the two order statistics are picked and interpolated.
-
-The result is exact and equal to ``percentile`` / ``quantile_cont``.
+which does not survive a key holding a third of 100 TB. The same exact answer
+comes from counts alone:
+
+1. per (group, bucket): how many values, the smallest and the largest. A bucket
+   is a fixed, order-preserving cut of the doubles (``BUCKETS`` per factor of
+   two), so this is one partially aggregated pass whatever the distribution.
+2. the counts are cumulated over a group's *buckets*. The bucket that holds a
+   wanted rank is known then; if all its values are equal (ties) or the rank
+   is its first or last, so is the order statistic.
+3. else only that bucket's values are counted, value by value, and cumulated
+   over its *distinct values*.
+
+Windows see buckets or distinct values, never rows: a value that occurs in 90 %
+of the rows is one counted row. Nothing runs while the plan is built, nothing is
+cached, and the result equals ``percentile`` / ``quantile_cont``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import measured_broadcast, with_scalars
+#: Buckets per factor of two, and an offset that makes every exponent positive.
+BUCKETS, EXPONENTS = 4096, 1100
+BEYOND = 3000 * BUCKETS  # infinities
 
-DEFAULT_ACCURACY = 10_000
 
+def bucket(v: Column) -> Column:
+    """Order-preserving bucket number of a double. An exponent that rounds to a
+    neighbour moves the fraction by a whole octave, so the number stays right."""
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    fraction = size / F.pow(F.lit(2.0), exponent.cast("double")) - 1
+    number = (exponent + EXPONENTS) * BUCKETS + F.floor(fraction * BUCKETS) + 1
+    number = F.when(size == float("inf"), F.lit(BEYOND)).otherwise(number)
+    return F.when(v == 0, F.lit(0)).when(v > 0, number).otherwise(-number).cast("long")
 
-def _bracket(p: float, accuracy: int) -> tuple[float, float]:
-    slack = 3.0 / accuracy
-    return max(p - slack, 0.0), min(p + slack, 1.0)
 
-
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: dict[str, float],
-    by: list[str] | None = None,
-    accuracy: int = DEFAULT_ACCURACY,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
     """One row per group of ``by`` (one row overall when empty) with a column
     per entry of ``probs`` holding the exact linear-interpolated quantile.
 
@@ -49,84 +49,61 @@ def exact_quantiles(
     their own group, as in ``groupBy``; callers drop them when needed.
     """
     by = list(by or [])
-    names = list(probs)
-    # NULL and NaN are both "missing" (pandas semantics)
-    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan(F.col("_v"))
-    )
-
-    # pass 1: count + sketch brackets
-    pct = []
-    for name in names:
-        pct.extend(_bracket(probs[name], accuracy))
-    sk = F.percentile_approx("_v", F.array(*[F.lit(x) for x in pct]), accuracy)
-    agg1 = [F.count(F.lit(1)).alias("_n"), sk.alias("_sk")]
-    stats = base.groupBy(*by).agg(*agg1) if by else base.agg(*agg1)
-    for i, name in enumerate(names):
-        p = probs[name]
-        h = (F.col("_n") - 1).cast("double") * F.lit(p)
-        stats = (
-            stats.withColumn(f"_k{i}", F.floor(h).cast("long"))
-            .withColumn(f"_f{i}", h - F.floor(h))
-            .withColumn(f"_lo{i}", F.col("_sk")[2 * i])
-            .withColumn(f"_hi{i}", F.col("_sk")[2 * i + 1])
-        )
-    stats = stats.drop("_sk")
-
-    def attach(frame: DataFrame, st: DataFrame) -> DataFrame:
-        if not by:
-            return with_scalars(frame, st)
-        r = measured_broadcast(st.select(*[F.col(c).alias(f"_j_{c}") for c in by], *[c for c in st.columns if c not in by]))
-        cond = [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in by]
-        return frame.join(r, cond, "inner").drop(*[f"_j_{c}" for c in by])
-
-    # pass 2: rank offset of each bracket and its population
-    with_st = attach(base, stats)
-    agg2 = []
-    for i in range(len(names)):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        agg2.append(F.count_if(F.col("_v") < lo).alias(f"_below{i}"))
-        agg2.append(F.count_if((F.col("_v") >= lo) & (F.col("_v") <= hi)).alias(f"_in{i}"))
-    counts = with_st.groupBy(*by).agg(*agg2) if by else with_st.agg(*agg2)
-    stats2 = attach(stats, counts) if by else with_scalars(stats, counts)
-    for i in range(len(names)):
-        need_hi = F.col(f"_k{i}") + F.when(F.col(f"_f{i}") > 0, 1).otherwise(0)
-        ok = (F.col(f"_below{i}") <= F.col(f"_k{i}")) & (
-            F.col(f"_below{i}") + F.col(f"_in{i}") > need_hi
-        )
-        stats2 = stats2.withColumn(f"_ok{i}", ok)
+    # NULL and NaN are both "missing" (pandas semantics); -0.0 is 0.0.
+    base = df.select(*by, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")
+    ).withColumn("_bucket", bucket(F.col("_v")))
 
-    # pass 3: rank only the rows inside a bracket (whole group if it failed)
-    with_st2 = attach(base, stats2)
-    picks = []
-    for i in range(len(names)):
-        inside = (F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}"))
-        keep = F.when(F.col(f"_ok{i}"), inside).otherwise(F.lit(True))
-        offset = F.when(F.col(f"_ok{i}"), F.col(f"_below{i}")).otherwise(F.lit(0))
-        picks.append(
-            F.when(keep, F.struct(F.lit(i).alias("_qi"), offset.alias("_off"), F.col(f"_k{i}").alias("_kth")))
-        )
-    exploded = with_st2.select(
-        *by, "_v", F.explode(F.filter(F.array(*picks), lambda s: s.isNotNull())).alias("_p")
-    ).select(*by, "_v", "_p._qi", "_p._off", "_p._kth")
-    w = Window.partitionBy(*by, "_qi").orderBy("_v")
-    ranked = exploded.withColumn("_r", F.col("_off") + F.row_number().over(w) - 1).where(
-        (F.col("_r") == F.col("_kth")) | (F.col("_r") == F.col("_kth") + 1)
+    counts = base.groupBy(*by, "_bucket").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    )
+    in_order = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(in_order), F.lit(0)),
+        "_total": F.sum("_n").over(Window.partitionBy(*by)),
+    })
+    # Wanted ranks: the order statistic at or below each quantile, and the next.
+    wanted = []
+    for i, p in enumerate(probs.values()):
+        h = (F.col("_total") - 1).cast("double") * F.lit(float(p))
+        for side in (0, 1):
+            rank = F.least(F.floor(h) + side, F.col("_total") - 1)
+            wanted.append(F.struct(F.lit(2 * i + side).alias("slot"), rank.alias("rank"), (h - F.floor(h)).alias("part")))
+    hits = (
+        counts.withColumn("_w", F.explode(F.array(*wanted)))
+        .where((F.col("_w.rank") >= F.col("_before")) & (F.col("_w.rank") < F.col("_before") + F.col("_n")))
+        .withColumn("_at", F.col("_w.rank") - F.col("_before"))
+    )
+    known = F.when((F.col("_at") == 0) | (F.col("_low") == F.col("_high")), F.col("_low")).when(F.col("_at") == F.col("_n") - 1, F.col("_high"))
+    hits = hits.select(*by, "_bucket", F.col("_w.slot").alias("_slot"), F.col("_w.part").alias("_part"), "_at", known.alias("_value"))
+
+    # Buckets that hold a rank somewhere inside: count their distinct values.
+    keys = [*by, "_bucket"]
+    renamed = [F.col(c).alias(f"_k_{c}") for c in keys]
+    same = None
+    for c in keys:
+        part = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        same = part if same is None else same & part
+    open_hits = hits.where(F.col("_value").isNull())
+    inside = base.join(open_hits.select(*renamed).distinct(), same, "left_semi")
+    values = inside.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    in_order = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    values = values.withColumn("_before", F.coalesce(F.sum("_n").over(in_order), F.lit(0)))
+    ranked = open_hits.select(*renamed, "_slot", "_part", "_at").join(values, same).where(
+        (F.col("_at") >= F.col("_before")) & (F.col("_at") < F.col("_before") + F.col("_n"))
+    )
+    found = hits.where(F.col("_value").isNotNull()).select(*by, "_slot", "_part", "_value").unionByName(
+        ranked.select(*by, "_slot", "_part", F.col("_v").alias("_value"))
     )
-    agg3 = []
-    for i in range(len(names)):
-        agg3.append(F.max(F.when((F.col("_qi") == i) & (F.col("_r") == F.col("_kth")), F.col("_v"))).alias(f"_a{i}"))
-        agg3.append(F.max(F.when((F.col("_qi") == i) & (F.col("_r") == F.col("_kth") + 1), F.col("_v"))).alias(f"_b{i}"))
-    picked = ranked.groupBy(*by).agg(*agg3) if by else ranked.agg(*agg3)
 
-    out = attach(stats2, picked) if by else with_scalars(stats2, picked)
+    picks = []
+    for i in range(len(probs)):
+        for side in (0, 1):
+            picks.append(F.max(F.when(F.col("_slot") == 2 * i + side, F.col("_value"))).alias(f"_s{2 * i + side}"))
+        picks.append(F.max(F.when(F.col("_slot") == 2 * i, F.col("_part"))).alias(f"_p{i}"))
+    out = found.groupBy(*by).agg(*picks)
     cols = []
-    for i, name in enumerate(names):
-        a, b, f = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_f{i}")
-        cols.append(F.when(f == 0, a).otherwise(a + f * (b - a)).alias(name))
+    for i, name in enumerate(probs):
+        a, b, part = F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}"), F.col(f"_p{i}")
+        cols.append(F.when((part == 0) | (a == b), a).otherwise(a + part * (b - a)).alias(name))
     return out.select(*by, *cols)
-
-
-def exact_quantile_col_plan(df: DataFrame, value: str, p: float, by: list[str] | None = None, name: str = "q") -> DataFrame:
-    """Convenience: single probability."""
-    return exact_quantiles(df, value, {name: p}, by=by)

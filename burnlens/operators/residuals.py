@@ -69,9 +69,9 @@ def metrics_long(df: DataFrame, y: str, preds: dict[str, str]) -> DataFrame:
 
 
 def within_tolerance(df: DataFrame, y: str, yhat: str, tol: float = 0.05) -> DataFrame:
-    """Share of rows with |e| / |y| <= tol, and mean bias."""
+    """Share of rows with |e| / max(|y|, 1) <= tol, and mean bias."""
     e = F.col(yhat) - F.col(y)
-    rel = F.abs(e) / F.abs(F.col(y))
+    rel = F.abs(e) / F.greatest(F.abs(F.col(y)), F.lit(1.0))
     return df.agg(
         F.avg(F.when(rel <= tol, 1.0).otherwise(0.0)).alias("WithinTolShare"),
         F.avg(e).alias("MeanBias"),
@@ -185,14 +185,16 @@ def monthly_volume(df: DataFrame, ts: str = "DepartureScheduled") -> DataFrame:
 
 
 def error_by_group(df: DataFrame, by: str, value: str = "AbsError") -> DataFrame:
-    """Mean, count, sample std and a normal 95 % interval per group."""
+    """Mean and count of the absolute error, sample std of the signed
+    residual, and a normal 95 % interval of the mean per group."""
     g = df.where(F.col(by).isNotNull()).groupBy(by).agg(
         F.avg(value).alias("MeanAbsError"),
         F.count(value).alias("Rows"),
-        F.stddev_samp(value).alias("StdAbsError"),
+        F.stddev_samp("Residual").alias("StdResid"),
+        F.stddev_samp(value).alias("_std"),
     )
-    half = F.lit(1.96) * F.col("StdAbsError") / F.sqrt(F.col("Rows"))
-    return g.withColumns({"CILow": F.col("MeanAbsError") - half, "CIHigh": F.col("MeanAbsError") + half})
+    half = F.lit(1.96) * F.col("_std") / F.sqrt(F.col("Rows"))
+    return g.withColumns({"CILow": F.col("MeanAbsError") - half, "CIHigh": F.col("MeanAbsError") + half}).drop("_std")
 
 
 def error_by_season(df: DataFrame, value: str = "AbsError") -> DataFrame:

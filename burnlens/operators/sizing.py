@@ -1,43 +1,46 @@
-"""Broadcast only what is proven small.
-
-``bounded_broadcast`` checks a row bound with a tiny job (``limit(n+1).count``
-reads at most n+1 rows) before hinting a broadcast; above the bound the plain
-frame is returned and the planner / AQE picks a shuffle join, converting to a
-broadcast at runtime only if the measured size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+"""Broadcast only what is proven small, in bytes.
+
+``file_broadcast`` takes the size of a table from its files and runs no job.
+``measured_broadcast`` is for derived per-key tables (one row per group), whose
+size nothing but the data can tell: the table is written once to the shared
+folder, so a lost executor reads it again and nothing stays cached, and its
+written size decides. Beyond the bound the plain frame goes into a shuffle
+join, whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A per-key table is broadcast only when its measured row count is at most
-# this many rows (about 20-40 MB for the narrow stats tables used here).
-STATS_BROADCAST_ROWS = 200_000
+from ..session import materialize
+
+# Compressed bytes of a table that every executor may hold.
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a plain scan reads, from the file listing."""
+    spark = df.sparkSession
+    conf = spark._jsc.hadoopConfiguration()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    total = 0
+    for name in df.inputFiles():
+        p = path(name)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        if total > BROADCAST_BYTES:
+            break
+    return total
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+def file_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint on a scan (and narrow operations on it) whose files are small."""
+    return F.broadcast(df) if scan_bytes(df) <= max_bytes else df
 
 
-def measured_broadcast(df: DataFrame, max_rows: int = STATS_BROADCAST_ROWS) -> DataFrame:
-    """For derived per-key tables (one row per group) whose size has no
-    static bound: persist, count, and broadcast only under ``max_rows``;
-    above it the plain (cached) frame goes into a shuffle join, where AQE
-    can still split skewed partitions. The count also fills the cache, so
-    the aggregate is not recomputed by the join."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def measured_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The table as written to the shared folder, with a broadcast hint if that is small."""
+    return file_broadcast(materialize(df, "stats"), max_bytes)
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

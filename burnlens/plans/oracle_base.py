@@ -123,17 +123,16 @@ _zdrop = ", ".join(f"_m{i}, _s{i}, _hit{i}" for i in range(len(C.Z_SPECS)))
 BASE = f"""
 WITH airports AS (
   SELECT upper(n.n_name) AS iata,
-         CAST(-60.0 AS DOUBLE) + CAST(5.0 AS DOUBLE) * n.n_nationkey AS lat,
-         CAST(-170.0 AS DOUBLE) + CAST(13.7 AS DOUBLE) * n.n_nationkey AS lon,
+         CASE WHEN n.n_nationkey < 24 THEN CAST(-60.0 AS DOUBLE) + CAST(5.0 AS DOUBLE) * n.n_nationkey END AS lat,
+         CASE WHEN n.n_nationkey < 24 THEN CAST(-170.0 AS DOUBLE) + CAST(13.7 AS DOUBLE) * n.n_nationkey END AS lon,
          n.n_name AS city, r.r_name AS country
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE n.n_nationkey < 24
 ),
 raw AS (
   SELECT l.l_orderkey AS OrderKey,
          sn.n_name || '-' || cn.n_name AS ScheduledRoute,
          l.l_shipdate + to_hours(CAST(l.l_partkey % 24 AS INTEGER)) AS DepartureScheduled,
-         p.p_type AS AircraftTypeGroup,
+         CASE {' '.join(f"WHEN p.p_type = '{k}' THEN '{v}'" for k, v in C.TYPE_NAMES.items())} ELSE p.p_type END AS AircraftTypeGroup,
          c.c_mktsegment AS Carrier,
          l.l_returnflag AS AOCDescription,
          CAST(p.p_size + 10 AS INTEGER) AS AircraftCapacity,

@@ -8,6 +8,8 @@ setting is absent (tests, laptops).
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -46,17 +48,15 @@ def configure(spark: SparkSession) -> None:
     # hints or from AQE on measured shuffle sizes.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-    # Sketch aggregates (percentile_approx) over thousands of groups per task
-    # stay hash-based instead of sorting every input row.
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
     checkpoint_dir(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session does not name one (tests, local runs) do we set a
-    private folder of our own.
+    Only when a local session does not name one (tests, laptops) do we set a
+    private folder of our own; on a cluster it would be a different disk on
+    every machine, so there a missing setting is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -68,12 +68,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="burnlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written table when the driver's Python ends (best effort: the
+    session may be gone by then, and then the folder's owner cleans up)."""
+
+    def remove() -> None:
+        if spark._jsc.sc().isStopped():
+            return
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def quietly() -> None:
+        with contextlib.suppress(Exception):
+            remove()
+
+    atexit.register(quietly)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -83,6 +102,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/burnlens/{name}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -5,7 +5,7 @@ the fact is assembled by joins (the same expressions, word for word, are used
 by the DuckDB oracle in ``plans/oracle.py``):
 
 * ScheduledRoute      supplier nation name ``-`` customer nation name
-* AircraftTypeGroup   p_type; Carrier = c_mktsegment; AOCDescription = l_returnflag
+* AircraftTypeGroup   p_type (three of them as NG, Max, Airbus); Carrier = c_mktsegment; AOCDescription = l_returnflag
 * DepartureScheduled  l_shipdate + (l_partkey % 24) hours
 * Burnoff             (l_extendedprice - 1000) / 10
 * Freight             nullif(l_discount, 0)
@@ -15,26 +15,23 @@ by the DuckDB oracle in ``plans/oracle.py``):
                       ZFW TOW - 3000 - l_quantity * 100; ramp TOW + l_tax * 10000
 
 Scale notes: lineitem, orders, part, supplier and customer all grow with the
-scale factor. Each dimension is broadcast only behind a row-count check
-(``bounded_broadcast`` reads at most bound+1 rows); above the bound it is a
-shuffle join, which is what a 100 TB run gets. orders is first reduced to the
-two columns needed and joined to customer (orders is 4x smaller than
+scale factor. Each dimension is broadcast only if its files are small
+(``file_broadcast`` looks at the listing and runs no job); above the bound it
+is a shuffle join, which is what a 100 TB run gets. orders is first reduced to
+the two columns needed and joined to customer (orders is 4x smaller than
 lineitem), so lineitem is shuffled at most once per dimension key. nation
 (25 rows by definition) goes through the same check.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import bounded_broadcast
+from .. import config as C
+from ..operators.sizing import BROADCAST_BYTES, file_broadcast, scan_bytes
 from ..session import ensure_parallelism
 
-# Dimension tables up to this many rows (a few narrow columns: tens of MB)
-# are broadcast; larger ones take a shuffle join.
-DIM_BROADCAST_ROWS = 1_000_000
-
 RAW_COLUMNS = [
     "OrderKey", "ScheduledRoute", "DepartureScheduled", "ArrivalScheduled",
     "AircraftTypeGroup", "Carrier", "AOCDescription", "AircraftCapacity",
@@ -48,6 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def aircraft_type(p_type: Column) -> Column:
+    out = p_type
+    for part, name in C.TYPE_NAMES.items():
+        out = F.when(p_type == part, name).otherwise(out)
+    return out
+
+
 def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -58,15 +62,16 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
+    nation = file_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     sn = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
 
-    cust = bounded_broadcast(cust, DIM_BROADCAST_ROWS)
+    small_oc = scan_bytes(orders) + scan_bytes(cust) <= BROADCAST_BYTES
+    cust = file_broadcast(cust)
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "c_mktsegment", "c_nationkey")
-    part = bounded_broadcast(part, DIM_BROADCAST_ROWS)
-    supp = bounded_broadcast(supp, DIM_BROADCAST_ROWS)
-    oc = bounded_broadcast(oc, DIM_BROADCAST_ROWS)
+    part = file_broadcast(part)
+    supp = file_broadcast(supp)
+    oc = F.broadcast(oc) if small_oc else oc  # one row per order
     f = (
         li.join(part, li.l_partkey == part.p_partkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
@@ -82,7 +87,7 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("sn_name"), F.lit("-"), F.col("cn_name")).alias("ScheduledRoute"),
         dep.alias("DepartureScheduled"),
         (dep + F.make_interval(mins=block.cast("int"))).alias("ArrivalScheduled"),
-        F.col("p_type").alias("AircraftTypeGroup"),
+        aircraft_type(F.col("p_type")).alias("AircraftTypeGroup"),
         F.col("c_mktsegment").alias("Carrier"),
         F.col("l_returnflag").alias("AOCDescription"),
         (F.col("p_size") + 10).alias("AircraftCapacity"),
