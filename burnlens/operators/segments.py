@@ -13,14 +13,14 @@ dropped, as pandas ``groupby`` does.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import scalar as S
 from ..functions.quantile import exact_quantiles
-from .sizing import measured_broadcast, with_scalars
+from ..session import materialize
+from .sizing import BROADCAST_BYTES, with_scalars
 
 ALL_KEYS = [
     "ScheduledRoute", "AircraftTypeGroup", "Carrier", "Origin", "Destination",
@@ -45,6 +45,10 @@ def segment_long(df: DataFrame, specs: list, measures: list[str], keep_keys: boo
 # Hierarchical segment z-scores
 
 
+#: Bytes of a stats row beside its name.
+STATS_ROW_BYTES = 32
+
+
 def segment_stats(df: DataFrame, specs: list, value: str = "Residual_kg", min_size: int = C.MIN_SEGMENT_SIZE) -> DataFrame:
     """Per segment of every spec: size, mean, pop std (0 -> NULL); only
     segments with at least ``min_size`` rows."""
@@ -73,12 +77,14 @@ def segment_zscores(df: DataFrame, specs: list | None = None, value: str = "Resi
     mean / std. Adds ResidualMean_segment, ResidualStd_segment,
     SegmentBasis, ResidualZ_global, ResidualZ_segment.
 
-    The per-segment stats are one aggregate (shared scan); they are joined
-    back once per level. They hold one row per segment, so AQE broadcasts
-    them when small and falls back to a shuffle join otherwise.
+    The per-segment stats are one aggregate (shared scan), written once and
+    joined back once per level. Each level is broadcast by its own size: a
+    season or an aircraft type stays small whatever the number of routes.
     """
     specs = specs or C.Z_SPECS
-    stats = measured_broadcast(segment_stats(df, specs, value, min_size))
+    stats = materialize(segment_stats(df, specs, value, min_size), "segment-stats")
+    size = F.sum(F.length("SegmentName") + STATS_ROW_BYTES).alias("size")
+    sizes = {r.SegmentType: r.size for r in stats.groupBy("SegmentType").agg(size).collect()}  # a row per level
     out = with_scalars(df, global_residual_stats(df, value))
     for i, (label, cols) in enumerate(specs):
         lvl = stats.where(F.col("SegmentType") == label).select(
@@ -87,6 +93,8 @@ def segment_zscores(df: DataFrame, specs: list | None = None, value: str = "Resi
             F.col("_std").alias(f"_s{i}"),
             F.lit(True).alias(f"_hit{i}"),
         )
+        if sizes.get(label, 0) <= BROADCAST_BYTES:
+            lvl = F.broadcast(lvl)
         out = out.join(lvl, S.segment_name(cols) == F.col(f"_n{i}"), "left").drop(f"_n{i}")
     basis = F.lit("Global")
     mean = F.col("_gmean")
@@ -121,8 +129,9 @@ def opportunity_score(frame: DataFrame, cost: str, rate: str, volume: str, std:
     (0.5 + 0.5 * stability), stability = clip(1 - std / (median std + 1e-9), 0, 1)
     with NULL -> 0; the median is taken over ``frame`` (per ``by`` group)."""
     by = list(by or [])
-    # one row per segment: cached so the median passes do not recompute it
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    # one row per segment: written once, so neither the median nor the score
+    # recomputes the rollup, and its long projection stays a stage of its own
+    frame = materialize(frame, "segments")
     med = exact_quantiles(frame, std, {"_std_median": 0.5}, by=by)
     if by:
         med = med.select(*[F.col(c).alias(f"_j_{c}") for c in by], "_std_median")

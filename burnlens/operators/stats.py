@@ -7,6 +7,7 @@ only k x k matrices (k = number of features) ever reach the driver.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,33 +15,60 @@ from ..functions.quantile import exact_quantiles
 from .sizing import with_scalars
 
 
-def corr_long(df: DataFrame, cols: list[str], chunk: int = 9) -> DataFrame:
-    """L1: Pearson r for every ordered pair, pairwise-complete rows (NULLs
-    skipped per pair, like pandas); long (FeatureA, FeatureB, Corr).
-
-    The k(k-1)/2 correlations are computed ``chunk`` per aggregate: one
-    aggregate with all of them outgrows the generated-code size limit and
-    runs interpreted. Each chunk is a partial aggregation (one row per task).
-    """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
-    # NaN counts as missing, as in pandas
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
-    parts = []
-    for k in range(0, len(pairs), chunk):
-        block = pairs[k:k + chunk]
-        row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in block])
-        structs = []
-        for i, j in block:
-            r = F.col(f"c{i}_{j}")
-            structs.append(F.struct(F.lit(cols[i]).alias("FeatureA"), F.lit(cols[j]).alias("FeatureB"), r.alias("Corr")))
-            structs.append(F.struct(F.lit(cols[j]).alias("FeatureA"), F.lit(cols[i]).alias("FeatureB"), r.alias("Corr")))
-        parts.append(row.select(F.inline(F.array(*structs))))
-    spark = df.sparkSession
-    diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "FeatureA string, FeatureB string, Corr double")
-    out = diag
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per pair of columns, over the rows that have both: ``i, j, n`` and the
+    centred sums ``sxx, syy, sxy``. One pass: every task adds up its batches
+    in numpy, centred at the task's own first rows, and emits one row per pair."""
+    k = len(cols)
+    left, right = np.triu_indices(k, 1)
+
+    def run(batches):
+        shift, total = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(k)])
+            has = ~np.isnan(x)
+            if shift is None:
+                shift = np.where(has.any(0), np.nanmean(np.where(has, x, np.nan), axis=0) if has.any() else 0.0, 0.0)
+                shift = np.nan_to_num(shift)
+            z, h = np.where(has, x - shift, 0.0), has.astype(float)
+            part = np.stack([h.T @ h, z.T @ h, h.T @ z, (z * z).T @ h, h.T @ (z * z), z.T @ z])
+            total = part if total is None else total + part
+        if total is not None:
+            n, sx, sy, sxx, syy, sxy = (m[left, right] for m in total)
+            safe = np.maximum(n, 1)
+            columns = [
+                left, right, n.astype(np.int64), shift[left] + sx / safe, shift[right] + sy / safe,
+                sxx - sx * sx / safe, syy - sy * sy / safe, sxy - sx * sy / safe,
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "j", "n", "mx", "my", "sxx", "syy", "sxy"])
+
+    parts = df.mapInArrow(run, "i long, j long, n long, mx double, my double, sxx double, syy double, sxy double").where("n > 0")
+    n = F.col("n").cast("double")
+    sums = parts.groupBy("i", "j").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(n * F.col(m)).alias(f"n{m}") for m in ("mx", "my")],
+        *[F.sum(F.col(s) + n * F.col(a) * F.col(b)).alias(s) for s, a, b in (("sxx", "mx", "mx"), ("syy", "my", "my"), ("sxy", "mx", "my"))],
+    )
+    centred = {s: F.col(s) - F.col(f"n{a}") * F.col(f"n{b}") / F.col("n") for s, a, b in (("sxx", "mx", "mx"), ("syy", "my", "my"), ("sxy", "mx", "my"))}
+    return sums.select("i", "j", "n", *[e.alias(s) for s, e in centred.items()])
+
+
+def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """L1: Pearson r for every ordered pair, pairwise-complete rows (NULLs and
+    NaN skipped per pair, like pandas); long (FeatureA, FeatureB, Corr). All
+    pairs come from one pass over the data (``pair_moments``)."""
+    moments = pair_moments(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
+    names = F.array(*[F.lit(c) for c in cols])
+    size = F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))
+    pairs = moments.select(
+        names[F.col("i").cast("int")].alias("_a"), names[F.col("j").cast("int")].alias("_b"),
+        F.when(size > 0, F.col("sxy") / size).otherwise(F.lit(float("nan"))).alias("Corr"),
+    )
+    both = pairs.select("Corr", F.explode(F.array(F.struct(F.col("_a").alias("a"), F.col("_b").alias("b")), F.struct(F.col("_b").alias("a"), F.col("_a").alias("b")))).alias("p"))
+    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "FeatureA string, FeatureB string, Corr double")
+    return diag.unionByName(both.select(F.col("p.a").alias("FeatureA"), F.col("p.b").alias("FeatureB"), "Corr"))
 
 
 def strongest_pairs(corr: DataFrame, target: str) -> DataFrame:

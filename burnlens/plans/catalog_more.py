@@ -702,13 +702,19 @@ def _model(spark, sf, which: str):
     key = (spark.sparkContext.applicationId, sf, which)
     if key not in _ML_CACHE:
         _, train, _ = _data(spark, sf)
-        _ML_CACHE[key] = {"ridge": ml.ridge_closed_form_cv, "rf": ml.rf_cv, "gbt": ml.gbt}[which](train)
+        boosted = {"n_configs": C.QUERY_BOOST_CONFIGS, "rounds": C.QUERY_BOOST_ROUNDS}
+        _ML_CACHE[key] = {
+            "ridge": lambda: ml.ridge_closed_form_cv(train),
+            "rf": lambda: ml.rf_cv(train, C.QUERY_RF_CONFIGS),
+            "gbt": lambda: ml.boosted_cv(train, "GBT", **boosted),
+            "gbt_wide": lambda: ml.boosted_cv(train, "GBT wide", **boosted),
+        }[which]()
     return _ML_CACHE[key]
 
 
 def _trained(spark, sf):
     data, train, val = _data(spark, sf)
-    return data, train, val, [_model(spark, sf, w) for w in ("ridge", "rf", "gbt")]
+    return data, train, val, [_model(spark, sf, w) for w in ("ridge", "rf", "gbt", "gbt_wide")]
 
 
 def clear_models() -> None:
@@ -729,9 +735,15 @@ def rf_cv(spark, sf):
     return spark.createDataFrame(rows, "Model string, Params string, CV_RMSE double")
 
 
+@query("hp_search")
+def hp_search(spark, sf):
+    """ML9: one search log of all models."""
+    return ml.search_log(_trained(spark, sf)[3], spark)
+
+
 @query("gbt")
 def gbt(spark, sf):
-    """ML6/ML7: boosted-tree predictions on the validation split."""
+    """ML6: boosted-tree predictions on the validation split."""
     _, _, val = _data(spark, sf)
     return _model(spark, sf, "gbt").model.transform(val).select("OrderKey", "label", "prediction")
 
