@@ -293,21 +293,22 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     """One row of each group, with all columns of ``docs``: that of the smallest id (a row
     without an id only if the whole group has none; one of repeated rows)."""
     small_batches(docs.sparkSession)
-    fp = "__simhash_fp"
+    fp, row = "__simhash_fp", "__simhash_row"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t, shingle) for t in texts(batch.column(batch.schema.get_field_index(text_col)))]
             yield batch.append_column(fp, pa.array(np.array(prints, np.uint64).view(np.int64)))
 
-    whole = materialize(docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())])), "simhash-documents")
-    rooted = classes(whole.select(F.col(id_col).cast("long").alias("doc_id"), F.col(fp).alias("fp")), max_bits)
+    whole = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
+    whole = materialize(whole.withColumn(row, F.monotonically_increasing_id()), "simhash-documents")
+    slim = whole.select(F.col(id_col).cast("long").alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
+    rooted = classes(slim.select("doc_id", "fp"), max_bits)
     if rooted is None:
         return docs
-    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("kept")
-    kept = rooted.groupBy("root").agg(first).select(F.col("kept.low").alias("__kept_id"), F.col("kept.fp").alias("__kept_fp"))
-    same = whole[id_col].cast("long").eqNullSafe(kept["__kept_id"]) & (whole[fp] == kept["__kept_fp"])
-    return whole.join(kept, same, "left_semi").dropDuplicates([id_col, fp]).drop(fp)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    lowest = slim.groupBy("fp").agg(first.alias("first")).join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return whole.join(lowest.select(F.col("first.row").alias(row)), row, "left_semi").drop(fp, row)
 
 
 def query(docs: DataFrame) -> DataFrame:
