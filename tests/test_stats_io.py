@@ -77,7 +77,7 @@ def test_csv_round_trip_and_required(spark):
     assert io.read_optional(spark, os.path.join(d, "nope")) is None
     with pytest.raises(io.MissingInput):
         io.read_required(spark, os.path.join(d, "nope"), "stage 1")
-    with pytest.raises(io.MissingInput, match="Checked"):
+    with pytest.raises(io.MissingInput, match="no input"):
         io.resolve_path(None, [os.path.join(d, "x.csv")])
 
 
