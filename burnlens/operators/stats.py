@@ -17,29 +17,31 @@ from .sizing import with_scalars
 
 def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per pair of columns, over the rows that have both: ``i, j, n`` and the
-    centred sums ``sxx, syy, sxy``. One pass: every task adds up its batches
-    in numpy, centred at the task's own first rows, and emits one row per pair."""
+    centred sums ``sxx, syy, sxy``. Every task adds up its batches in numpy and
+    emits one row per pair. The columns are shifted by their means first (one
+    aggregate, attached as a scalar), or large means would cancel the digits."""
     k = len(cols)
+    # NaN counts as missing, as in pandas
+    df = df.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in cols])
+    df = with_scalars(df, df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols]))
+    df = df.select(*[(F.col(c) - F.col(f"_mean_{c}")).alias(c) for c in cols])
     left, right = np.triu_indices(k, 1)
 
     def run(batches):
-        shift, total = None, None
+        total = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(k)])
             has = ~np.isnan(x)
-            if shift is None:
-                shift = np.where(has.any(0), np.nanmean(np.where(has, x, np.nan), axis=0) if has.any() else 0.0, 0.0)
-                shift = np.nan_to_num(shift)
-            z, h = np.where(has, x - shift, 0.0), has.astype(float)
+            z, h = np.where(has, x, 0.0), has.astype(float)
             part = np.stack([h.T @ h, z.T @ h, h.T @ z, (z * z).T @ h, h.T @ (z * z), z.T @ z])
             total = part if total is None else total + part
         if total is not None:
             n, sx, sy, sxx, syy, sxy = (m[left, right] for m in total)
             safe = np.maximum(n, 1)
             columns = [
-                left, right, n.astype(np.int64), shift[left] + sx / safe, shift[right] + sy / safe,
+                left, right, n.astype(np.int64), sx / safe, sy / safe,
                 sxx - sx * sx / safe, syy - sy * sy / safe, sxy - sx * sy / safe,
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "j", "n", "mx", "my", "sxx", "syy", "sxy"])
@@ -58,7 +60,7 @@ def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """L1: Pearson r for every ordered pair, pairwise-complete rows (NULLs and
     NaN skipped per pair, like pandas); long (FeatureA, FeatureB, Corr). All
-    pairs come from one pass over the data (``pair_moments``)."""
+    pairs share one pass (``pair_moments``)."""
     moments = pair_moments(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
     names = F.array(*[F.lit(c) for c in cols])
     size = F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))
