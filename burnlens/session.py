@@ -76,8 +76,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Delete a written table when the driver's Python ends (best effort: the
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written folder when the driver's Python ends (best effort: the
     session may be gone by then, and then the folder's owner cleans up)."""
 
     def remove() -> None:
@@ -102,7 +102,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/burnlens/{name}-{uuid.uuid4().hex}"
-    _remove_at_exit(spark, path)
+    remove_at_exit(spark, path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
