@@ -3,18 +3,20 @@ stage tables and connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import itertools
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnlens.session import checkpoint_dir, materialize
+from burnlens.session import checkpoint_dir, materialize, remove_at_exit
 
 BATCH_ROWS = 1024
 
-__all__ = ["checkpoint_dir", "components", "documents", "forest", "map_arrow", "materialize", "small_batches", "table", "texts"]
+__all__ = ["checkpoint_dir", "components", "documents", "forest", "in_steps", "map_arrow", "materialize", "small_batches", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +59,22 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def in_steps(steps: Iterable[DataFrame], name: str) -> DataFrame | None:
+    """The union of many frames, each written before the next one starts, so
+    neither the plan nor what a lost executor must repeat grows with their number.
+    A single frame stays as it is."""
+    steps = iter(steps)
+    first, second = next(steps, None), next(steps, None)
+    if second is None:
+        return first
+    spark = first.sparkSession
+    path = f"{checkpoint_dir(spark)}/burnlens/{name}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    for step in itertools.chain([first, second], steps):
+        step.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node number of each node's component, for nodes ``0..n-1`` and
     undirected links ``a-b`` (hooking with pointer jumping)."""

@@ -13,7 +13,7 @@ stops at the first node that doesn't match.  Each check is Myers' bit-parallel
 edit distance, free at both ends of the window that the errors allow.
 
 The items go to the tasks in blocks of a bounded number of characters; further
-blocks are further passes.
+blocks are further passes, each written before the next.
 
 Defined cases: a null or empty text matches nothing, nor does an item without
 words; an item too short for an error must occur unchanged; repeated items and
@@ -25,14 +25,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, small_batches
+from burnlens.llm.common import documents, in_steps, materialize, small_batches
 
 CHARS_PER_ERROR = 10
 #: Characters of the items in one block.
@@ -210,8 +209,8 @@ def find(docs: DataFrame, benchmark: DataFrame, chars_per_error: int = CHARS_PER
 
         return slim.mapInArrow(run, MATCH)
 
-    parts = [one(items) for items in blocks(benchmark, block_chars)]
-    return reduce(DataFrame.union, parts) if parts else one([])
+    found = in_steps((one(items) for items in blocks(benchmark, block_chars)), "decontaminate-found")
+    return one([]) if found is None else found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_error: int = CHARS_PER_ERROR, block_chars: int = BLOCK_CHARS, text_col: str = "text") -> DataFrame:
@@ -228,7 +227,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_error: in
         return rows.mapInArrow(run, rows.schema)
 
     small_batches(docs.sparkSession)
-    return reduce(one, blocks(benchmark, block_chars), docs)
+    for k, items in enumerate(blocks(benchmark, block_chars)):
+        # Each pass is written before the next: a chain of them would need a worker for each.
+        docs = one(materialize(docs, "decontaminate-kept") if k else docs, items)
+    return docs
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ of a bounded number of rows.  A block goes to every task as sparse rows (term ->
 queries and weights); each task holds its candidates as postings (term -> rows
 and weights) and, one term after the other, scatters the weighted postings into
 a dense array of scores per query.  A partition selection keeps each query's
-best ``k`` of the task, and these are merged in two levels.  All sums are exact
-64-bit integers.
+best ``k`` of the task, and these are merged in two levels.  Every block's result
+is written before the next block starts.  All sums are exact 64-bit integers.
 
 Defined cases: vectors that are null or hold a null or non-finite component take
 no part; a vector's missing trailing components count as 0; an empty vector
@@ -19,14 +19,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import materialize
+from burnlens.llm.common import in_steps, materialize
 
 K = 10
 SCALE = 1024
@@ -144,17 +143,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     queries = materialize(integer_vectors(vectors.where(is_query), id_col, vector_col).distinct(), "topk-queries")
     blocks = -(-queries.count() // block_queries)
     block_of = F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(blocks, 1)))
-    parts = []
-    for b in range(blocks):
-        # About block_queries rows each, whatever the table's size.
-        rows = [(r.vec_id, list(r.v)) for r in queries.where(block_of == b).collect()]
-        if rows:
-            parts.append(block_scores(clean, rows, k))
-    if not parts:
+
+    def found() -> Iterator[DataFrame]:
+        for b in range(blocks):
+            # About block_queries rows each, whatever the table's size.
+            rows = [(r.vec_id, list(r.v)) for r in queries.where(block_of == b).collect()]
+            if rows:
+                part = block_scores(clean, rows, k).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)))
+                part = _best(part.distinct(), k, "query_id", "part").select("query_id", "vec_id", "score").distinct()
+                yield _best(part, k, "query_id").select("query_id", "rank", "vec_id", "score")
+
+    best = in_steps(found(), "topk-found")
+    if best is None:
         return clean.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).where("false")
-    found = reduce(DataFrame.union, parts).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)))
-    found = _best(found.distinct(), k, "query_id", "part").select("query_id", "vec_id", "score").distinct()
-    return _best(found, k, "query_id").select("query_id", "rank", "vec_id", "score")
+    return best
 
 
 def query(vectors: DataFrame) -> DataFrame:

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burnlens.llm.common import checkpoint_dir
+from burnlens.session import remove_at_exit
 
 MIN_REVISIT = 100
 #: Bytes of a block in one record, of one HTTP chunk, and records of one archive: a file holds about 18 MB at most.
@@ -254,6 +255,7 @@ def read_pages(records: DataFrame, with_payload: bool = True) -> DataFrame:
 def query(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = f"{checkpoint_dir(spark)}/burnlens/warc-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
     write_archives(pages, path)
     return read_pages(read_records(spark, path), with_payload=False).drop("payload")
 
