@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import predict, residuals, segments, tables
+from ..operators import ml, predict, residuals, segments, stats, tables
 from .catalog import (
     _MON_SQL,
     _ROUTE_ERR_SQL,
@@ -256,3 +256,53 @@ def shared_models(spark, sf):
     results = residuals.metrics_long(b, C.TARGET, {**preds, "Unscored": "BaselinePred_kg"}).withColumnRenamed("Label", "Model")
     long = b.select(F.explode(F.array(*[F.struct(F.lit(k).alias("Model"), F.col(c).alias("yhat")) for k, c in preds.items()])).alias("p"))
     return tables.shared_models(results, long.where("p.yhat IS NOT NULL").select("p.Model"))
+
+
+_VIF_COLUMNS = ["PlannedTripTime", "LoadFactor", "WeightDelta"]
+
+
+def _vif3_sql(cols: list[str]) -> str:
+    """Uncentred VIFs of three columns in closed form: G_ii times the cofactor over the determinant."""
+    sums = ", ".join(f"sum(x{i} * x{j}) AS g{i}{j}" for i in range(3) for j in range(i, 3))
+    cofactor = ["g11 * g22 - g12 * g12", "g00 * g22 - g02 * g02", "g00 * g11 - g01 * g01"]
+    det = "(g00 * (g11 * g22 - g12 * g12) - g01 * (g01 * g22 - g12 * g02) + g02 * (g01 * g12 - g11 * g02))"
+    some = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS Feature, g{i}{i} * ({cofactor[i]}) / {det} AS VIF FROM g" for i, c in enumerate(cols))
+    columns = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(cols))
+    return f"""
+    WITH x AS (SELECT {columns} FROM eng WHERE {some}), g AS (SELECT {sums} FROM x)
+    SELECT *, CASE WHEN VIF > 10 THEN 'high' WHEN VIF > 5 THEN 'moderate' ELSE 'low' END AS Level FROM ({rows})
+    """
+
+
+@query("vif_three", _vif3_sql(_VIF_COLUMNS), "Feature, VIF:d, Level")
+def vif_three(spark, sf):
+    """L3: variance inflation of three columns, against the closed form."""
+    return stats.vif(_eng(spark, sf), _VIF_COLUMNS)
+
+
+_RIDGE_FEATURE = "PlannedTripTime"
+_RIDGE_ROWS = " AND ".join(f"{c} IS NOT NULL" for c in [*C.NUMERIC_FEATURES, *C.CATEGORICAL_FEATURES, C.TARGET])
+
+
+@query(
+    "ridge_one_feature",
+    f"""
+    WITH t AS (SELECT Fold, CAST({_RIDGE_FEATURE} AS DOUBLE) AS x, Burnoff AS y FROM splitf WHERE NOT IsValidation AND {_RIDGE_ROWS}),
+    f AS (SELECT DISTINCT Fold AS k FROM t),
+    s AS (SELECT k, avg(x) AS mu, stddev_pop(x) AS sd, avg(y) AS yb FROM f JOIN t ON t.Fold <> f.k GROUP BY k),
+    c AS (SELECT s.k, sum((x - mu) / sd * (y - yb)) AS zy, sum((x - mu) / sd * ((x - mu) / sd)) AS zz FROM s JOIN t ON t.Fold <> s.k GROUP BY s.k),
+    a AS (SELECT unnest([{', '.join(str(float(a)) for a in C.RIDGE_ALPHAS)}]) AS Alpha),
+    r AS (
+      SELECT a.Alpha, s.k, sqrt(avg((s.yb + c.zy / (c.zz + a.Alpha) * (t.x - s.mu) / s.sd - t.y) * (s.yb + c.zy / (c.zz + a.Alpha) * (t.x - s.mu) / s.sd - t.y))) AS rmse
+      FROM a CROSS JOIN s JOIN c ON c.k = s.k JOIN t ON t.Fold = s.k GROUP BY a.Alpha, s.k
+    )
+    SELECT CAST(Alpha AS DOUBLE) AS Alpha, avg(rmse) AS CV_RMSE FROM r GROUP BY 1
+    """,
+    "Alpha:d, CV_RMSE:d",
+)
+def ridge_one_feature(spark, sf):
+    """ML4: the ridge search on one feature, against the closed form per fold."""
+    data = ml.training_frame(_eng(spark, sf)).where(~F.col("IsValidation"))
+    fitted = ml.ridge_closed_form_cv(data, numeric=[_RIDGE_FEATURE], categorical=[])
+    return spark.createDataFrame([(float(p["alpha"]), float(r)) for p, r in fitted.search], "Alpha double, CV_RMSE double")
