@@ -49,7 +49,7 @@ CLASSES, CLASS_ORDERS, LETTER_SHARE, MARK_SHARE = 32, (3, 5), 0.002, 0.05
 HELD, TOKENS_AT_ONCE = 1_000_000, 60_000
 #: One byte in so many is an occurrence that the mixer learns from; its steps and their size.
 OCCURRENCE_BYTES, STEP_OCCURRENCES, RATE = 256, 128, 0.02
-TALLY_BITS, SCORE_BITS, EVENT_BITS = 20, 20, 21
+TALLY_BITS, SCORE_BITS, EVENT_BITS = 20, 21, 22
 #: Bytes of text and events that are worked on together.
 BYTES_AT_ONCE, EVENTS_AT_ONCE = 1 << 18, 1 << 15
 
