@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, in_steps, materialize, small_batches
+from burnlens.llm.common import documents, in_steps, materialize, small_batches, tidied
 
 CHARS_PER_ERROR = 10
 #: Characters of the items in one block.
@@ -207,7 +207,7 @@ def find(docs: DataFrame, benchmark: DataFrame, chars_per_error: int = CHARS_PER
                         rows.append((doc_id, matcher.items[number][0], errors, *original_span(raw, start, end)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
-        return slim.mapInArrow(run, MATCH)
+        return slim.mapInArrow(tidied(run), MATCH)
 
     found = in_steps((one(items) for items in blocks(benchmark, block_chars)), "decontaminate-found")
     return one([]) if found is None else found
@@ -224,7 +224,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars_per_error: in
                 keep = [not matcher.matches(t.as_py() or "", first_only=True) for t in batch.column(at)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        return rows.mapInArrow(run, rows.schema)
+        return rows.mapInArrow(tidied(run), rows.schema)
 
     small_batches(docs.sparkSession)
     for k, items in enumerate(blocks(benchmark, block_chars)):

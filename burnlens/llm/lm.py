@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burnlens.llm import mixing
-from burnlens.llm.common import documents, map_arrow, materialize, texts
+from burnlens.llm.common import documents, map_arrow, materialize, texts, tidied
 from burnlens.llm.labelled import held_out
 from burnlens.llm.wordhash import HashTable, prefix_sums, stretch_hash
 
@@ -77,7 +77,7 @@ def counted(docs: DataFrame) -> DataFrame:
         yield from close()
         yield _rows(kind=([DOCUMENTS], pa.int32()), key=([b""], pa.binary()), n=([n], pa.int64()))
 
-    return docs.select("text").mapInArrow(run, "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidied(run), "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def vocabulary_of(counts: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def block_parts(counts: DataFrame) -> DataFrame:
             for block, data in tables.blocks():
                 yield _rows(block=([block], pa.int32()), part=([part], pa.int32()), data=([data], pa.binary()))
 
-    return counts.where(F.col("kind").isin(mixing.TOKEN, mixing.BORDER)).mapInArrow(run, "block int, part int, data binary")
+    return counts.where(F.col("kind").isin(mixing.TOKEN, mixing.BORDER)).mapInArrow(tidied(run), "block int, part int, data binary")
 
 
 def merge_blocks(parts: DataFrame, finish: bool) -> DataFrame:
@@ -141,7 +141,7 @@ def merge_blocks(parts: DataFrame, finish: bool) -> DataFrame:
             yield close()
 
     dealt = parts.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", data binary")
+    return dealt.mapInArrow(tidied(run), ", ".join(f"{k} int" for k in keys) + ", data binary")
 
 
 def train_mixer(counts: DataFrame, blocks: dict[int, bytes]) -> mixing.Mixer:
@@ -159,7 +159,7 @@ def train_mixer(counts: DataFrame, blocks: dict[int, bytes]) -> mixing.Mixer:
             yield _rows(k=(np.arange(len(sums)), pa.int32()), v=(sums, pa.float64()))
 
     occurrences = counts.where(F.col("kind") == mixing.OCCURRENCE).select("key")
-    rows = occurrences.mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()
+    rows = occurrences.mapInArrow(tidied(run), "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()
     return mixing.Mixer.of(np.array([r.v for r in rows]))
 
 
@@ -227,7 +227,7 @@ def scored(docs: DataFrame, blocks: dict[int, bytes], mixer: mixing.Mixer, head:
                     names=["doc_id", "n_words", "head_known", "head_sum", "score", "tail_h", "tail_n"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_words long, head_known long, head_sum double, score double, tail_h array<long>, tail_n array<int>")
+    return docs.mapInArrow(tidied(run), "doc_id long, n_words long, head_known long, head_sum double, score double, tail_h array<long>, tail_n array<int>")
 
 
 def scores(docs: DataFrame) -> DataFrame:

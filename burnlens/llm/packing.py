@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, materialize
+from burnlens.llm.common import documents, materialize, tidied
 from burnlens.llm.wordbpe import WordBpe
 
 LIMIT = 4096
@@ -67,7 +67,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, limit: int =
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"],
                 )
 
-    return documents(docs).mapInArrow(run, PIECES)
+    return documents(docs).mapInArrow(tidied(run), PIECES)
 
 
 def pack_lengths(histogram: dict[int, int], limit: int = LIMIT) -> list[tuple[int, list[int]]]:
@@ -153,7 +153,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID, l
             kept = [batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked.mapInArrow(tidied(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def query(docs: DataFrame) -> DataFrame:

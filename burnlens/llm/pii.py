@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, small_batches
+from burnlens.llm.common import documents, small_batches, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)  # label of what is no personal data
@@ -322,7 +322,7 @@ def train(docs: DataFrame) -> Field:
         columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()), pa.array([total[k] for k in keys], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["name", "a", "b", "n"])
 
-    counts = documents(docs).mapInArrow(run, "name string, a int, b int, n long").groupBy("name", "a", "b").agg(F.sum("n").alias("n"))
+    counts = documents(docs).mapInArrow(tidied(run), "name string, a int, b int, n long").groupBy("name", "a", "b").agg(F.sum("n").alias("n"))
     return Field.of({(r.name, r.a, r.b): r.n for r in counts.collect()})
 
 
@@ -347,7 +347,7 @@ def find(docs: DataFrame, model: Field | None = None) -> DataFrame:
                 rows.append((doc_id, *(n[k] for k in range(NONE)), hashlib.sha256(written(base).encode()).hexdigest(), written(base + more), len(more)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
-    return documents(docs).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return documents(docs).mapInArrow(tidied(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -388,7 +388,7 @@ def redact(docs: DataFrame, model: Field | None = None, text_col: str = "text",
                     batch = batch.set_column(k, batch.schema.field(k), pa.array(new, batch.schema.field(k).type))
             yield batch
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def query(docs: DataFrame) -> DataFrame:

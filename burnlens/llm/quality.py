@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, map_arrow, texts
+from burnlens.llm.common import documents, map_arrow, texts, tidied
 from burnlens.llm.labelled import SAMPLE_ROWS, held_out, labelled_texts, sampled_labels
 from burnlens.llm.wordhash import mixed, prefix_sums, stretch_hash, table_bounds, word_bounds
 
@@ -231,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["label", "x"])
 
     sample = labelled_texts(docs, sampled_labels(labels, learn, label_col, sample_rows))
-    rows = sample.select("text", "label").mapInArrow(run, "label int, x array<double>").orderBy("x", "label").collect()
+    rows = sample.select("text", "label").mapInArrow(tidied(run), "label int, x array<double>").orderBy("x", "label").collect()
     x = np.array([r.x for r in rows]).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([r.label > 0 for r in rows], float))
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from burnlens.llm.common import components, documents, forest, map_arrow, materialize, small_batches, texts
+from burnlens.llm.common import components, documents, forest, map_arrow, materialize, small_batches, texts, tidied
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -91,7 +91,7 @@ def bit_counts(fps: DataFrame) -> np.ndarray:
                 total += bits.T @ bits
         yield pa.RecordBatch.from_arrays([pa.array(range(BITS), pa.int32()), pa.array(total.astype(np.int64).tolist(), pa.list_(pa.int64()))], names=["i", "c"])
 
-    rows = fps.mapInArrow(run, "i int, c array<long>").select("i", F.posexplode("c").alias("j", "n")).groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
+    rows = fps.mapInArrow(tidied(run), "i int, c array<long>").select("i", F.posexplode("c").alias("j", "n")).groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
     out = np.zeros((BITS, BITS))
     for r in rows:  # 4,096 at most
         out[r.i, r.j] = r.n
@@ -264,7 +264,7 @@ def links(fps: DataFrame, groups: list[list[int]], thresholds: list[int], max_bi
             yield close(held)
 
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket", *order).select("bucket", "probe", "fp")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(tidied(run), "a long, b long").distinct()
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame | None:
@@ -300,7 +300,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
             prints = [fingerprint(t, shingle) for t in texts(batch.column(batch.schema.get_field_index(text_col)))]
             yield batch.append_column(fp, pa.array(np.array(prints, np.uint64).view(np.int64)))
 
-    whole = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
+    whole = docs.mapInArrow(tidied(run), StructType([*docs.schema.fields, StructField(fp, LongType())]))
     whole = materialize(whole.withColumn(row, F.monotonically_increasing_id()), "simhash-documents")
     slim = whole.select(F.col(id_col).cast("long").alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
     rooted = classes(slim.select("doc_id", "fp"), max_bits)

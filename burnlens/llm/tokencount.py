@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from burnlens.llm.bytebpe import ByteBpeCounts
-from burnlens.llm.common import documents
+from burnlens.llm.common import documents, tidied
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -121,7 +121,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
             size = np.array([len(t) if t.isascii() else len(t.encode()) for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(n), pa.array(n > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return documents(docs).mapInArrow(tidied(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def query(docs: DataFrame) -> DataFrame:

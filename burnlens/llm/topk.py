@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import in_steps, materialize
+from burnlens.llm.common import in_steps, materialize, tidied
 
 K = 10
 SCALE = 1024
@@ -129,7 +129,7 @@ def block_scores(vectors: DataFrame, block: list[tuple[int, list[int]]], k: int)
         q, i, s = held
         yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
 
-    return vectors.mapInArrow(run, PARTIAL)
+    return vectors.mapInArrow(tidied(run), PARTIAL)
 
 
 def _best(rows: DataFrame, k: int, *keys: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import documents, map_arrow, small_batches
+from burnlens.llm.common import documents, map_arrow, small_batches, tidied
 from burnlens.llm.labelled import SAMPLE_ROWS, held_out, labelled_texts, sampled_labels
 from burnlens.llm.wordhash import mixed, prefix_sums, stretch_hash, table_bounds
 
@@ -308,7 +308,7 @@ def mine(labelled: DataFrame) -> dict[int, np.ndarray]:
                 part = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays([part.column("text"), part.column("label"), pa.array(sketch(low).view(np.int64))], names=["text", "label", "sketch"])
 
-    labelled = labelled.select("text", "label").mapInArrow(sketched, "text string, label int, sketch long").groupBy("sketch", "label").agg(F.min("text").alias("text"))
+    labelled = labelled.select("text", "label").mapInArrow(tidied(sketched), "text string, label int, sketch long").groupBy("sketch", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,7 +325,7 @@ def mine(labelled: DataFrame) -> dict[int, np.ndarray]:
     labelled = labelled.persist()
     rows = labelled.agg(F.count("*").alias("n"), F.sum((F.col("label") > 0).cast("int")).alias("t")).first()
     toxic, other = rows.t or 0, rows.n - (rows.t or 0)
-    counts = labelled.mapInArrow(run, "size int, h long, toxic long, other long").groupBy("size", "h").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counts = labelled.mapInArrow(tidied(run), "size int, h long, toxic long, other long").groupBy("size", "h").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = (F.col("toxic") / (F.col("other") + 0.5)) / ((toxic + 1) / (other + 1))
     out = {}
     strong = counts.where((F.col("toxic") >= max(MINED_ROWS, MINED_SHARE * toxic)) & (odds >= MINED_ODDS)).persist()
@@ -353,7 +353,7 @@ def vote_patterns(docs: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarr
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["votes", "n"])
 
-    rows = documents(docs).select("text").mapInArrow(run, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
+    rows = documents(docs).select("text").mapInArrow(tidied(run), "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
     pattern = np.array([r.votes for r in rows], np.int64)
     return (pattern[:, None] & bits) > 0, np.array([r.n for r in rows], np.float64)
 
@@ -398,7 +398,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
                     )
 
         # A bounded sample: SAMPLE_ROWS rows of hashed columns.
-        rows = labelled.select("text", "label").mapInArrow(run, "label int, votes long, columns binary").orderBy("votes", "columns").collect()
+        rows = labelled.select("text", "label").mapInArrow(tidied(run), "label int, votes long, columns binary").orderBy("votes", "columns").collect()
     finally:
         labelled.unpersist()
     bits = 1 << np.arange(len(voters.names))
@@ -436,7 +436,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
                 yield batch.filter(pa.array(model.scores(texts) < threshold))
 
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def not_held_out() -> Column:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnlens.llm.common import checkpoint_dir
+from burnlens.llm.common import checkpoint_dir, tidied
 from burnlens.session import remove_at_exit
 
 MIN_REVISIT = 100
@@ -184,7 +184,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     kept = full.join(elsewhere.select("page_id", "digest").distinct(), ["page_id", "digest"], "left_anti")
-    records = kept.select("page_id", "url", "payload").mapInArrow(responses, "value binary").union(elsewhere.mapInArrow(repeats, "value binary"))
+    records = kept.select("page_id", "url", "payload").mapInArrow(tidied(responses), "value binary").union(elsewhere.mapInArrow(tidied(repeats), "value binary"))
     records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
@@ -205,7 +205,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInArrow(run, RECORD)
+    return files.select("content").mapInArrow(tidied(run), RECORD)
 
 
 def _pages(found: Iterator[tuple[int | None, bytes | None]], with_payload: bool) -> pa.RecordBatch:
@@ -239,9 +239,9 @@ def read_pages(records: DataFrame, with_payload: bool = True) -> DataFrame:
             groups = zip(batch.column("page_id").to_pylist(), batch.column("segments"))
             yield _pages(((p, reassembled(s.as_py())) for p, s in groups), with_payload)
 
-    single = records.where("type = 'response' AND origin IS NULL").select("page_id", "block").mapInArrow(whole, PAGE)
+    single = records.where("type = 'response' AND origin IS NULL").select("page_id", "block").mapInArrow(tidied(whole), PAGE)
     segments = records.where("origin IS NOT NULL").groupBy("origin").agg(F.max("page_id").alias("page_id"), F.collect_list(F.struct("segment", "total", "block")).alias("segments"))
-    responses = single.union(segments.select("page_id", "segments").mapInArrow(joined, PAGE))
+    responses = single.union(segments.select("page_id", "segments").mapInArrow(tidied(joined), PAGE))
     stored = responses.where("page_id IS NOT NULL").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
     repeats = (
         records.where("type = 'revisit'")
