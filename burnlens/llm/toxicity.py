@@ -238,7 +238,7 @@ def fit_linear(votes: np.ndarray, rows: list[np.ndarray], target: np.ndarray) ->
     order = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for part in np.array_split(order.permutation(n), max(1, n // BATCH)):
-            column = np.concatenate([rows[k] for k in part]) if len(part) else np.zeros(0, np.int64)
+            column = np.concatenate([rows[k] for k in part]) if len(part) else np.zeros(0, np.int32)
             size = np.array([len(rows[k]) for k in part])
             at = np.repeat(np.arange(len(part)), size)
             error = (model.score(votes[part], at, column) - target[part]) / max(1, len(part))
@@ -403,12 +403,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
         labelled.unpersist()
     bits = 1 << np.arange(len(voters.names))
     votes = (np.array([r.votes for r in rows], np.int64)[:, None] & bits) > 0
-    columns = [np.frombuffer(r.columns, np.int32).astype(np.int64) for r in rows]
-    if rows:
+    label = (np.array([r.label for r in rows]) > 0).astype(float)
+    columns = [np.frombuffer(r.columns, np.int32) for r in rows]
+    del rows
+    if columns:
         linear = fit_linear(votes.astype(float), columns, model.posterior(votes))
-        at = np.repeat(np.arange(len(rows)), [len(c) for c in columns])
-        margin = linear.margin(votes.astype(float), at, np.concatenate(columns))
-        calibrate(linear, margin, (np.array([r.label for r in rows]) > 0).astype(float))
+        margin = []
+        for k in range(0, len(columns), BATCH):
+            part = columns[k : k + BATCH]
+            margin.append(linear.margin(votes[k : k + BATCH].astype(float), np.repeat(np.arange(len(part)), [len(c) for c in part]), np.concatenate(part)))
+        calibrate(linear, np.concatenate(margin), label)
     else:  # no labelled rows: the label model's own evidence, voter by voter
         some = np.eye(len(bits), dtype=bool)
         none = float(model.log_odds(np.zeros((1, len(bits)), bool))[0])
