@@ -67,7 +67,8 @@ SPELLED = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:(?:{
 DEFANGED = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\.)[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])")
 GROUPED_CARD = re.compile(r"(?<![0-9.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}(?![0-9])")
 NUMBER = re.compile(r"(?<![0-9])\(?[0-9](?:[ .()/-]{0,2}[0-9]){6,18}(?![0-9])")
-MARKS = ("[at", "(at", "{at", "[AT", "(AT", "[At", "(At", "[@", "(@", " dot ", "[dot", "(dot", "{dot", "[.", "(.", "[ at", "( at")
+#: Every match of ``SPELLED``, and every one of ``DEFANGED`` that counts, has one of these.
+MARK = re.compile(r"[\[({]\s?(?i:at|@|dot|\.)| (?i:dot) ")
 SPELLING = [(re.compile(rf"(?i){AT}"), "@"), (re.compile(rf"(?i){DOT}"), "."), (re.compile("(?i) at "), "@"), (re.compile("(?i) dot "), ".")]
 
 Span = tuple[int, int, int]  # start, end, kind
@@ -149,7 +150,7 @@ def base_node(text: str, span: Span) -> Node:
 def candidates(text: str, base: list[Span]) -> list[Node]:
     """Spans, clear of the base spans and of each other, that may be personal data in another form."""
     found: list[Node] = []
-    if any(m in text for m in MARKS):
+    if MARK.search(text):
         for m in SPELLED.finditer(text):
             s = m.group()
             for pattern, plain in SPELLING:
