@@ -5,17 +5,16 @@ Base score: sum over a text's words and its end of
 distinct tokens of the training texts.  Score: log10 probability under
 ``mixing.Model``.
 
-1. One pass over the training texts: every task counts its distinct tokens and the
-   borders between them and picks occurrences (one byte in so many) for the mixer.
+1. One pass over all texts: every task counts its distinct tokens and the borders
+   between them, by their numbers in the training texts (0 in held-out ones alone).
    The counts are summed by a shuffle and written once.
-2. Tasks turn the distinct tokens and borders into sparse blocks of the model's
-   tables, which are summed in two levels, each task holding one block at a time.
-   Then tasks train the mixer online on their occurrences, each predicted from the
-   others, and the weights are averaged.  The model has a fixed size.
-3. One pass over all texts: the model scores them, and words among the
-   ``HEAD_WORDS`` most frequent are looked up where they stand.  The others of
-   each text (none of them more frequent than the head's last) are joined with the
-   vocabulary by a shuffle, so the vocabulary may have any size.
+2. The contexts of tokens and borders are counted exactly, dealt over Spark by their
+   hash (``contexts``); what is gathered grows with the distinct contexts.  The mixer
+   is fitted to all training bytes by their numbers, and every distinct token and
+   border is scored.
+3. A second pass over all texts: tokens and borders among the ``HEAD_WORDS`` most
+   frequent are looked up where they stand.  The others of each text are joined with
+   their scores by a shuffle, so there may be any number.
 
 Defined cases: a null or empty text is its end alone; repeated rows are learned
 from and scored once each; a null ``doc_id`` is kept and never held out; without
@@ -30,183 +29,107 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnlens.llm import mixing
+from burnlens.llm import contexts, mixing
 from burnlens.llm.common import documents, map_arrow, materialize, texts, tidied
 from burnlens.llm.labelled import held_out
 from burnlens.llm.wordhash import HashTable, prefix_sums, stretch_hash
 
-#: Most frequent words that go to every task (about, never more); the rest are joined.
-HEAD_WORDS, HEAD_TABLE_BITS = 131_072, 20
+#: Most frequent tokens and borders that go to every task (about, never more); the rest are joined.
+HEAD_WORDS, HEAD_TABLE_BITS = 400_000, 21
 #: Steps of the frequency scale by which the head is cut, for each doubling.
 SCALE = 16
-#: First level of the blocks' sums: so many parts a block.
-MERGE_PARTS = 16
 
 DOCUMENTS = 3  # kind of the row that counts documents
 
-_model: dict[str, mixing.Model] = {}
-
 
 def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``(kind, key, n)``: tokens, borders, occurrences and the number of documents."""
+    """``(kind, key, n)``: tokens and borders of ``docs(text, train)`` with their numbers in the
+    training texts, and the number of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, n = mixing.Counter(), 0
+        counters, n = (mixing.Counter(), mixing.Counter()), 0
 
-        def close() -> Iterator[pa.RecordBatch]:
-            for kind, keys, number in counter.rows():
+        def close(train: int) -> Iterator[pa.RecordBatch]:
+            for kind, keys, number in counters[train].rows():
                 for k in range(0, len(keys), 1 << 16):
                     part = keys[k : k + (1 << 16)]
-                    yield _rows(kind=([kind] * len(part), pa.int32()), key=(part, pa.binary()), n=(number[k : k + (1 << 16)], pa.int64()))
+                    yield _rows(kind=([kind] * len(part), pa.int32()), key=(part, pa.binary()), n=(number[k : k + (1 << 16)] * train, pa.int64()))
 
         for batch in batches:
-            raw = texts(batch.column("text"))
-            n += len(raw)
-            for _, _, stream, begin in mixing.streams(raw):
-                counter.add(stream, begin)
-                if counter.full():
-                    yield from close()
-        yield from close()
+            train = batch.column("train")
+            n += train.true_count
+            for k, rows in enumerate((pc.invert(train), train)):
+                for _, _, stream, begin in mixing.streams(texts(batch.column("text").filter(rows))):
+                    counters[k].add(stream, begin)
+                    if counters[k].full():
+                        yield from close(k)
+        for k in range(2):
+            yield from close(k)
         yield _rows(kind=([DOCUMENTS], pa.int32()), key=([b""], pa.binary()), n=([n], pa.int64()))
 
-    return docs.select("text").mapInArrow(tidied(run), "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return docs.select("text", "train").mapInArrow(tidied(run), "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def vocabulary_of(counts: DataFrame) -> DataFrame:
-    """``(h, n)`` of the distinct words."""
+    """``(h, n)`` of the distinct words of the training texts."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         h, n = mixing.word_counts(batch.column("key").to_pylist(), batch.column("n").to_numpy())
         return _rows(h=(h.view(np.int64), pa.int64()), n=(n, pa.int64()))
 
-    return map_arrow(counts.where(F.col("kind") == mixing.TOKEN).select("key", "n"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-
-
-def block_parts(counts: DataFrame) -> DataFrame:
-    """``(block, part, data)``: each task's share of the tables."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = None
-        part = TaskContext.get().partitionId() % MERGE_PARTS
-        held: list[tuple[list[bytes], np.ndarray]] = [([], []), ([], [])]
-
-        def flush() -> None:
-            for kind, (keys, number) in enumerate(held):
-                if keys:
-                    (tables.add_tokens, tables.add_borders)[kind](keys, np.array(number, np.int64))
-                keys.clear(), number.clear()
-
-        for batch in batches:
-            tables = tables or mixing.Tables()
-            for kind, key, n in zip(*(batch.column(c).to_pylist() for c in ("kind", "key", "n"))):
-                held[kind][0].append(key)
-                held[kind][1].append(n)
-            if sum(len(k) for k, _ in held) >= mixing.TOKENS_AT_ONCE:
-                flush()
-        if tables:
-            flush()
-            for block, data in tables.blocks():
-                yield _rows(block=([block], pa.int32()), part=([part], pa.int32()), data=([data], pa.binary()))
-
-    return counts.where(F.col("kind").isin(mixing.TOKEN, mixing.BORDER)).mapInArrow(tidied(run), "block int, part int, data binary")
+    return map_arrow(counts.where((F.col("kind") == mixing.TOKEN) & (F.col("n") > 0)).select("key", "n"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def merge_blocks(parts: DataFrame, finish: bool) -> DataFrame:
-    """Sums by the columns but ``data``; a task reads sorted rows and holds one sum."""
-    keys = [c for c in parts.columns if c != "data"]
+def with_base(scores: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(h, n, value, base, known)``: with the base model's term for the token's word, and whether it is known."""
+    found = scores.join(vocabulary.select(F.col("h").alias("word"), F.col("n").alias("word_n")), "word", "left")
+    base = F.when(F.col("word").isNull(), 0.0).otherwise(F.log10(F.coalesce("word_n", F.lit(0)) + 0.1))
+    return found.select("h", "n", "value", base.alias("base"), F.col("word_n").isNotNull().cast("int").alias("known"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total = None, None
-
-        def close() -> pa.RecordBatch:
-            data = total.finished() if finish else total.parts()
-            return _rows(**{c: ([k], pa.int32()) for c, k in zip(keys, key)}, data=([data], pa.binary()))
-
-        for batch in batches:
-            for *own, data in zip(*(batch.column(c).to_pylist() for c in keys), batch.column("data")):
-                if own != key:
-                    if key is not None:
-                        yield close()
-                    key, total = own, mixing.Sum()
-                total.add(data.as_py())
-        if key is not None:
-            yield close()
-
-    dealt = parts.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(tidied(run), ", ".join(f"{k} int" for k in keys) + ", data binary")
 
-
-def train_mixer(counts: DataFrame, blocks: dict[int, bytes]) -> mixing.Mixer:
-    """The mixer's weights, averaged over the tasks that learned them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, total = None, 0
-        for batch in batches:
-            model = model or mixing.Model(blocks)
-            pairs = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint64).reshape(-1, 2)
-            model.learn(pairs[:, 0], pairs[:, 1])
-            total += len(pairs)
-        if total:
-            sums = model.mixer.sums(total)
-            yield _rows(k=(np.arange(len(sums)), pa.int32()), v=(sums, pa.float64()))
-
-    occurrences = counts.where(F.col("kind") == mixing.OCCURRENCE).select("key")
-    rows = occurrences.mapInArrow(tidied(run), "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()
-    return mixing.Mixer.of(np.array([r.v for r in rows]))
-
-
-def head_words(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of the words above a frequency that ``HEAD_WORDS`` at most reach, rarest first."""
-    step = F.floor(F.log2("n") * SCALE).cast("int")
-    sizes = vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+def head_keys(table: DataFrame) -> pa.Table:
+    """The rows above a number that ``HEAD_WORDS`` at most reach, rarest first."""
+    step = F.floor(F.log2(F.greatest("n", F.lit(1))) * SCALE).cast("int")
+    sizes = table.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
     cut, total = None, 0
     for r in sorted(sizes, key=lambda r: -r.step):
         total += r.words
         if total > HEAD_WORDS:
             break
         cut = r.step
-    if cut is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    top = vocabulary.where(step >= cut).toArrow()
-    h, n = top.column("h").to_numpy(), top.column("n").to_numpy()
-    order = np.lexsort((h, n))
-    return h[order].view(np.uint64), n[order]
+    top = table.where(F.lit(False) if cut is None else step >= cut).toArrow()
+    return top.sort_by([("n", "ascending"), ("h", "ascending")])
 
 
-def scored(docs: DataFrame, blocks: dict[int, bytes], mixer: mixing.Mixer, head: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Model scores, the head's share of the base sums, and the words that are left."""
-    name = uuid.uuid4().hex
+def scored(docs: DataFrame, head: pa.Table) -> DataFrame:
+    """The head's share of the sums of every text, and the tokens and borders that are left."""
+    head_h = head.column("h").to_numpy().view(np.uint64)
+    # The last row is what isn't in the head.
+    head_value, head_base, head_known = (np.append(head.column(c).to_numpy(), 0) for c in ("value", "base", "known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _model:
-            _model.clear()
-            _model[name] = mixing.Model(blocks, mixer)
-        model = _model[name]
         table = HashTable(HEAD_TABLE_BITS)
-        table.put(head[0], np.arange(len(head[0]), dtype=np.int32))  # the more frequent ones come last and stay
-        log_count = np.log10(np.append(head[1], 0) + 0.1)
+        table.put(head_h, np.arange(len(head_h), dtype=np.int32))  # the more frequent ones come last and stay
         for batch in batches:
             doc_id = batch.column("doc_id")
             for first, last, stream, begin in mixing.streams(texts(batch.column("text"))):
                 n = last - first
                 start, end = mixing.tokens(stream, begin)
-                sums = prefix_sums(stream)
-                score = model.score(stream, begin, start, end, sums)
-                real = end - start > 1
-                start, end = start[real], end[real] - 1
                 of = np.searchsorted(begin, start, "right") - 1
-                h = stretch_hash(sums, start, end)
+                h = mixing.key_hashes(stream, begin, start, end, of).ravel()
+                both = np.tile(of, 2)
                 number, known = table.find(h)
-                total = np.bincount(of[known], log_count[number[known]], n)
-                rest_of, rest = of[~known], h[~known]
+                number = np.where(known, number, len(head_h))
+                sums = [np.bincount(both, v[number], n) for v in (head_known, head_base, head_value)]
+                rest_of, rest = both[~known], h[~known]
                 order = np.lexsort((rest, rest_of))
                 rest_of, rest = rest_of[order], rest[order]
                 fresh = np.ones(len(rest), bool)
@@ -217,37 +140,37 @@ def scored(docs: DataFrame, blocks: dict[int, bytes], mixer: mixing.Mixer, head:
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc_id.slice(first, n),
-                        pa.array(np.bincount(of, minlength=n)),
-                        pa.array(np.bincount(of[known], minlength=n)),
-                        pa.array(total),
-                        pa.array(score),
+                        pa.array(np.bincount(of[end - start > 1], minlength=n)),
+                        pa.array(sums[0].astype(np.int64)),
+                        pa.array(sums[1]),
+                        pa.array(sums[2]),
                         pa.ListArray.from_arrays(cut, pa.array(rest[at].view(np.int64))),
                         pa.ListArray.from_arrays(cut, pa.array(times)),
                     ],
-                    names=["doc_id", "n_words", "head_known", "head_sum", "score", "tail_h", "tail_n"],
+                    names=["doc_id", "n_words", "head_known", "head_sum", "head_value", "tail_h", "tail_n"],
                 )
 
-    return docs.mapInArrow(tidied(run), "doc_id long, n_words long, head_known long, head_sum double, score double, tail_h array<long>, tail_n array<int>")
+    return docs.mapInArrow(tidied(run), "doc_id long, n_words long, head_known long, head_sum double, head_value double, tail_h array<long>, tail_n array<int>")
 
 
 def scores(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per input row."""
     slim = documents(docs)
     out = held_out(F.col("doc_id"), 10, 0)
-    counts = materialize(counted(slim.where(~out)), "lm-counts")
+    counts = materialize(counted(slim.select("text", (~out).alias("train"))), "lm-counts")
     vocabulary = materialize(vocabulary_of(counts), "lm-vocabulary")
     n_docs = counts.where(F.col("kind") == DOCUMENTS).agg(F.sum("n").alias("n")).first().n or 0
     size = vocabulary.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
     n_tokens, n_types = (size.tokens or 0) + n_docs, size.words + (n_docs > 0)
-    parts = merge_blocks(block_parts(counts), finish=False)
-    blocks = {r.block: bytes(r.data) for r in merge_blocks(parts.select("block", "data"), finish=True).collect()}  # the model: bounded
-    mixer, head = train_mixer(counts, blocks), head_words(vocabulary)
-    rows = materialize(scored(slim, blocks, mixer, head).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    full = contexts.counted_chunks(counts)
+    mixer = contexts.train_mixer(full)
+    table = materialize(with_base(contexts.key_scores(full, mixer), vocabulary), "lm-scores")
+    rows = materialize(scored(slim, head_keys(table)).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     tails = rows.where(F.size("tail_h") > 0).select("row", F.explode(F.arrays_zip("tail_h", "tail_n")).alias("t")).select("row", F.col("t.tail_h").alias("h"), F.col("t.tail_n").alias("times"))
     tails = (
-        tails.join(vocabulary, "h", "left")
+        tails.join(table, "h")
         .groupBy("row")
-        .agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("tail_sum"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"))
+        .agg(*(F.sum(F.col("times") * F.col(c)).alias(f"tail_{c}") for c in ("known", "base", "value")))
     )
     each = np.log10(n_tokens + 0.1 * (n_types + 1))
     return rows.join(tails, "row", "left").select(
@@ -256,8 +179,8 @@ def scores(docs: DataFrame) -> DataFrame:
         (F.col("n_words") + 1).alias("n_tokens"),
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0)) + int(n_docs > 0)).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("head_sum") + F.coalesce("tail_sum", F.lit(0.0)) + float(np.log10(n_docs + 0.1)) - (F.col("n_words") + 1) * float(each)).alias("base_score"),
-        "score",
+        (F.col("head_sum") + F.coalesce("tail_base", F.lit(0.0)) + float(np.log10(n_docs + 0.1)) - (F.col("n_words") + 1) * float(each)).alias("base_score"),
+        ((F.col("head_value") + F.coalesce("tail_value", F.lit(0.0)) - float(np.log2(mixing.CLASSES))) * float(np.log10(2))).alias("score"),
     )
 
 

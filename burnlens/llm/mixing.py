@@ -18,7 +18,9 @@ ends them): of the first byte after the five bytes before it, and of the rest
 given the first.  Counting and scoring work on distinct tokens and borders with
 their numbers.
 
-Tables have a fixed size, so a model is ``MODEL_BYTES`` whatever the corpus.
+The operator counts contexts exactly, over Spark (``contexts``).  ``Tables`` and
+``Model`` are the same model in one process, for small texts: its tables have a fixed
+size, where contexts that fall on one another are added up.
 """
 
 from __future__ import annotations
@@ -47,8 +49,8 @@ BEFORE = 0x20
 CLASSES, CLASS_ORDERS, LETTER_SHARE, MARK_SHARE = 32, (3, 5), 0.002, 0.05
 #: Distinct borders and tokens that a task holds before it passes them on, and tokens whose contexts are worked out together.
 HELD, TOKENS_AT_ONCE = 1_000_000, 60_000
-#: One byte in so many is an occurrence that the mixer learns from; its steps and their size.
-OCCURRENCE_BYTES, STEP_OCCURRENCES, RATE = 256, 128, 0.02
+#: Occurrences of an online step of ``Model``'s mixer, and the steps' size.
+STEP_OCCURRENCES, RATE = 128, 0.02
 TALLY_BITS, SCORE_BITS, EVENT_BITS = 20, 21, 22
 #: Bytes of text and events that are worked on together.
 BYTES_AT_ONCE, EVENTS_AT_ONCE = 1 << 18, 1 << 15
@@ -291,18 +293,15 @@ TOKEN, BORDER, OCCURRENCE = 0, 1, 2
 
 
 class Counter:
-    """Numbers of the distinct tokens (after their text's class) and borders of many texts, and
-    some occurrences for the mixer, as ``(kind, key)`` rows."""
+    """Numbers of the distinct tokens (after their text's class) and borders of many texts, as ``(kind, key)`` rows."""
 
     def __init__(self) -> None:
-        self.rng = np.random.default_rng(11)
         self.clear()
 
     def clear(self) -> None:
         self.borders, self.tokens = Tally(TALLY_BITS), Tally(TALLY_BITS)
         self.border: list[np.ndarray] = []
         self.token: list[bytes] = []
-        self.seen: list[bytes] = []
 
     def full(self) -> bool:
         return self.borders.held + self.tokens.held > HELD
@@ -316,24 +315,21 @@ class Counter:
         new = self.tokens.add(stretch_hash(sums, start, end) + kind * _C)
         raw = stream.tobytes()
         self.token += [CLASS_BYTE[c] + raw[a:b] for c, a, b in zip(kind[new].tolist(), start[new].tolist(), end[new].tolist())]
-        at = self.rng.integers(0, len(stream), len(stream) // OCCURRENCE_BYTES + 1)
-        k = np.searchsorted(start, at, "right") - 1
-        inside = (k >= 0) & (at < end[k])
-        at, k = at[inside], k[inside]
-        window = windows(stream, at)
-        window = known_class(np.where(at > start[k], anchored(window, at - start[k]), window), kind[k])
-        pairs = np.stack([window, stretch_hash(sums, start[k], at)], 1)
-        self.seen += [p.tobytes() for p in pairs]
 
     def rows(self) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
         """``(kind, keys, numbers)``; forgets them."""
         border = [w.tobytes() for w in np.concatenate(self.border)] if self.border else []
         yield TOKEN, self.token, self.tokens.counts()
         yield BORDER, border, self.borders.counts()
-        yield OCCURRENCE, self.seen, np.ones(len(self.seen), np.int64)
         self.clear()
 
 
+def key_hashes(stream: np.ndarray, begin: np.ndarray, start: np.ndarray, end: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Hashes of the tokens and of the borders before them (2 x tokens), with their texts' classes."""
+    kind = classes(stream, begin)[of]
+    return np.stack([stretch_hash(prefix_sums(stream), start, end) + kind * _C, mixed(known_class(windows(stream, start), kind))])
+
+
 def word_counts(keys: list[bytes], number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and numbers of the words of tokens (a class byte, the word, the byte that ends it)."""
     buf = np.frombuffer(b"".join(keys), np.uint8)
