@@ -8,7 +8,7 @@ number grows with the tokens.  A shard adds up its entries over all chunks and a
 each; chunks then hold the exact counts of their own contexts, and no table of all
 contexts is in one place.
 
-The mixer's weights minimise the cost of all distinct training events, each
+The mixer's weights minimise the cost of all training bytes, each with its number and
 predicted from the others, by Newton steps over all chunks.
 """
 
@@ -235,12 +235,12 @@ def _with_counts(row: dict) -> tuple[Chunk, np.ndarray]:
 
 
 def cost_sums(chunk: Chunk, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """By gate: cost, its descent and its curvature over all distinct training events (gates x 1 + 6 + 36)."""
+    """By gate: cost, its descent and its curvature over all training bytes with their numbers (gates x 1 + 6 + 36)."""
     out = np.zeros((GATES, 1 + ORDERS + ORDERS * ORDERS))
     for at, x in chunk.parts(counts, True):
         gate = gates(x).ravel()
         bit = bits(chunk.window[at]).ravel()
-        n = np.ones(8 * len(at))
+        n = np.repeat(chunk.weight[at], 8)
         x = x.reshape(ORDERS, -1).astype(np.float64)
         mix = sum(weights[gate, k] * x[k] for k in range(ORDERS))
         p = squash(mix)
@@ -258,12 +258,12 @@ def cost_sums(chunk: Chunk, counts: np.ndarray, weights: np.ndarray) -> np.ndarr
 
 
 def followed(chunk: Chunk, counts: np.ndarray, mixer: Mixer) -> np.ndarray:
-    """What followed the mixes: hits and ones (2 x bits x levels) over all distinct training events."""
+    """What followed the mixes: hits and ones (2 x bits x levels) over all training bytes with their numbers."""
     out = np.zeros((2, 8 * LEVELS))
     for at, x in chunk.parts(counts, True):
         low, far = levels(mixer.mix(x)[1])
         cell = np.arange(8) * LEVELS + low
-        n, bit = np.ones((len(at), 1)), bits(chunk.window[at])
+        n, bit = chunk.weight[at][:, None], bits(chunk.window[at])
         for c, share in ((cell, 1 - far), (cell + 1, far)):
             out[0] += np.bincount(c.ravel(), (share * n).ravel(), 8 * LEVELS)
             out[1] += np.bincount(c.ravel(), (share * n * bit).ravel(), 8 * LEVELS)

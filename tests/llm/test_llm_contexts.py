@@ -73,6 +73,30 @@ def test_many_contexts_do_not_fall_on_one_another():
     assert contexts.shard_bits(10**6) < contexts.shard_bits(10**8) < contexts.shard_bits(10**10)
 
 
+def test_mixer_learns_from_every_byte_with_its_number():
+    texts = sample(30)
+    chunks = chunks_of(texts)
+    counts = counts_of(chunks, 2)
+    weights = np.random.default_rng(2).normal(0.3, 0.1, (mixing.GATES, mixing.ORDERS))
+    got = sum(contexts.cost_sums(c, n, weights) for c, n in zip(chunks, counts))
+    seen = sum(contexts.followed(c, n, mixing.Mixer.fresh()) for c, n in zip(chunks, counts))
+    every = list(occurrences(texts))
+    assert np.isclose(seen[0].sum(), 8 * len(every))  # all bits of all bytes, not of the distinct ones
+    inputs = {}
+    for c, n in zip(chunks, counts):
+        for at, x in c.parts(n, True):
+            for j, e in enumerate(at):
+                inputs[int(c.window[e]), int(c.word[e])] = x[:, j : j + 1]
+    cost = np.zeros(mixing.GATES)
+    for window, word in every:
+        x = inputs[window, word]
+        gate = mixing.gates(x)[0]
+        bit = mixing.bits(np.array([window], np.uint64))[0]
+        mix = (weights[gate].T * x[:, 0]).sum(0)
+        np.add.at(cost, gate, np.logaddexp(0, np.where(bit, -mix, mix)))
+    assert np.allclose(got[:, 0], cost, rtol=1e-4)
+
+
 def test_newton_never_ends_worse_than_it_began():
     chunks = chunks_of(sample(60))
     counts, newton, costs = counts_of(chunks, 1), contexts.Newton(), []
