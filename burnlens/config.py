@@ -167,11 +167,3 @@ class AnomalyRules:
     min_km: float = DATA_ISSUE_MIN_KM
     planning_gap: float = PLANNING_GAP_KG
     z_specs: list = field(default_factory=lambda: list(Z_SPECS))
-
-# Search budget of the registered ML queries (the operators' defaults are the
-# full searches): these configurations, and so many boosting rounds.
-QUERY_RF_CONFIGS = [
-    {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 4, "featureSubsetStrategy": "sqrt"},
-    {"numTrees": 30, "maxDepth": 10, "minInstancesPerNode": 2, "featureSubsetStrategy": "onethird"},
-]
-QUERY_BOOST_CONFIGS, QUERY_BOOST_ROUNDS = 1, 15

@@ -702,12 +702,11 @@ def _model(spark, sf, which: str):
     key = (spark.sparkContext.applicationId, sf, which)
     if key not in _ML_CACHE:
         _, train, _ = _data(spark, sf)
-        boosted = {"n_configs": C.QUERY_BOOST_CONFIGS, "rounds": C.QUERY_BOOST_ROUNDS}
         _ML_CACHE[key] = {
             "ridge": lambda: ml.ridge_closed_form_cv(train),
-            "rf": lambda: ml.rf_cv(train, C.QUERY_RF_CONFIGS),
-            "gbt": lambda: ml.boosted_cv(train, "GBT", **boosted),
-            "gbt_wide": lambda: ml.boosted_cv(train, "GBT wide", **boosted),
+            "rf": lambda: ml.rf_cv(train),
+            "gbt": lambda: ml.boosted_cv(train, "GBT"),
+            "gbt_wide": lambda: ml.boosted_cv(train, "GBT wide"),
         }[which]()
     return _ML_CACHE[key]
 
