@@ -142,7 +142,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     clean = materialize(integer_vectors(vectors, id_col, vector_col), "topk-vectors")
     queries = materialize(integer_vectors(vectors.where(is_query), id_col, vector_col).distinct(), "topk-queries")
     blocks = -(-queries.count() // block_queries)
-    block_of = F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(blocks, 1)))
+    block_of = F.pmod(F.xxhash64("vec_id"), F.lit(max(blocks, 1)))  # all vectors of one id together
 
     def found() -> Iterator[DataFrame]:
         for b in range(blocks):
