@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import decontaminate, lm, packing, pii, quality, simhash, tokencount, topk, toxicity, warc
+from burnlens.llm import decontaminate, lm, packing, pii, polytope, quality, simhash, tokencount, topk, toxicity, warc
 from burnlens.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of ``embeddings``."""
+    return polytope.query(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_lm": op2_lm,
@@ -72,9 +77,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokencount": op8_tokencount,
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
+    "op11_polytope": op11_polytope,
 }
 
 ORACLES: dict[str, str] = {
     "op4_topk": topk.SQL,
     "op5_warc": warc.SQL,
+    "op11_polytope": polytope.SQL,
 }
