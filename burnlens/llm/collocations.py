@@ -3,14 +3,15 @@
 1. A sample of the documents (one in ``SAMPLE_EVERY`` by hash) proposes the phrases
    of up to four words that reach a lowered count in it.
 2. One full pass counts the proposed phrases and their negative border: phrases that
-   were not proposed, but whose two phrases of one word less were.  Proposed phrases
-   are counted as strings.  Border phrases, of which there are many and rarely one is
-   frequent, are counted under a 64-bit hash, which can only overstate a count.
-3. Border phrases that reach the minimum under their hash are border failures.  An
-   expansion pass counts them as strings, together with every longer phrase that holds
-   one and has no part that is known to be rare.  A frequent phrase that the full pass
-   left out holds a failure (its shortest part that was not proposed lies in the
-   border), and the expansion goes up to four words at once, so it closes the border.
+   were not proposed, but whose two phrases of one word less were.  There are very many
+   of them, so they are counted under 64-bit hashes, dealt over as many parts as the
+   text asks for; a hash can only overstate a count.
+3. The last pass spells out, and counts as strings, what reached the minimum: proposed
+   phrases that are confirmed, border failures (frequent though not proposed), and
+   every longer phrase that holds a failure and has no part that is known to be rare.  A
+   frequent phrase that the full pass left out holds a failure (its shortest part that
+   was not proposed lies in the border), and this pass goes up to four words at once,
+   so one expansion closes the border.
 
 So every count in the result is of the phrase itself, over all documents.  What goes
 to the tasks is a bitmap of hashes of at most ``MAX_BITS`` bits; where it fills up, more
@@ -56,7 +57,10 @@ PARTS = 256
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 TO_STOP = bytes.maketrans(BREAKS, b"." * len(BREAKS))
-COUNTED = "lang string, phrase string, h long, c long"
+#: Bytes of text for one part of the hashed counts, and entries of one row.
+PART_BYTES, ROW_ENTRIES = 16 << 20, 2048
+HASHED = "part int, h array<long>, c array<long>"
+COUNTED = "lang string, phrase string, c long"
 LEFT, RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -160,108 +164,147 @@ def marked(numbers: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return out
 
 
-def window_counts(ids: np.ndarray, starts: int, hashes: np.ndarray, mode: str, proposed: Bitmap | None, failures: Bitmap | None) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]]:
-    """For each length: the phrases' words, hashes and counts, and which are to be counted as strings.
+def window_counts(ids: np.ndarray, starts: int, hashes: np.ndarray, mode: str, proposed: Bitmap | None, reached: Bitmap | None) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """For each length: the phrases' words, their hashes and counts (0: not counted).
 
     ``mode`` is ``short`` (all phrases of one or two words), ``long`` (longer ones whose
-    pairs are all proposed), ``full`` (proposed ones and the negative border) or
-    ``expand`` (failures, and longer phrases that hold one).
+    shorter ones are all proposed or, past three words, possible), ``full`` (proposed
+    ones and the negative border) or ``spell`` (those that reached the minimum, and
+    longer ones that hold a border failure).
     """
     levels = Levels(ids, starts, hashes)
     words, at, h, counts = levels.first()
     spelled = [words]
     real = words > 0
     inside = real & (proposed.has(h) if proposed else True)
-    possible = inside | (real & failures.has(h)) if failures else inside
-    if mode == "short":
-        yield spelled, h, counts * real, np.zeros(len(words), bool)
-    elif mode == "full":
-        yield spelled, h, counts * real, inside
-    elif mode == "expand":
-        yield spelled, h, counts * (possible & ~inside), possible
+    possible = real & reached.has(h) if reached else inside
+    if mode != "long":
+        yield spelled, h, counts * (possible if mode == "spell" else real)
     m_in, m_possible = inside[at], possible[at]
     for size in range(2, WORDS + 1):
         if mode == "short" and size > 2:
             return
+        # The full pass counts a phrase if both its shorter ones were proposed.
         counted = both(m_in)
-        left, last, at, h, counts = levels.longer(at, h, both(m_possible) if mode == "expand" else counted, size)
+        left, last, at, h, counts = levels.longer(at, h, both(m_possible) if mode == "spell" else counted, size)
         if not len(left):
             return
         spelled = [s[left] for s in spelled] + [last]
-        seen = marked(at, np.ones(len(left), bool))
-        known = proposed.has(h) if proposed else np.ones(len(left), bool)
-        if mode == "long" and size > 2:
-            known = np.ones(len(left), bool)
-        if mode == "expand":
-            # The full pass has counted a phrase if both its shorter ones were proposed.
+        inside = proposed.has(h) if proposed and not (mode == "long" and size > 2) else np.ones(len(left), bool)
+        possible = inside
+        if mode == "spell":
             done = np.zeros(len(left), bool)
-            done[at[counted & seen]] = True
-            inside = done & known
-            possible = ~done | known | failures.has(h)
-            yield spelled, h, counts * (possible & ~inside), possible
-            m_in, m_possible = marked(at, inside), marked(at, possible)
-        else:
-            if mode != "long" or size > 2:
-                yield spelled, h, counts, known
-            m_in = m_possible = marked(at, known)
-
+            done[at[counted & (at >= 0)]] = True
+            inside &= done
+            possible = ~done | reached.has(h)
+        if mode != "long" or size > 2:
+            yield spelled, h, counts * possible if mode == "spell" else counts
+        m_in, m_possible = marked(at, inside), marked(at, possible)
+
+
+def by_part(h: np.ndarray, c: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Rows of at most ``ROW_ENTRIES`` hashes and counts, each of one part."""
+    part = ((h >> np.uint64(34)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, h, c = part[order], h[order], c[order]
+    first = np.searchsorted(part, part)
+    new = np.flatnonzero((np.arange(len(part)) - first) % ROW_ENTRIES == 0)
+    ends = pa.array(np.append(new, len(part)).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[new]), pa.ListArray.from_arrays(ends, pa.array(h.view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(c))], names=["part", "h", "c"]
+    )
 
-def counted(docs: DataFrame, mode: str, proposed: Broadcast | None = None, failures: Broadcast | None = None, window: int = WINDOW) -> DataFrame:
-    """Partial counts ``(lang, phrase, h, c)``: of phrases as strings (``h`` null), or under a
-    hash (``lang`` and ``phrase`` null).  In ``full`` mode the phrase ``''`` counts the words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[bytes, np.ndarray, int, np.ndarray, list[bytes]]]:
+    """``(lang, word numbers, starts, hashes of the words, words)``: the text of each language
+    in windows, with the few words after each in which its last phrases end."""
+    words: list[bytes] = [b"."]
+    hashes: list[int] = [0]
+    by_lang: dict[bytes, Vocabulary] = {}
+    held: dict[bytes, list[np.ndarray]] = {}
+    size: dict[bytes, int] = {}
+
+    def cut(lang: bytes) -> Iterator[tuple[bytes, np.ndarray, int, np.ndarray, list[bytes]]]:
+        ids, table = np.concatenate(held.pop(lang)), np.array(hashes, np.uint64)
+        size.pop(lang)
+        for k in range(0, len(ids), window):
+            part = np.append(ids[k : k + window + WORDS - 1], np.zeros(WORDS, np.int64))
+            yield lang, part, min(window, len(ids) - k), table, words
+
+    for batch in batches:
+        for lang, text in zip(texts(batch.column("lang")), texts(batch.column("text"))):
+            if lang not in by_lang:
+                by_lang[lang] = Vocabulary(words, hashes, lang)
+            ids = numbers(text, by_lang[lang])
+            held.setdefault(lang, []).append(ids)
+            size[lang] = size.get(lang, 0) + len(ids)
+            full = len(words) > VOCABULARY or sum(size.values()) > 2 * window
+            if size[lang] >= window or full:
+                for each in list(held) if full else [lang]:
+                    yield from cut(each)
+            if len(words) > VOCABULARY:
+                words, hashes, by_lang = [b"."], [0], {}
+    for lang in list(held):
+        yield from cut(lang)
+
+
+def hashed_counts(docs: DataFrame, mode: str, parts: int, least: int, proposed: Broadcast | None = None, window: int = WINDOW) -> DataFrame:
+    """``(h, c)`` of the phrases of ``docs(text, lang)`` whose hashes are counted at least ``least`` times."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = Bitmap(proposed.value) if proposed else None
-        failed = Bitmap(failures.value) if failures else None
-        words: list[bytes] = [b"."]
-        hashes: list[int] = [0]
-        by_lang: dict[bytes, Vocabulary] = {}
+        for _, ids, starts, table, _ in windows(batches, window):
+            found = [(h[c > 0], c[c > 0]) for _, h, c in window_counts(ids, starts, table, mode, have, None)]
+            if found:
+                yield by_part(*(np.concatenate(x) for x in zip(*found)), parts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        part, waiting = None, 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            h, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            total = np.zeros(len(h), np.int64)
+            np.add.at(total, at, np.concatenate([x for _, x in held]))
+            return h, total
+
+        def done() -> pa.RecordBatch:
+            h, c = merged()
+            return pa.RecordBatch.from_arrays([pa.array(h[c >= least]), pa.array(c[c >= least])], names=["h", "c"])
 
-        def emit(lang: bytes, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-            table = np.array(hashes, np.uint64)
-            spelling = pa.array(words, pa.binary())
-            for k in range(0, len(ids), window):
-                part = ids[k : k + window + WORDS - 1]
-                # Shorter words than ``WORDS`` may end the last window.
-                part = np.append(part, np.zeros(WORDS, np.int64))
-                starts = min(window, len(ids) - k)
-                if mode == "full":
-                    total = int((part[:starts] > 0).sum())
-                    yield pa.RecordBatch.from_arrays([pa.array([lang.decode()]), pa.array([""]), pa.nulls(1, pa.int64()), pa.array([total])], names=["lang", "phrase", "h", "c"])
-                for spelled, h, counts, as_text in window_counts(part, starts, table, mode, have, failed):
-                    named = np.flatnonzero(as_text & (counts > 0))
-                    hashed = np.flatnonzero(~as_text & (counts > 0))
-                    if mode in ("short", "long"):
-                        named, hashed = named[:0], np.flatnonzero(counts > 0)
-                    text = pc.binary_join_element_wise(*(spelling.take(pa.array(s[named])) for s in spelled), b" ") if len(spelled) > 1 else spelling.take(pa.array(spelled[0][named]))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.concat_arrays([pa.array([lang.decode()]).take(pa.array(np.zeros(len(named), np.int64))), pa.nulls(len(hashed), pa.string())]),
-                            pa.concat_arrays([text.cast(pa.string()), pa.nulls(len(hashed), pa.string())]),
-                            pa.concat_arrays([pa.nulls(len(named), pa.int64()), pa.array(h[hashed].view(np.int64))]),
-                            pa.array(np.concatenate([counts[named], counts[hashed]])),
-                        ],
-                        names=["lang", "phrase", "h", "c"],
-                    )
-
-        held: dict[bytes, list[np.ndarray]] = {}
-        size: dict[bytes, int] = {}
         for batch in batches:
-            for lang, text in zip(texts(batch.column("lang")), texts(batch.column("text"))):
-                if lang not in by_lang:
-                    by_lang[lang] = Vocabulary(words, hashes, lang)
-                ids = numbers(text, by_lang[lang])
-                held.setdefault(lang, []).append(ids)
-                size[lang] = size.get(lang, 0) + len(ids)
-                full = len(words) > VOCABULARY or sum(size.values()) > 2 * window
-                if size[lang] >= window or full:
-                    for each in list(held) if full else [lang]:
-                        yield from emit(each, np.concatenate(held.pop(each)))
-                        size.pop(each)
-                if len(words) > VOCABULARY:
-                    words, hashes, by_lang = [b"."], [0], {}
-        for lang, parts in held.items():
-            yield from emit(lang, np.concatenate(parts))
+            for k, h, c in zip(batch.column("part").to_pylist(), batch.column("h"), batch.column("c")):
+                if k != part and held:
+                    yield done()
+                    held, waiting = [], 0
+                part = k
+                held.append((h.values.to_numpy(), c.values.to_numpy()))
+                waiting += len(held[-1][0])
+                if waiting > 2 * window + 2 * len(held[0][0]):
+                    held = [merged()]
+                    waiting = 0
+        if held:
+            yield done()
+
+    rows = docs.mapInArrow(tidied(count), HASHED).repartition(parts, "part").sortWithinPartitions("part")
+    return rows.mapInArrow(tidied(add), "h long, c long")
+
+
+def spelled_counts(docs: DataFrame, proposed: Broadcast, reached: Broadcast, window: int = WINDOW) -> DataFrame:
+    """Partial counts ``(lang, phrase, c)`` of what reached the minimum or may; the phrase ``''`` counts the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, reach = Bitmap(proposed.value), Bitmap(reached.value)
+        for lang, ids, starts, table, words in windows(batches, window):
+            spelling = pa.array(words, pa.binary())
+            phrases, counts = [pa.array([b""])], [np.array([(ids[:starts] > 0).sum()])]
+            for spelled, _, c in window_counts(ids, starts, table, "spell", have, reach):
+                live = np.flatnonzero(c)
+                phrases.append(pc.binary_join_element_wise(*(spelling.take(pa.array(w[live])) for w in spelled), b" "))
+                counts.append(c[live])
+            text = pa.concat_arrays([p.cast(pa.binary()) for p in phrases]).cast(pa.string())
+            named = pa.array([lang.decode()]).take(pa.array(np.zeros(len(text), np.int64)))
+            yield pa.RecordBatch.from_arrays([named, text, pa.array(np.concatenate(counts))], names=["lang", "phrase", "c"])
 
     return docs.mapInArrow(tidied(run), COUNTED)
 
@@ -275,31 +318,22 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample_every: int = SA
     least = max(1, int(lowered * min_count / sample_every))
     chosen = F.pmod(F.xxhash64("doc_id", "text", "lang"), F.lit(sample_every)) == 0
     sample = materialize(docs.where(chosen).select("text", "lang"), "phrases-sample")
-
-    def heavy(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("h")
+    docs = docs.select("text", "lang")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts, few = (max(1, -(-size // n)) for n in (PART_BYTES, PART_BYTES * sample_every))
 
     def spread(hashes: DataFrame, n: int) -> Broadcast:
         return spark.sparkContext.broadcast(bitmap(hashes, n).words)
 
-    short = materialize(heavy(counted(sample, "short")), "phrases-short")
+    short = materialize(hashed_counts(sample, "short", few, least), "phrases-short")
     n_short = short.count()
     pairs = spread(short, n_short)
-    longer = materialize(heavy(counted(sample, "long", pairs)), "phrases-long")
+    longer = materialize(hashed_counts(sample, "long", few, least, pairs), "phrases-long")
     proposed = spread(short.union(longer), n_short + longer.count())
-
-    def summed(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.sum("c").alias("c")).where((F.col("c") >= min_count) | (F.col("phrase") == ""))
-
-    full = materialize(summed(counted(docs.select("text", "lang"), "full", proposed), "lang", "phrase", "h"), "phrases-full")
-    found = full.where("phrase IS NOT NULL").select("lang", "phrase", "c")
-    failures = full.where("phrase IS NULL").select("h")
-    n_failures = failures.count()
-    if n_failures:
-        failed = spread(failures, n_failures)
-        more = summed(counted(docs.select("text", "lang"), "expand", proposed, failed), "lang", "phrase")
-        found = found.union(materialize(more, "phrases-expanded"))
-    return found
+    full = materialize(hashed_counts(docs, "full", parts, min_count, proposed), "phrases-full")
+    reached = spread(full, full.count())
+    total = spelled_counts(docs, proposed, reached).groupBy("lang", "phrase").agg(F.sum("c").alias("c"))
+    return materialize(total.where((F.col("c") >= min_count) | (F.col("phrase") == "")), "phrases-counted")
 
 
 def ranked(counts: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, absorbed: int = ABSORBED) -> DataFrame:
