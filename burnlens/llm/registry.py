@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burnlens.llm import collocations, decontaminate, lm, packing, pii, polytope, quality, simhash, tokencount, topk, toxicity, warc
+from burnlens.llm import collocations, decontaminate, lm, packing, pii, polytope, quality, simhash, tokencount, topk, toxicity, treap, warc
 from burnlens.llm.common import table
 
 
@@ -66,6 +66,11 @@ def op11_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polytope.query(table(spark, sf_dir, "embeddings"))
 
 
+def op12_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every item of ``benchmark``."""
+    return treap.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collocations of up to four words in each language of ``documents``."""
     return collocations.query(table(spark, sf_dir, "documents"))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
     "op11_polytope": op11_polytope,
+    "op12_treap": op12_treap,
     "op13_collocations": op13_collocations,
 }
 
@@ -90,5 +96,6 @@ ORACLES: dict[str, str] = {
     "op4_topk": topk.SQL,
     "op5_warc": warc.SQL,
     "op11_polytope": polytope.SQL,
+    "op12_treap": treap.SQL,
     "op13_collocations": collocations.SQL,
 }
