@@ -239,7 +239,7 @@ class Mixer:
 
 CLASS_BYTE = [bytes([c]) for c in range(CLASSES)]
 CLASS_OF = {b: c for c, b in enumerate(CLASS_BYTE)}
-NOTHING = stretch_hash(np.zeros(1, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64))
+NOTHING = stretch_hash(prefix_sums(np.zeros(0, np.uint8)), np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
 def packed(a: np.ndarray) -> bytes:

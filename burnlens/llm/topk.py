@@ -12,7 +12,9 @@ Defined cases: vectors that are null or hold a null or non-finite component take
 no part; a vector's missing trailing components count as 0; an empty vector
 scores 0; rows repeated as a whole count once; a row with the query's own
 ``vec_id`` is no candidate; a null ``vec_id`` takes no part; ties go to the
-smaller ``vec_id``; empty tables give no rows.
+smaller ``vec_id``; empty tables give no rows.  An id may have several vectors: as a
+query it has one ranking over all of them, as a candidate each of their scores (equal
+ones once).  Scores that might pass 62 bits stop the job with an error.
 """
 
 from __future__ import annotations
@@ -42,9 +44,10 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """``(vec_id, v array<long>)`` of the vectors that take part."""
     x = F.col(vector_col).cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == math.inf))
-    return vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & ~bad).select(
-        F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * F.lit(float(SCALE))).cast("long")).alias("v")
-    )
+    huge = F.exists(x, lambda c: F.abs(c) >= F.lit(2.0**62 / SCALE))
+    whole = F.transform(x, lambda c: F.floor(c * F.lit(float(SCALE))).cast("long"))
+    v = F.when(huge, F.raise_error(F.lit("a vector's components pass 62 bits")).cast("array<bigint>")).otherwise(whole)
+    return vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & ~bad).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
 
 
 def sparse_rows(rows: list[tuple[int, list[int]]]) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
@@ -76,6 +79,8 @@ def postings(column: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def accumulate(n_queries: int, n_rows: int, terms: list[tuple[int, np.ndarray, np.ndarray]], posts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     scores = np.zeros((n_queries, n_rows), np.int64)
+    if sum(float(np.abs(w).max()) * float(np.abs(posts[t][1]).max(initial=0)) for t, _, w in terms if t < len(posts)) >= 2.0**62:
+        raise OverflowError("scores pass 62 bits")
     for term, queries, weights in terms:
         if term >= len(posts):
             break
@@ -165,18 +170,24 @@ def query(vectors: DataFrame) -> DataFrame:
 
 SQL = """
 WITH v AS (
-  SELECT DISTINCT CAST(vec_id AS BIGINT) AS vec_id,
-         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+  SELECT vec_id, e, row_number() OVER () AS n
+  FROM (
+    SELECT DISTINCT CAST(vec_id AS BIGINT) AS vec_id,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+  )
 ), c AS (
-  SELECT vec_id, e, unnest(e) AS w, generate_subscripts(e, 1) AS t FROM v
+  SELECT vec_id, n, unnest(e) AS w, generate_subscripts(e, 1) AS t FROM v
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
-  FROM c AS q JOIN c ON c.t = q.t AND c.vec_id <> q.vec_id
-  WHERE q.vec_id % 100 = 0
-  GROUP BY q.vec_id, c.vec_id
+  SELECT DISTINCT query_id, vec_id, score
+  FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+    FROM c AS q JOIN c ON c.t = q.t AND c.vec_id <> q.vec_id
+    WHERE q.vec_id % 100 = 0
+    GROUP BY q.vec_id, q.n, c.vec_id, c.n
+  )
 ), r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 )

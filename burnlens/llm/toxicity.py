@@ -281,7 +281,8 @@ def calibrate(model: Linear, margin: np.ndarray, label: np.ndarray) -> None:
 
 
 def sketch(lowered: list[bytes]) -> np.ndarray:
-    """Smallest hash of three words in a row of each text: copies and near copies mostly share it."""
+    """Smallest hash of three words in a row of each text (of all its words, if there are fewer):
+    copies and near copies mostly share it, and no other text has a say in it."""
     joined = b"\n".join(lowered)
     buf = np.frombuffer(joined, np.uint8)
     start, end = table_bounds(buf, INSIDE)
@@ -291,7 +292,13 @@ def sketch(lowered: list[bytes]) -> np.ndarray:
     out = np.full(len(lowered), np.iinfo(np.uint64).max, np.uint64)
     if len(h) > 2:
         three = mixed(h[:-2] * np.uint64(3) + h[1:-1] * np.uint64(5) + h[2:] * np.uint64(7))
-        np.minimum.at(out, of[:-2], three)
+        whole = of[:-2] == of[2:]
+        np.minimum.at(out, of[:-2][whole], three[whole])
+    words = np.bincount(of, minlength=len(lowered))
+    few = np.flatnonzero((words == 1) | (words == 2))
+    first = (np.cumsum(words) - words)[few]
+    second = np.where(words[few] == 2, h[np.minimum(first + 1, len(h) - 1)], np.uint64(0)) if len(few) else h[:0]
+    out[few] = mixed(h[first] * np.uint64(3) + second * np.uint64(5))
     return out
 
 

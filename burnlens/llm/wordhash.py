@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
+import xxhash
+
+#: Stretches of more bytes than this are hashed byte for byte: sums of powers modulo
+#: 2**64 are equal for some pairs of long words, whatever the base.
+LONG_BYTES = 256
 
 #: Words end at these bytes (the ASCII white space).
 SPACE = np.zeros(256, bool)
@@ -32,18 +39,29 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def prefix_sums(buf: np.ndarray) -> np.ndarray:
+class Sums(NamedTuple):
+    """Prefix sums of a text's hash, and the text."""
+
+    at: np.ndarray
+    buf: np.ndarray
+
+
+def prefix_sums(buf: np.ndarray) -> Sums:
     """Sums of ``(byte + 1) * base**i``: the polynomial hash of any stretch is a difference of two."""
     up, _ = _powers(len(buf) + 1)
     out = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=out[1:])
-    return out
+    return Sums(out, buf)
 
 
-def stretch_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def stretch_hash(sums: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of ``buf[start:end]``, the same wherever the stretch stands."""
-    _, down = _powers(len(sums))
-    return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _MIX)
+    _, down = _powers(len(sums.at))
+    size = end - start
+    out = mixed((sums.at[end] - sums.at[start]) * down[start] + size.astype(np.uint64) * _MIX)
+    for k in np.flatnonzero(size > LONG_BYTES):
+        out[k] = xxhash.xxh64_intdigest(sums.buf[start[k] : end[k]].tobytes())
+    return out
 
 
 def table_bounds(buf: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
