@@ -702,20 +702,10 @@ def _model(spark, sf, which: str):
     key = (spark.sparkContext.applicationId, sf, which)
     if key not in _ML_CACHE:
         _, train, _ = _data(spark, sf)
-        _ML_CACHE[key] = {
-            "ridge": lambda: ml.ridge_closed_form_cv(train),
-            "rf": lambda: ml.rf_cv(train),
-            "gbt": lambda: ml.boosted_cv(train, "GBT"),
-            "gbt_wide": lambda: ml.boosted_cv(train, "GBT wide"),
-        }[which]()
+        _ML_CACHE[key] = {"ridge": lambda: ml.ridge_closed_form_cv(train), "gbt": lambda: ml.boosted_cv(train, "GBT")}[which]()
     return _ML_CACHE[key]
 
 
-def _trained(spark, sf):
-    data, train, val = _data(spark, sf)
-    return data, train, val, [_model(spark, sf, w) for w in ("ridge", "rf", "gbt", "gbt_wide")]
-
-
 def clear_models() -> None:
     _ML_CACHE.clear()
 
@@ -727,59 +717,8 @@ def ridge_cv(spark, sf):
     return spark.createDataFrame(rows, "Model string, Alpha double, CV_RMSE double")
 
 
-@query("rf_cv")
-def rf_cv(spark, sf):
-    """ML5/ML8/ML9: random-forest configuration search log."""
-    rows = [("Random Forest", str(sorted(p.items())), float(m)) for p, m in _model(spark, sf, "rf").search]
-    return spark.createDataFrame(rows, "Model string, Params string, CV_RMSE double")
-
-
-@query("hp_search")
-def hp_search(spark, sf):
-    """ML9: one search log of all models."""
-    return ml.search_log(_trained(spark, sf)[3], spark)
-
-
 @query("gbt")
 def gbt(spark, sf):
     """ML6: boosted-tree predictions on the validation split."""
     _, _, val = _data(spark, sf)
     return _model(spark, sf, "gbt").model.transform(val).select("OrderKey", "label", "prediction")
-
-
-@query("scoreboard")
-def scoreboard(spark, sf):
-    """ML10/ML11/ML12/A37: validation metrics of every trained model with its CV RMSE."""
-    _, _, val, models = _trained(spark, sf)
-    long = ml.predictions_long(models, val, ["OrderKey"])
-    return ml.scoreboard(long, {m.name: m.cv_rmse for m in models})
-
-
-@query("feature_importance")
-def feature_importance(spark, sf):
-    """ML13: top-20 importances per model through the one-hot names."""
-    data, _, _, models = _trained(spark, sf)
-    return ml.feature_importance(models, data, 20)
-
-
-@query("batch_score")
-def batch_score(spark, sf):
-    """ML14/ML15/ML16/S12/S13: scoring-variant features for the validation
-    rows (target dropped), imputation, ranked model fallback, clipped and
-    rounded submission. Models are saved and re-loaded from the shared
-    checkpoint folder."""
-    from ..session import checkpoint_dir
-
-    data, _, val, models = _trained(spark, sf)
-    board = ml.scoreboard(ml.predictions_long(models, val, ["OrderKey"]))
-    order = [r["Model"] for r in board.orderBy("RMSE", "Model").select("Model").collect()]
-    by_name = {m.name: m for m in models}
-    paths = []
-    for name in order:
-        p = f"{checkpoint_dir(spark)}/burnlens/models/{name.replace(' ', '_')}-{spark.sparkContext.applicationId}"
-        if isinstance(by_name[name].model, ml.LinearModel):
-            p += ".linear"
-        paths.append(ml.save_model(by_name[name], p, spark))
-    # Every validation row, also those that the training frame leaves out.
-    every = predict.hash_split(_eng(spark, sf)).where(F.col("IsValidation")).drop(C.TARGET)
-    return ml.batch_score(paths, ml.impute_for_scoring(every))
