@@ -35,7 +35,7 @@ def metric_exprs(y: str, yhat: str, prefix: str = "") -> list:
     e = F.col(yhat) - F.col(y)
     eps = 2.220446049250313e-16  # numpy float64 epsilon, sklearn's MAPE floor
     ss_res = F.sum(e * e)
-    ss_tot = F.sum(F.col(y) * F.col(y)) - F.pow(F.sum(y), 2) / F.count(y)
+    ss_tot = F.var_pop(y) * F.count(y)  # centred as it goes: raw squares would cancel
     return [
         F.sqrt(F.avg(e * e)).alias(f"{prefix}RMSE"),
         F.avg(F.abs(e)).alias(f"{prefix}MAE"),

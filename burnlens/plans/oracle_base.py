@@ -129,7 +129,8 @@ WITH airports AS (
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 raw AS (
-  SELECT l.l_orderkey AS OrderKey,
+  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, CAST(round(l.l_extendedprice * 100) AS BIGINT), strftime(l.l_shipdate, '%Y-%m-%d')) AS RowKey,
+         l.l_orderkey AS OrderKey,
          sn.n_name || '-' || cn.n_name AS ScheduledRoute,
          l.l_shipdate + to_hours(CAST(l.l_partkey % 24 AS INTEGER)) AS DepartureScheduled,
          CASE {' '.join(f"WHEN p.p_type = '{k}' THEN '{v}'" for k, v in C.TYPE_NAMES.items())} ELSE p.p_type END AS AircraftTypeGroup,

@@ -4,6 +4,7 @@ The reference reads one wide CSV; the driver ships a star schema instead, so
 the fact is assembled by joins (the same expressions, word for word, are used
 by the DuckDB oracle in ``plans/oracle.py``):
 
+* RowKey              order, line, part, supplier, price in cents and ship date: one row each
 * ScheduledRoute      supplier nation name ``-`` customer nation name
 * AircraftTypeGroup   p_type (three of them as NG, Max, Airbus); Carrier = c_mktsegment; AOCDescription = l_returnflag
 * DepartureScheduled  l_shipdate + (l_partkey % 24) hours
@@ -33,7 +34,7 @@ from ..operators.sizing import BROADCAST_BYTES, file_broadcast, scan_bytes
 from ..session import ensure_parallelism
 
 RAW_COLUMNS = [
-    "OrderKey", "ScheduledRoute", "DepartureScheduled", "ArrivalScheduled",
+    "RowKey", "OrderKey", "ScheduledRoute", "DepartureScheduled", "ArrivalScheduled",
     "AircraftTypeGroup", "Carrier", "AOCDescription", "AircraftCapacity",
     "Adults", "Children", "Infants", "Freight", "BlockTimeScheduled",
     "PlannedTripTime", "PlannedTOW", "PlannedZeroFuelWeight",
@@ -82,7 +83,9 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = (F.lit(60) + F.col("l_partkey") % 180).cast("double")
     tow = F.lit(40000.0) + F.col("p_retailprice") * F.col("l_quantity") / 10
     dep = F.col("l_shipdate") + F.make_interval(hours=(F.col("l_partkey") % 24).cast("int"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     return f.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents, F.date_format("l_shipdate", "yyyy-MM-dd")).alias("RowKey"),
         F.col("l_orderkey").alias("OrderKey"),
         F.concat(F.col("sn_name"), F.lit("-"), F.col("cn_name")).alias("ScheduledRoute"),
         dep.alias("DepartureScheduled"),
