@@ -1085,12 +1085,12 @@ def fleet_comparison(spark, sf):
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalog_models, catalog_more, catalog_tables  # noqa: F401  (register the remaining queries)
+    from . import catalog_jobs, catalog_models, catalog_more, catalog_tables  # noqa: F401  (register the remaining queries)
 
     return dict(QUERIES)
 
 
 def all_oracles() -> dict[str, str]:
-    from . import catalog_models, catalog_more, catalog_tables  # noqa: F401
+    from . import catalog_jobs, catalog_models, catalog_more, catalog_tables  # noqa: F401
 
     return dict(ORACLES)
