@@ -8,8 +8,9 @@ number grows with the tokens.  A shard adds up its entries over all chunks and a
 each; chunks then hold the exact counts of their own contexts, and no table of all
 contexts is in one place.
 
-The mixer's weights minimise the cost of all training bytes, each with its number and
-predicted from the others, by Newton steps over all chunks.
+The mixer learns online in one pass: each chunk from its first event to its last, every
+training byte with its number and predicted from the others; the chunks' mixers are then
+merged by what each has seen.
 """
 
 from __future__ import annotations
@@ -23,13 +24,11 @@ from pyspark.sql import functions as F
 
 from burnlens.llm import mixing
 from burnlens.llm.common import materialize, tidied
-from burnlens.llm.mixing import CLASS_OF, CLASS_ORDERS, EVENTS_AT_ONCE, GATES, LEVELS, NOTHING, ORDERS, PRIOR, TOKEN, Mixer, bits, gates, levels, packed, rests, squash, unpacked
+from burnlens.llm.mixing import CLASS_OF, CLASS_ORDERS, EVENTS_AT_ONCE, NOTHING, ORDERS, PRIOR, STEP_EVENTS, SUMMARY, TOKEN, Learner, Mixer, bits, packed, rests, unpacked
 from burnlens.llm.wordhash import mixed, prefix_sums, stretch_hash
 
 #: Tokens of one chunk, and entries of one shard (about).
 CHUNK_TOKENS, SHARD_ENTRIES = 60_000, 1_000_000
-#: Newton steps, and the pull to the first weights.
-STEPS, PULL = 5, 1.0
 BYTE = np.uint64(0xFF)
 BALANCED = np.float32(1e-4)
 
@@ -70,11 +69,12 @@ class Chunk:
         return np.bincount(self.index.ravel(), np.tile(self.weight, ORDERS), len(self.codes)).astype(np.int64)
 
     def parts(self, counts: np.ndarray, trained: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(events, inputs)`` in bounded parts; ``trained``: the training bytes, each predicted from the others."""
+        """``(events, inputs)`` in bounded parts, in the order of the events' hashes;
+        ``trained``: the training bytes, each predicted from the others."""
         events = np.flatnonzero(self.weight > 0) if trained else np.arange(len(self.window))
-        value = entry_inputs(counts, trained)
-        for k in range(0, len(events), EVENTS_AT_ONCE):
-            at = events[k : k + EVENTS_AT_ONCE]
+        value, size = entry_inputs(counts, trained), STEP_EVENTS if trained else EVENTS_AT_ONCE
+        for k in range(0, len(events), size):
+            at = events[k : k + size]
             x = value[self.index[:, at]]
             x = np.where(bits(self.window[at]), x, -x)
             x[x == -BALANCED] = BALANCED
@@ -234,40 +234,12 @@ def _with_counts(row: dict) -> tuple[Chunk, np.ndarray]:
     return _chunk(row), np.cumsum(left[::-1], axis=0)[::-1]
 
 
-def cost_sums(chunk: Chunk, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """By gate: cost, its descent and its curvature over all training bytes with their numbers (gates x 1 + 6 + 36)."""
-    out = np.zeros((GATES, 1 + ORDERS + ORDERS * ORDERS))
+def learned(chunk: Chunk, counts: np.ndarray) -> np.ndarray:
+    """What the mixer learns online from a chunk's training bytes."""
+    learner = Learner()
     for at, x in chunk.parts(counts, True):
-        gate = gates(x).ravel()
-        bit = bits(chunk.window[at]).ravel()
-        n = np.repeat(chunk.weight[at], 8)
-        x = x.reshape(ORDERS, -1).astype(np.float64)
-        mix = sum(weights[gate, k] * x[k] for k in range(ORDERS))
-        p = squash(mix)
-        out[:, 0] += np.bincount(gate, n * np.logaddexp(0, np.where(bit, -mix, mix)), GATES)
-        error, curve = n * (bit - p), n * p * (1 - p)
-        for k in range(ORDERS):
-            out[:, 1 + k] += np.bincount(gate, error * x[k], GATES)
-            bent = curve * x[k]
-            for j in range(k, ORDERS):
-                h = np.bincount(gate, bent * x[j], GATES)
-                out[:, 1 + ORDERS + k * ORDERS + j] += h
-                if j > k:
-                    out[:, 1 + ORDERS + j * ORDERS + k] += h
-    return out
-
-
-def followed(chunk: Chunk, counts: np.ndarray, mixer: Mixer) -> np.ndarray:
-    """What followed the mixes: hits and ones (2 x bits x levels) over all training bytes with their numbers."""
-    out = np.zeros((2, 8 * LEVELS))
-    for at, x in chunk.parts(counts, True):
-        low, far = levels(mixer.mix(x)[1])
-        cell = np.arange(8) * LEVELS + low
-        n, bit = chunk.weight[at][:, None], bits(chunk.window[at])
-        for c, share in ((cell, 1 - far), (cell + 1, far)):
-            out[0] += np.bincount(c.ravel(), (share * n).ravel(), 8 * LEVELS)
-            out[1] += np.bincount(c.ravel(), (share * n * bit).ravel(), 8 * LEVELS)
-    return out
+        learner.step(x, bits(chunk.window[at]), chunk.weight[at])
+    return learner.summary()
 
 
 def _summed(full: DataFrame, work, size: int) -> np.ndarray:
@@ -288,36 +260,8 @@ def _summed(full: DataFrame, work, size: int) -> np.ndarray:
     return out
 
 
-class Newton:
-    """Steps of each gate's weights; one that made the cost worse is cut to a quarter."""
-
-    def __init__(self) -> None:
-        self.first = Mixer.fresh().weights
-        self.weights = self.best = self.first
-        self.cost = np.full(GATES, np.inf)
-        self.step = np.zeros((GATES, ORDERS))
-
-    def take(self, sums: np.ndarray) -> None:
-        sums = sums.reshape(GATES, -1)
-        cost = sums[:, 0] + PULL / 2 * ((self.weights - self.first) ** 2).sum(1)
-        better = cost <= self.cost
-        self.cost = np.where(better, cost, self.cost)
-        self.best = np.where(better[:, None], self.weights, self.best)
-        descent = sums[:, 1 : 1 + ORDERS] - PULL * (self.weights - self.first)
-        curve = sums[:, 1 + ORDERS :].reshape(GATES, ORDERS, ORDERS) + PULL * np.eye(ORDERS)
-        self.step = np.where(better[:, None], np.linalg.solve(curve, descent[:, :, None])[:, :, 0], self.step / 4)
-        self.weights = self.best + self.step
-
-
 def train_mixer(full: DataFrame) -> Mixer:
-    newton = Newton()
-    for _ in range(STEPS):
-        weights = newton.weights
-        newton.take(_summed(full, lambda chunk, counts, weights=weights: cost_sums(chunk, counts, weights), GATES * (1 + ORDERS + ORDERS * ORDERS)))
-    mixer = Mixer.fresh()
-    mixer.weights = newton.best
-    hits, ones = _summed(full, lambda chunk, counts: followed(chunk, counts, mixer), 2 * 8 * LEVELS).reshape(2, 8, LEVELS)
-    return Mixer(mixer.weights, mixer.hits + hits, mixer.ones + ones)
+    return Learner.merged(_summed(full, learned, SUMMARY))
 
 
 def key_scores(full: DataFrame, mixer: Mixer) -> DataFrame:

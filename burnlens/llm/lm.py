@@ -2,16 +2,16 @@
 
 Base score: sum over a text's words and its end of
 ``log10((c + 0.1) / (N + 0.1 (V + 1)))`` with the token's count, all tokens and
-distinct tokens of the training texts.  Score: log10 probability under
-``mixing.Model``.
+distinct tokens of the training texts.  Score: log10 probability under the mixing
+model (``mixing``); ``bits_per_byte`` is the same for each byte and the end.
 
 1. One pass over all texts: every task counts its distinct tokens and the borders
    between them, by their numbers in the training texts (0 in held-out ones alone).
    The counts are summed by a shuffle and written once.
 2. The contexts of tokens and borders are counted exactly, dealt over Spark by their
    hash (``contexts``); what is gathered grows with the distinct contexts.  The mixer
-   is fitted to all training bytes by their numbers, and every distinct token and
-   border is scored.
+   learns online from all training bytes by their numbers, and every distinct token
+   and border is scored.
 3. A second pass over all texts: tokens and borders among the ``HEAD_WORDS`` most
    frequent are looked up where they stand.  The others of each text are joined with
    their scores by a shuffle, so there may be any number.
@@ -140,6 +140,7 @@ def scored(docs: DataFrame, head: pa.Table) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc_id.slice(first, n),
+                        pa.array(np.bincount(of, end - start, n).astype(np.int64)),
                         pa.array(np.bincount(of[end - start > 1], minlength=n)),
                         pa.array(sums[0].astype(np.int64)),
                         pa.array(sums[1]),
@@ -147,14 +148,14 @@ def scored(docs: DataFrame, head: pa.Table) -> DataFrame:
                         pa.ListArray.from_arrays(cut, pa.array(rest[at].view(np.int64))),
                         pa.ListArray.from_arrays(cut, pa.array(times)),
                     ],
-                    names=["doc_id", "n_words", "head_known", "head_sum", "head_value", "tail_h", "tail_n"],
+                    names=["doc_id", "n_bytes", "n_words", "head_known", "head_sum", "head_value", "tail_h", "tail_n"],
                 )
 
-    return docs.mapInArrow(tidied(run), "doc_id long, n_words long, head_known long, head_sum double, head_value double, tail_h array<long>, tail_n array<int>")
+    return docs.mapInArrow(tidied(run), "doc_id long, n_bytes long, n_words long, head_known long, head_sum double, head_value double, tail_h array<long>, tail_n array<int>")
 
 
 def scores(docs: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per input row."""
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)``, one row per input row."""
     slim = documents(docs)
     out = held_out(F.col("doc_id"), 10, 0)
     counts = materialize(counted(slim.select("text", (~out).alias("train"))), "lm-counts")
@@ -173,6 +174,7 @@ def scores(docs: DataFrame) -> DataFrame:
         .agg(*(F.sum(F.col("times") * F.col(c)).alias(f"tail_{c}") for c in ("known", "base", "value")))
     )
     each = np.log10(n_tokens + 0.1 * (n_types + 1))
+    total = F.col("head_value") + F.coalesce("tail_value", F.lit(0.0)) - float(np.log2(mixing.CLASSES))
     return rows.join(tails, "row", "left").select(
         "doc_id",
         out.alias("held_out"),
@@ -180,7 +182,8 @@ def scores(docs: DataFrame) -> DataFrame:
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0)) + int(n_docs > 0)).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),
         (F.col("head_sum") + F.coalesce("tail_base", F.lit(0.0)) + float(np.log10(n_docs + 0.1)) - (F.col("n_words") + 1) * float(each)).alias("base_score"),
-        ((F.col("head_value") + F.coalesce("tail_value", F.lit(0.0)) - float(np.log2(mixing.CLASSES))) * float(np.log10(2))).alias("score"),
+        (total * float(np.log10(2))).alias("score"),
+        (-total / F.col("n_bytes")).alias("bits_per_byte"),
     )
 
 

@@ -3,11 +3,11 @@
 The text is a stream of bytes (A-Z in lower case) with an end byte.  Each bit of
 the next byte is predicted in six hashed contexts: the last one to five bytes,
 which inside a word reach back to its beginning, and the word so far.  (The first
-byte of a word sees the bytes before it, across the border.)  A slot of a
-context's table counts how often the bit was 0 and 1 there.  The predictions are
-mixed in the logistic domain with weights that a gate selects (bit number, how
-many contexts are known, whether the word is), and a last stage refines the mix
-by what really followed such mixes.
+byte of a word sees the bytes before it, across the border.)  A context counts how
+often the bit was 0 and 1 there.  The predictions are mixed in the logistic domain
+with weights that a gate selects (bit number, how many contexts are known, whether
+the word is).  The weights are learned online, step by step, and a last stage refines
+the mix adaptively by what really followed such mixes.
 
 Two contexts also know the text's *class*: which letter beyond ASCII is the most
 frequent, if any is, and whether marks are.  The class is told before the text, at
@@ -18,9 +18,7 @@ ends them): of the first byte after the five bytes before it, and of the rest
 given the first.  Counting and scoring work on distinct tokens and borders with
 their numbers.
 
-The operator counts contexts exactly, over Spark (``contexts``).  ``Tables`` and
-``Model`` are the same model in one process, for small texts: its tables have a fixed
-size, where contexts that fall on one another are added up.
+The contexts' counts are gathered exactly over Spark (``contexts``).
 """
 
 from __future__ import annotations
@@ -33,11 +31,8 @@ import zstandard
 
 from burnlens.llm.wordhash import LOWER, SPACE, HashTable, mixed, prefix_sums, stretch_hash
 
-#: Bits of the slot numbers of the contexts (1 to 5 bytes, word), and slots of one block.
-TABLE_BITS = (16, 18, 20, 21, 22, 22)
-BLOCK_BITS = 16
-ORDERS = len(TABLE_BITS)
-MODEL_BYTES = 2 * sum(1 << b for b in TABLE_BITS)
+#: Contexts: 1 to 5 bytes, word.
+ORDERS = 6
 #: Counts before anything is seen.
 PRIOR = 0.15
 GATES = 8 * (ORDERS) * 2
@@ -47,11 +42,11 @@ START, END = b"\n" * 5, b"\0"
 BEFORE = 0x20
 #: Classes of texts, the contexts that know them, and the least shares of letters beyond ASCII and of marks that count.
 CLASSES, CLASS_ORDERS, LETTER_SHARE, MARK_SHARE = 32, (3, 5), 0.002, 0.05
-#: Distinct borders and tokens that a task holds before it passes them on, and tokens whose contexts are worked out together.
-HELD, TOKENS_AT_ONCE = 1_000_000, 60_000
-#: Occurrences of an online step of ``Model``'s mixer, and the steps' size.
-STEP_OCCURRENCES, RATE = 128, 0.02
-TALLY_BITS, SCORE_BITS, EVENT_BITS = 20, 21, 22
+#: Distinct borders and tokens that a task holds before it passes them on.
+HELD = 1_000_000
+TALLY_BITS = 20
+#: Distinct events of an online step, the pull to the first weights, and how far one step may move a weight.
+STEP_EVENTS, PULL, STEP_LIMIT = 1 << 13, 1.0, 0.25
 #: Bytes of text and events that are worked on together.
 BYTES_AT_ONCE, EVENTS_AT_ONCE = 1 << 18, 1 << 15
 
@@ -136,31 +131,6 @@ def rests(words: list[bytes], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return known_class(anchored(windows(buf, at), inside), kind[of]), stretch_hash(prefix_sums(buf), start[of], at), of
 
 
-def slots(order: int, window: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Slot numbers of the eight bits of each event in one context's table (events x 8).
-
-    The four bits of a half byte stand next to each other.
-    """
-    byte = window & np.uint64(0xFF)
-    if order == 0:
-        node = (byte | np.uint64(0x100))[:, None] >> (_SHIFT + np.uint64(1))
-        return (((window & np.uint64(0xFF00))[:, None]) | node).astype(np.int64)
-    if order < ORDERS - 1:
-        context = (window >> np.uint64(8)) & np.uint64((1 << (8 * (order + 1))) - 1)
-    else:
-        context = word
-    if order in CLASS_ORDERS:
-        context = context + (window >> np.uint64(48)) * _A
-    h = mixed(context * _B + np.uint64(order))
-    high = byte >> np.uint64(4)
-    out = np.empty((len(window), 8), np.int64)
-    shift = np.uint64(64 - TABLE_BITS[order] + 4)
-    for k, (place, half) in enumerate(((h * _A, high), ((h + (high + np.uint64(1)) * _C) * _A, byte & np.uint64(0xF)))):
-        node = (half | np.uint64(0x10))[:, None] >> (_SHIFT[4:] + np.uint64(1))
-        out[:, 4 * k : 4 * k + 4] = ((place >> shift) << np.uint64(4))[:, None] | node
-    return out
-
-
 def bits(window: np.ndarray) -> np.ndarray:
     return ((window & np.uint64(0xFF))[:, None] >> _SHIFT & np.uint64(1)).astype(bool)
 
@@ -193,20 +163,6 @@ class Mixer:
         level = squash((np.arange(LEVELS) - LEVELS // 2) * LEVEL_STEP)
         return cls(np.full((GATES, ORDERS), 0.3), np.full((8, LEVELS), 20.0), np.tile(20 * level, (8, 1)))
 
-    def sums(self, weight: float) -> np.ndarray:
-        """What is added up over tasks: the weights by their occurrences, and what the mixer saw."""
-        fresh = Mixer.fresh()
-        return np.concatenate([[weight], (self.weights * weight).ravel(), (self.hits - fresh.hits).ravel(), (self.ones - fresh.ones).ravel()])
-
-    @classmethod
-    def of(cls, sums: np.ndarray) -> Mixer:
-        out = cls.fresh()
-        if len(sums) and sums[0]:
-            w, h, o = np.split(sums[1:], [GATES * ORDERS, GATES * ORDERS + 8 * LEVELS])
-            out.weights = (w / sums[0]).reshape(GATES, ORDERS)
-            out.hits, out.ones = out.hits + h.reshape(8, LEVELS), out.ones + o.reshape(8, LEVELS)
-        return out
-
     def mix(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gate = gates(inputs)
         out = np.zeros(inputs.shape[1:])
@@ -221,21 +177,60 @@ class Mixer:
         bit = np.arange(8)
         return (squash(mix) + rate[bit, low] * (1 - far) + rate[bit, low + 1] * far) / 2
 
-    def learn(self, inputs: np.ndarray, bit: np.ndarray, refine: bool) -> None:
-        """One online step on a few occurrences."""
-        gate, mix = self.mix(inputs)
-        error = bit - squash(mix)
-        n = np.bincount(gate.ravel(), minlength=GATES)
-        for k in range(ORDERS):
-            g = np.bincount(gate.ravel(), (error * inputs[k]).ravel(), GATES)
-            self.weights[:, k] += RATE * g / np.sqrt(np.maximum(n, 1))
-        if refine:
-            low, far = levels(mix)
-            cell = np.arange(8) * LEVELS + low
-            for at, share in ((cell, 1 - far), (cell + 1, far)):
-                self.hits += np.bincount(at.ravel(), share.ravel(), 8 * LEVELS).reshape(8, LEVELS)
-                self.ones += np.bincount(at.ravel(), (share * bit).ravel(), 8 * LEVELS).reshape(8, LEVELS)
 
+class Learner:
+    """A mixer that learns online from one stretch of events.
+
+    A step predicts some events with the weights so far, adds their curvature to what
+    each gate has seen, and moves the gate's weights by its share of their error: what
+    came before weighs as much as it held.  The same predictions fill the table that
+    refines them.  ``summary`` is what stretches that were learned apart add up.
+    """
+
+    def __init__(self) -> None:
+        self.mixer = Mixer.fresh()
+        self.curve = np.tile(PULL * np.eye(ORDERS), (GATES, 1, 1))
+
+    def step(self, inputs: np.ndarray, bit: np.ndarray, number: np.ndarray) -> None:
+        """``inputs`` (contexts x events x 8) of events that occur ``number`` times."""
+        gate, mix = self.mixer.mix(inputs)
+        low, far = levels(mix)
+        times = np.repeat(number, 8)
+        cell = (np.arange(8) * LEVELS + low).ravel()
+        ones = times * bit.ravel()
+        for at, share in ((cell, 1 - far.ravel()), (cell + 1, far.ravel())):
+            self.mixer.hits += np.bincount(at, share * times, 8 * LEVELS).reshape(8, LEVELS)
+            self.mixer.ones += np.bincount(at, share * ones, 8 * LEVELS).reshape(8, LEVELS)
+        order = np.argsort(gate.ravel(), kind="stable")
+        gates_here, first = np.unique(gate.ravel()[order], return_index=True)
+        p = squash(mix.ravel()[order])
+        x = inputs.reshape(ORDERS, -1)[:, order].astype(np.float64)
+        error, curve = ones[order] - times[order] * p, times[order] * p * (1 - p)
+        for g, a, b in zip(gates_here, first, np.append(first[1:], len(order))):
+            part = x[:, a:b]
+            self.curve[g] += (part * curve[a:b]) @ part.T
+            move = np.linalg.solve(self.curve[g], part @ error[a:b])
+            self.mixer.weights[g] += np.clip(move, -STEP_LIMIT, STEP_LIMIT)
+
+    def summary(self) -> np.ndarray:
+        fresh = Mixer.fresh()
+        pull = PULL * np.eye(ORDERS)
+        held = (self.curve @ self.mixer.weights[:, :, None])[:, :, 0] - PULL * fresh.weights
+        return np.concatenate([(self.curve - pull).ravel(), held.ravel(), (self.mixer.hits - fresh.hits).ravel(), (self.mixer.ones - fresh.ones).ravel()])
+
+    @staticmethod
+    def merged(total: np.ndarray) -> Mixer:
+        """The mixer of all stretches: their weights, by what each had seen."""
+        out = Mixer.fresh()
+        curve, held, hits, ones = np.split(total, np.cumsum([GATES * ORDERS * ORDERS, GATES * ORDERS, 8 * LEVELS]))
+        curve = curve.reshape(GATES, ORDERS, ORDERS) + PULL * np.eye(ORDERS)
+        out.weights = np.linalg.solve(curve, (held.reshape(GATES, ORDERS) + PULL * out.weights)[:, :, None])[:, :, 0]
+        out.hits, out.ones = out.hits + hits.reshape(8, LEVELS), out.ones + ones.reshape(8, LEVELS)
+        return out
+
+
+#: Numbers of a ``Learner.summary``.
+SUMMARY = GATES * ORDERS * (ORDERS + 1) + 2 * 8 * LEVELS
 
 CLASS_BYTE = [bytes([c]) for c in range(CLASSES)]
 CLASS_OF = {b: c for c, b in enumerate(CLASS_BYTE)}
@@ -279,17 +274,7 @@ class Tally:
         return self.count[: self.held]
 
 
-def summed(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A position and the total weight of each distinct key."""
-    if not len(key):
-        return np.zeros(0, np.int64), np.zeros(0)
-    order = np.argsort(key)
-    key = key[order]
-    first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-    return order[first], np.add.reduceat(weight[order].astype(np.float64), first)
-
-
-TOKEN, BORDER, OCCURRENCE = 0, 1, 2
+TOKEN, BORDER = 0, 1
 
 
 class Counter:
@@ -337,179 +322,3 @@ def word_counts(keys: list[bytes], number: np.ndarray) -> tuple[np.ndarray, np.n
     end = np.cumsum(size) - 1
     real = size > 2
     return stretch_hash(prefix_sums(buf), (end + 2 - size)[real], end[real]), number[real]
-
-
-class Tables:
-    """Dense counts of all contexts."""
-
-    def __init__(self) -> None:
-        self.every, self.ones = ([np.zeros(1 << b, np.float32) for b in TABLE_BITS] for _ in range(2))
-
-    def add_tokens(self, keys: list[bytes], number: np.ndarray) -> None:
-        for k in range(0, len(keys), TOKENS_AT_ONCE):
-            part = keys[k : k + TOKENS_AT_ONCE]
-            kind = np.array([CLASS_OF[t[:1]] for t in part], np.uint64)
-            window, word, of = rests([t[1:] for t in part], kind)
-            self._add(window, word, number[k : k + TOKENS_AT_ONCE][of])
-
-    def add_borders(self, keys: list[bytes], number: np.ndarray) -> None:
-        window = np.frombuffer(b"".join(keys), np.uint64)
-        self._add(window, np.repeat(NOTHING, len(window)), number)
-
-    def _add(self, window: np.ndarray, word: np.ndarray, weight: np.ndarray) -> None:
-        at, total = summed(mixed(word * _C + (window & np.uint64(0xFF)) + (window >> np.uint64(48)) * _A), weight)
-        self._slots(ORDERS - 1, window[at], word[at], total)
-        for order in range(ORDERS - 2, -1, -1):
-            mask = (1 << (8 * (order + 2))) - 1
-            # The class goes with the last context that knows it.
-            window = window & np.uint64(mask | (0xFF << 48 if order >= min(CLASS_ORDERS) else 0))
-            at, weight = summed(window, weight)
-            window = window[at]
-            self._slots(order, window, window, weight)
-
-    def _slots(self, order: int, window: np.ndarray, word: np.ndarray, weight: np.ndarray) -> None:
-        for k in range(0, len(window), EVENTS_AT_ONCE):
-            part = slice(k, k + EVENTS_AT_ONCE)
-            slot = slots(order, window[part], word[part]).ravel()
-            n = np.repeat(weight[part].astype(np.float32), 8)
-            np.add.at(self.every[order], slot, n)
-            one = bits(window[part]).ravel()
-            np.add.at(self.ones[order], slot[one], n[one])
-
-    def blocks(self) -> Iterator[tuple[int, bytes]]:
-        """``(block, sparse counts)`` of every table."""
-        for order, (every, ones) in enumerate(zip(self.every, self.ones)):
-            for k in range(1 << (TABLE_BITS[order] - BLOCK_BITS)):
-                part = slice(k << BLOCK_BITS, (k + 1) << BLOCK_BITS)
-                if (data := sparse(every[part], ones[part])) is not None:
-                    yield first_block(order) + k, data
-
-
-def first_block(order: int) -> int:
-    return sum(1 << (b - BLOCK_BITS) for b in TABLE_BITS[:order])
-
-
-BLOCKS = first_block(ORDERS)
-
-
-def sparse(every: np.ndarray, ones: np.ndarray) -> bytes | None:
-    at = np.flatnonzero(every)
-    if not len(at):
-        return None
-    parts = [packed(np.diff(at, prepend=0).astype(np.uint16)), *(packed(np.rint(x[at]).astype(np.uint64)) for x in (every, ones))]
-    return b"".join([np.array([len(p) for p in parts], "<u4").tobytes(), *parts])
-
-
-def add_sparse(data: bytes, every: np.ndarray, ones: np.ndarray) -> None:
-    sizes = np.frombuffer(data[:12], "<u4").astype(int)
-    cuts = 12 + np.cumsum([0, *sizes])
-    at = np.cumsum(unpacked(data[cuts[0] : cuts[1]], np.uint16).astype(np.int64))
-    every[at] += unpacked(data[cuts[1] : cuts[2]], np.uint64).astype(np.int64)
-    ones[at] += unpacked(data[cuts[2] : cuts[3]], np.uint64).astype(np.int64)
-
-
-class Sum:
-    """The sum of one block's parts."""
-
-    def __init__(self) -> None:
-        self.total = np.zeros((2, 1 << BLOCK_BITS), np.int64)
-
-    def add(self, data: bytes) -> None:
-        add_sparse(data, *self.total)
-
-    def parts(self) -> bytes:
-        """In the parts' form."""
-        return sparse(*self.total) or b""
-
-    def finished(self) -> bytes:
-        """As the model's compressed 16-bit inputs, and how often each slot was seen, up to 255."""
-        every, ones = self.total
-        value = np.log((ones + PRIOR) / (every - ones + PRIOR)).astype(np.float16)
-        # A balanced slot is known all the same.
-        value[(every > 0) & (value == 0)] = np.float16(1e-4)
-        parts = [packed(value), packed(np.minimum(every, 255).astype(np.uint8))]
-        return np.array([len(parts[0])], "<u4").tobytes() + b"".join(parts)
-
-
-class Model:
-    """Tables from finished blocks and a mixer, with tables of what was scored before."""
-
-    def __init__(self, blocks: dict[int, bytes], mixer: Mixer | None = None) -> None:
-        flat, seen = np.zeros(BLOCKS << BLOCK_BITS, np.float16), None
-        if mixer is None:
-            seen = np.zeros(BLOCKS << BLOCK_BITS, np.uint8)
-        for k, data in blocks.items():
-            part = slice(k << BLOCK_BITS, (k + 1) << BLOCK_BITS)
-            cut = 4 + int(np.frombuffer(data[:4], "<u4")[0])
-            flat[part] = unpacked(data[4:cut], np.float16)
-            if seen is not None:
-                seen[part] = unpacked(data[cut:], np.uint8)
-        starts = [first_block(o) << BLOCK_BITS for o in range(ORDERS)]
-        self.tables = [flat[s : s + (1 << b)] for s, b in zip(starts, TABLE_BITS)]
-        self.seen = None if seen is None else [seen[s : s + (1 << b)] for s, b in zip(starts, TABLE_BITS)]
-        self.mixer = mixer or Mixer.fresh()
-        self.borders, self.tokens = (HashTable(SCORE_BITS, np.float32) for _ in range(2))
-        self.events = HashTable(EVENT_BITS, np.float32)
-
-    def others(self, window: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Inputs (contexts x events x 8) of occurrences that are themselves in the tables: each is predicted from the others."""
-        bit = bits(window)
-        out = np.empty((ORDERS, len(window), 8), np.float32)
-        for order in range(ORDERS):
-            at = slots(order, window, word)
-            value, n = self.tables[order][at].astype(np.float64), self.seen[order][at].astype(np.float64)
-            ones = np.rint(squash(value) * (n + 2 * PRIOR) - PRIOR)
-            few = n < 255  # beyond, one more or less is nothing
-            n1, n0 = np.maximum(ones - bit, 0), np.maximum(n - ones - ~bit, 0)
-            out[order] = np.where(few, np.where(n > 1, np.log((n1 + PRIOR) / (n0 + PRIOR)), 0), value)
-            out[order][few & (n > 1) & (out[order] == 0)] = 1e-4
-        return out
-
-    def learn(self, window: np.ndarray, word: np.ndarray) -> None:
-        """Online steps of the mixer; the second half also refines."""
-        for k in range(0, len(window), STEP_OCCURRENCES):
-            part = slice(k, k + STEP_OCCURRENCES)
-            self.mixer.learn(self.others(window[part], word[part]), bits(window[part]), refine=2 * k >= len(window))
-
-    def log2(self, window: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log2 probability of each event's byte."""
-        out = np.empty(len(window))
-        for k in range(0, len(window), EVENTS_AT_ONCE):
-            part = slice(k, k + EVENTS_AT_ONCE)
-            inputs = np.stack([t[slots(o, window[part], word[part])] for o, t in enumerate(self.tables)]).astype(np.float32)
-            p = np.clip(self.mixer.refined(self.mixer.mix(inputs)[1]), 1e-6, 1 - 1e-6)
-            out[part] = np.log2(np.where(bits(window[part]), p, 1 - p)).sum(1)
-        return out
-
-    def _rests(self, words: list[bytes], kind: np.ndarray) -> np.ndarray:
-        """log2 probability of each token but its first byte."""
-        window, word, of = rests(words, kind)
-        value = looked_up(self.events, mixed(window * _A + word), lambda rows: self.log2(window[rows], word[rows]))
-        return np.bincount(of, value, len(words))
-
-    def score(self, stream: np.ndarray, begin: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        """log10 probability of each whole text of a stream with its tokens."""
-        kind = classes(stream, begin)[np.searchsorted(begin, start, "right") - 1]
-        border, raw = known_class(windows(stream, start), kind), stream.tobytes()
-        value = looked_up(self.borders, mixed(border), lambda rows: self.log2(border[rows], np.repeat(NOTHING, len(rows))))
-        token = stretch_hash(sums, start, end) + kind * _C
-        value = value + looked_up(self.tokens, token, lambda rows: self._rests([raw[x:y] for x, y in zip(start[rows].tolist(), end[rows].tolist())], kind[rows]))
-        return (np.add.reduceat(value.astype(np.float64), np.searchsorted(start, begin)) - np.log2(CLASSES)) * np.log10(2)
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for first, last, stream, begin in streams(texts):
-            out[first:last] = self.score(stream, begin, *tokens(stream, begin), prefix_sums(stream))
-        return out
-
-
-def looked_up(table: HashTable, h: np.ndarray, work) -> np.ndarray:
-    """Values by hash; ``work`` gives those of the rows (one of each hash) that the table lacks."""
-    value, known = table.find(h)
-    unknown = np.flatnonzero(~known)
-    if len(unknown):
-        new, at, back = np.unique(h[unknown], return_index=True, return_inverse=True)
-        found = work(unknown[at]).astype(np.float32)
-        table.put(new, found)
-        value[unknown] = found[back]
-    return value

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from burnlens.llm import lm, mixing, quality, toxicity
+from burnlens.llm import contexts, lm, mixing, quality, toxicity
 from burnlens.llm.labelled import held_out
 
 
@@ -54,32 +54,6 @@ def test_lm_edge_cases(edge_docs, edge_rows, empty_docs):
     assert lm.query(only.where(held_out(F.col("doc_id"), 10, 0))).count() in (0, 1)
 
 
-def model_of(texts, held=10**9):
-    """The model of texts whose counts are passed on whenever ``held`` are reached."""
-    counter, sums, seen = mixing.Counter(), {}, []
-
-    def close():
-        tables = mixing.Tables()
-        for kind, keys, number in counter.rows():
-            if kind == mixing.OCCURRENCE:
-                seen.extend(keys)
-            else:
-                (tables.add_tokens, tables.add_borders)[kind](keys, number.copy())
-        for block, data in tables.blocks():
-            sums.setdefault(block, mixing.Sum()).add(data)
-
-    for _, _, stream, begin in mixing.streams(texts):
-        counter.add(stream, begin)
-        if counter.borders.held + counter.tokens.held > held:
-            close()
-    close()
-    blocks = {k: s.finished() for k, s in sums.items()}
-    learner = mixing.Model(blocks)
-    pairs = np.frombuffer(b"".join(seen), np.uint64).reshape(-1, 2)
-    learner.learn(pairs[:, 0], pairs[:, 1])
-    return mixing.Model(blocks, mixing.Mixer.of(learner.mixer.sums(len(pairs))))
-
-
 def plain_events(model, text):
     stream = mixing.START + bytes(mixing.LOWER[np.frombuffer(text, np.uint8)]) + mixing.END
     kind = int(mixing.classes(np.frombuffer(stream, np.uint8), np.array([5]))[0])
@@ -94,38 +68,52 @@ def plain_events(model, text):
     return np.array(window, np.uint64), np.array(word, np.uint64)
 
 
-def test_mixing_scores_are_those_of_every_byte():
+def plain_contexts(window, word):
+    for order in range(mixing.ORDERS):
+        kind = window >> 48 if order in mixing.CLASS_ORDERS else 0
+        yield order, kind, word if order == mixing.ORDERS - 1 else window >> 8 & (1 << 8 * (order + 1)) - 1
+
+
+def plain_log2(seen, mixer, window, word):
+    """log2 probability of one byte: its bits one after the other, each mixed from six contexts and refined."""
+    total = 0.0
+    for k in range(8):
+        bit = window >> (7 - k) & 1
+        before, x = (window & 255) >> (8 - k), []
+        for context in plain_contexts(window, word):
+            n0, n1 = seen[context, k + 1, 2 * before], seen[context, k + 1, 2 * before + 1]
+            x.append(0.0 if n0 + n1 == 0 else float(np.log((n1 + mixing.PRIOR) / (n0 + mixing.PRIOR))) or 1e-4)
+        gate = (k * mixing.ORDERS + sum(v != 0 for v in x[:-1])) * 2 + (x[-1] != 0)
+        mix = sum(w * v for w, v in zip(mixer.weights[gate], x))
+        at = min(max(mix / mixing.LEVEL_STEP + mixing.LEVELS // 2, 0), mixing.LEVELS - 1.001)
+        low = int(at)
+        rate = mixer.ones[k] / mixer.hits[k]
+        p = (1 / (1 + np.exp(-mix)) + rate[low] * (1 - at + low) + rate[low + 1] * (at - low)) / 2
+        p = min(max(p, 1e-6), 1 - 1e-6)
+        total += np.log2(p if bit else 1 - p)
+    return total
+
+
+def test_scores_are_those_of_a_plain_coder(spark, monkeypatch):
+    """Every text of the query, byte by byte and bit by bit from plain counts of all training bytes."""
     rnd = random.Random(2)
-    words = ["the", "of", "stone", "überall", "lo", "!!", "x" * 70]
-    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 80))).encode() for _ in range(60)] + [b"", b" ", b"\n\n a  b", b"\0\0"]
-    model = model_of(texts)
-    fresh = model_of(texts)
-    for text, score in zip(texts, model.scores(texts)):
-        window, word = plain_events(fresh, text)
-        want = (fresh.log2(window, word).sum() - np.log2(mixing.CLASSES)) * np.log10(2)
-        assert abs(score - want) < 1e-4 * max(1, abs(want))
-    # Bytes after one context are a distribution.
-    window = np.arange(256, dtype=np.uint64) | np.uint64(int.from_bytes(b"\0\0 the", "big") << 8)
-    assert abs((2 ** fresh.log2(window, np.full(256, 12345, np.uint64))).sum() - 1) < 1e-6
-
-
-def test_table_counts_are_exact():
-    """Slots of the one-byte context against a plain count, with flushes in between."""
-    texts = [b"abc abd  ab\n", b"", b"Abc", b"the the"] * 30
-    every, ones = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-    for t in texts:
-        window, _ = plain_events(None, t)
-        for w in window.tolist():
-            before, byte = w >> 8 & 0xFF, w & 0xFF
-            for j in range(7, -1, -1):
-                slot = before << 8 | (byte | 256) >> (j + 1)
-                every[slot] += 1
-                ones[slot] += byte >> j & 1
-    for held in (10**9, 1):
-        model = model_of(texts, held)
-        want = np.log((ones + mixing.PRIOR) / (every - ones + mixing.PRIOR)).astype(np.float16)
-        want[(every > 0) & (want == 0)] = np.float16(1e-4)
-        assert np.array_equal(model.tables[0], want)
+    words = ["the", "of", "stone", "Stones", "überall", "lo", "!!", "x" * 70, "y" * 300]
+    texts = [" ".join(rnd.choice(words) + rnd.choice(["", "", "s"]) for _ in range(rnd.randint(0, 50))) for _ in range(50)] + ["", " ", "\n\n a  b", "\0\0", None, "unseen words"]
+    mixers, train = [], contexts.train_mixer
+    monkeypatch.setattr(contexts, "train_mixer", lambda full: mixers.append(train(full)) or mixers[-1])
+    got = {r.doc_id: r for r in lm.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    seen, events = Counter(), [list(zip(*(a.tolist() for a in plain_events(None, (t or "").encode())))) for t in texts]
+    for k, some in enumerate(events):
+        if not got[k].held_out:
+            for window, word in some:
+                for context in plain_contexts(window, word):
+                    for j in range(1, 9):
+                        seen[context, j, (window & 255) >> (8 - j)] += 1
+    assert any(r.held_out for r in got.values()) and len(got) == len(texts)
+    for k, some in enumerate(events):
+        want = sum(plain_log2(seen, mixers[0], window, word) for window, word in some) - np.log2(mixing.CLASSES)
+        assert abs(got[k].score - want * np.log10(2)) < 1e-4 * max(1, abs(want))
+        assert abs(got[k].bits_per_byte + want / len(some)) < 1e-4 * max(1, abs(want))
 
 
 def test_toxicity_finds_held_out_rows(table, spark):
