@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalar as S
 from ..functions.quantile import exact_quantiles
-from .residuals import equal_width_bins
+from .residuals import equal_width_bins, trim_above_quantile
 from .sizing import with_scalars
 
 
@@ -152,3 +152,17 @@ def metric_text(metric: Column, value: Column) -> Column:
 def shared_models(results: DataFrame, predictions: DataFrame) -> DataFrame:
     """Models that are both in the results and among the predictions."""
     return results.select("Model").distinct().join(predictions.select("Model").distinct(), "Model", "left_semi")
+
+
+def distance_error(df: DataFrame, error: str = "AbsError", distance: str = "RouteDistanceKm", q: float = 0.99) -> DataFrame:
+    """How the error grows with distance, over the rows up to the error's
+    ``q``-quantile: fitted slope, and mean error of the shortest and longest quarter."""
+    rows = trim_above_quantile(df.select(error, distance), error, q)
+    cuts = exact_quantiles(rows, distance, {"_short": 0.25, "_long": 0.75})
+    out = with_scalars(rows, cuts).agg(
+        F.count("*").alias("Rows"),
+        F.regr_slope(error, distance).alias("SlopePerKm"),
+        F.avg(F.when(F.col(distance) <= F.col("_short"), F.col(error))).alias("ShortMean"),
+        F.avg(F.when(F.col(distance) >= F.col("_long"), F.col(error))).alias("LongMean"),
+    )
+    return out.withColumn("LongMinusShort", F.col("LongMean") - F.col("ShortMean"))

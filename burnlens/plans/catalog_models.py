@@ -261,3 +261,39 @@ def other_fold_errors(spark, sf):
     eng = predict.hash_split(_eng(spark, sf)).where(F.col(C.TARGET).isNotNull())
     out = models.leave_fold_out(models.leave_fold_out(eng, _ROUTE_TYPE, "_route"), _TYPE, "_type")
     return residuals.metrics_long(out, C.TARGET, {"Mean by type": "_type", "Mean by route and type": "_route"})
+
+
+#: Two-feature ridges whose importances the consensus is taken over.
+_CONSENSUS_FEATURES = ["PlannedTOW", "PlannedTripTime", "RouteDistanceKm", "LoadFactor"]
+_PAIRS = [(a, b) for k, a in enumerate(_CONSENSUS_FEATURES) for b in _CONSENSUS_FEATURES[k + 1 :]]
+
+
+def _pair_sql(a: str, b: str) -> str:
+    return f"""
+      SELECT '{a} + {b}' AS Model, unnest(['{a}', '{b}']) AS Feature, unnest([wa, wb]) AS Importance
+      FROM (SELECT abs(bb * ay - ab * bys) AS wa, abs(aa * bys - ab * ay) AS wb
+            FROM (SELECT sum(a * a) + {_RIDGE_ALPHA} AS aa, sum(b * b) + {_RIDGE_ALPHA} AS bb, sum(a * b) AS ab, sum(a * y) AS ay, sum(b * y) AS bys
+                  FROM (SELECT ({a} - (SELECT avg({a}) FROM t)) / (SELECT stddev_pop({a}) FROM t) AS a,
+                               ({b} - (SELECT avg({b}) FROM t)) / (SELECT stddev_pop({b}) FROM t) AS b, Burnoff - (SELECT avg(Burnoff) FROM t) AS y FROM t)))
+    """
+
+
+@query(
+    "importance_consensus",
+    f"""
+    WITH {_FIT_SQL}, i AS ({' UNION ALL '.join(_pair_sql(a, b) for a, b in _PAIRS)}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY Model ORDER BY Importance DESC, Feature) AS Rank FROM i),
+    c AS (SELECT Feature, count(DISTINCT Model) AS Models, avg(Rank) AS AvgRank FROM r GROUP BY 1)
+    SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY Models DESC, AvgRank, Feature) AS INTEGER) AS Position FROM c) WHERE Position <= 3
+    """,
+    "Feature, Models, AvgRank:d, Position",
+)
+def importance_consensus(spark, sf):
+    """The three features that most ridges rank, by the importances of six two-feature models."""
+    train, _ = _split(spark, sf)
+    rows_ = train.withColumn("label", F.col(C.TARGET))
+    fitted = []
+    for a, b in _PAIRS:
+        f = ml.ridge_closed_form_cv(rows_, [_RIDGE_ALPHA], [a, b], [])
+        fitted.append(ml.Fitted(f"{a} + {b}", f.model, f.cv_rmse, f.search))
+    return ml.importance_consensus(ml.feature_importance(fitted, train))

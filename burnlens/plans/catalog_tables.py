@@ -306,3 +306,20 @@ def ridge_one_feature(spark, sf):
     data = ml.training_frame(_eng(spark, sf)).where(~F.col("IsValidation"))
     fitted = ml.ridge_closed_form_cv(data, numeric=[_RIDGE_FEATURE], categorical=[])
     return spark.createDataFrame([(float(p["alpha"]), float(r)) for p, r in fitted.search], "Alpha double, CV_RMSE double")
+
+
+@query(
+    "distance_error",
+    """
+    WITH r AS (SELECT AbsError, RouteDistanceKm FROM resid WHERE AbsError <= (SELECT quantile_cont(AbsError, 0.99) FROM resid)),
+    q AS (SELECT quantile_cont(RouteDistanceKm, 0.25) AS lo, quantile_cont(RouteDistanceKm, 0.75) AS hi FROM r)
+    SELECT count(*) AS Rows, regr_slope(AbsError, RouteDistanceKm) AS SlopePerKm, avg(AbsError) FILTER (WHERE RouteDistanceKm <= lo) AS ShortMean,
+           avg(AbsError) FILTER (WHERE RouteDistanceKm >= hi) AS LongMean,
+           avg(AbsError) FILTER (WHERE RouteDistanceKm >= hi) - avg(AbsError) FILTER (WHERE RouteDistanceKm <= lo) AS LongMinusShort
+    FROM r, q
+    """,
+    "Rows, SlopePerKm:d, ShortMean:d, LongMean:d, LongMinusShort:d",
+)
+def distance_error(spark, sf):
+    """Error against distance, the largest 1 % of errors left out."""
+    return tables.distance_error(_resid(spark, sf))

@@ -122,3 +122,26 @@ def test_primary_model(spark):
     assert [r.Model for r in models.with_primary(board).where("Primary").collect()] == ["B"]
     assert [r.Model for r in models.with_primary(board, "GBT").where("Primary").collect()] == ["GBT"]
     assert [r.Model for r in models.with_primary(board, "None").where("Primary").collect()] == ["B"]
+
+
+def test_consensus_is_over_models(spark):
+    rows = [("A", "x", 1), ("A", "y", 2), ("B", "y", 1), ("B", "z", 2), ("C", "y", 3), ("C", "x", 1), ("C", "w", 2)]
+    df = spark.createDataFrame(rows, "Model string, Feature string, Rank int")
+    got = [(r.Position, r.Feature, r.Models) for r in ml.importance_consensus(df).orderBy("Position").collect()]
+    assert got == [(1, "y", 3), (2, "x", 2), (3, "w", 1)]
+
+
+def test_distance_error_leaves_out_the_largest(spark):
+    from burnlens.operators import tables
+
+    rng = np.random.default_rng(1)
+    km = rng.uniform(100, 3000, 500)
+    err = 0.5 * km + rng.normal(0, 10, 500)
+    err[:4] = 1e6
+    pdf = pd.DataFrame({"AbsError": err, "RouteDistanceKm": km})
+    got = tables.distance_error(spark.createDataFrame(pdf).repartition(4)).first()
+    kept = pdf[pdf.AbsError <= pdf.AbsError.quantile(0.99)]
+    assert got.Rows == len(kept) and np.isclose(got.SlopePerKm, np.polyfit(kept.RouteDistanceKm, kept.AbsError, 1)[0])
+    short = kept[kept.RouteDistanceKm <= kept.RouteDistanceKm.quantile(0.25)].AbsError.mean()
+    long = kept[kept.RouteDistanceKm >= kept.RouteDistanceKm.quantile(0.75)].AbsError.mean()
+    assert np.isclose(got.LongMinusShort, long - short)
