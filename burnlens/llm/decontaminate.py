@@ -10,21 +10,26 @@ A piece hit is verified up a binary tree over the item's pieces: a node of s
 pieces may have s - 1 errors (if both children had as many errors as pieces, the
 node would have too many), so a hit climbs from two pieces to the whole item and
 stops at the first node that doesn't match.  Each check is Myers' bit-parallel
-edit distance, free at both ends of the window that the errors allow.
+edit distance, free at both ends of the window that the errors allow.  Items of
+one template share their lower nodes: a node of equal text is checked once for
+all items around a hit, and once for all windows of equal text.
 
 The items go to the tasks in blocks of a bounded number of characters; further
 blocks are further passes, each written before the next.
 
 Defined cases: a null or empty text matches nothing, nor does an item without
-words; an item too short for an error must occur unchanged; repeated items and
-repeated documents give a row each; null ids are kept; an empty table on either
-side gives no matches.
+words; an item too short for an error must occur unchanged; very long texts are
+searched whole; of an item's equally close passages the first that a piece leads
+to counts; repeated items and repeated documents give a row each; null ids are
+kept; extra columns are left out by ``find`` and kept by ``drop_contaminated``;
+an empty table on either side gives no matches.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import pyarrow as pa
@@ -36,6 +41,8 @@ from burnlens.llm.common import documents, in_steps, materialize, small_batches,
 CHARS_PER_ERROR = 10
 #: Characters of the items in one block.
 BLOCK_CHARS = 400_000
+#: Characters of verified windows that a task remembers; then it begins anew.
+REMEMBERED = 8_000_000
 
 WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
 MATCH = "doc_id long, item_id long, errors int, start int, end int"
@@ -51,10 +58,14 @@ class Pattern:
     """Myers' bit vectors of one string."""
 
     def __init__(self, text: str) -> None:
-        self.size = len(text)
-        self.bits: dict[str, int] = {}
-        for k, c in enumerate(text):
-            self.bits[c] = self.bits.get(c, 0) | 1 << k
+        self.text, self.size = text, len(text)
+
+    @cached_property
+    def bits(self) -> dict[str, int]:
+        bits: dict[str, int] = {}
+        for k, c in enumerate(self.text):
+            bits[c] = bits.get(c, 0) | 1 << k
+        return bits
 
     def best(self, window: str) -> tuple[int, int]:
         """Least edits of the pattern against any stretch of ``window``, and where the first such stretch ends."""
@@ -82,58 +93,95 @@ class Pattern:
         return least, end
 
 
-class Node:
-    """Pieces ``[lo, hi)`` of an item: its characters ``[start, end)`` with up to ``hi - lo - 1`` errors."""
+class Step:
+    """A node above a piece, shared by all items in which that node has the same
+    text, the piece stands at the same place of it, and the node may have as many
+    errors.  ``items`` are the items that end here: the node is their whole text."""
 
-    def __init__(self, text: str, cuts: list[int], lo: int, hi: int, parent: Node | None, leaves: list[Node]) -> None:
-        self.start, self.end, self.errors, self.parent = cuts[lo], cuts[hi], hi - lo - 1, parent
-        self._text, self._pattern = text, None
-        if hi - lo == 1:
-            leaves.append(self)
-        else:
-            half = (lo + hi) // 2
-            Node(text, cuts, lo, half, self, leaves)
-            Node(text, cuts, half, hi, self, leaves)
+    __slots__ = ("above", "after", "before", "errors", "items", "pattern")
 
-    @property
-    def pattern(self) -> Pattern:
-        if self._pattern is None:
-            self._pattern = Pattern(self._text[self.start : self.end])
-        return self._pattern
+    def __init__(self, pattern: Pattern, before: int, after: int, errors: int) -> None:
+        self.pattern, self.before, self.after, self.errors = pattern, before, after, errors
+        self.above: dict[tuple[str, int, int], Step] = {}
+        self.items: list[int] = []
 
 
 class Matcher:
+    """``items`` holds (id, normal text) by item number; items without words are left out."""
+
     def __init__(self, items: Items, chars_per_error: int) -> None:
         self.automaton = ahocorasick.Automaton()
-        leaves: dict[str, list[tuple[int, Node]]] = {}
         self.items: list[tuple[int | None, str]] = []
+        self.patterns: dict[str, Pattern] = {}
+        self.known: dict[tuple[str, str], int] = {}
+        self.remembered = 0
+        pieces: dict[str, Step] = {}
+        numbers: dict[str, list[int]] = {}
         for item_id, raw in items:
-            if not (text := normal(raw)):
-                continue
+            if text := normal(raw):
+                numbers.setdefault(text, []).append(len(self.items))
+                self.items.append((item_id, text))
+        for text, own in numbers.items():
             errors = len(text) // chars_per_error
             cuts = [k * len(text) // (errors + 1) for k in range(errors + 2)]
-            own: list[Node] = []
-            Node(text, cuts, 0, errors + 1, None, own)
-            for leaf in own:
-                leaves.setdefault(text[leaf.start : leaf.end], []).append((len(self.items), leaf))
-            self.items.append((item_id, text))
-        for piece, found in leaves.items():
-            self.automaton.add_word(piece, (len(piece), found))
-        if leaves:
+            for k in range(errors + 1):
+                self.climbs(text, cuts, k, pieces).items += own
+        for piece, step in pieces.items():
+            self.automaton.add_word(piece, (len(piece), step))
+        if pieces:
             self.automaton.make_automaton()
         else:
             self.automaton = None
 
-    def climb(self, text: str, at: int, leaf: Node) -> int | None:
-        """Errors of the whole item around the leaf's hit that begins at ``at``, if within its budget."""
-        node, least = leaf, 0
-        while (node := node.parent) is not None:
-            lo = at - (leaf.start - node.start) - node.errors
-            hi = at + (node.end - leaf.start) + node.errors
-            least, _ = node.pattern.best(text[max(0, lo) : hi])
-            if least > node.errors:
-                return None
-        return least
+    def climbs(self, text: str, cuts: list[int], k: int, pieces: dict[str, Step]) -> Step:
+        """Lay the path from piece ``k`` up to the whole item, along what other items have laid; its last step."""
+        path, lo, hi = [], 0, len(cuts) - 1
+        while hi - lo > 1:
+            path.append((lo, hi))
+            half = (lo + hi) // 2
+            lo, hi = (lo, half) if k < half else (half, hi)
+        piece = text[cuts[k] : cuts[k + 1]]
+        if (step := pieces.get(piece)) is None:
+            step = pieces[piece] = Step(self.pattern(piece), 0, len(piece), 0)
+        for lo, hi in reversed(path):
+            inside, before, errors = text[cuts[lo] : cuts[hi]], cuts[k] - cuts[lo], hi - lo - 1
+            key = (inside, before, errors)
+            if key not in step.above:
+                step.above[key] = Step(self.pattern(inside), before, len(inside) - before, errors)
+            step = step.above[key]
+        return step
+
+    def pattern(self, text: str) -> Pattern:
+        if text not in self.patterns:
+            self.patterns[text] = Pattern(text)
+        return self.patterns[text]
+
+    def least(self, pattern: Pattern, window: str) -> int:
+        """Least edits of the pattern in the window, remembered for windows of equal text."""
+        key = (pattern.text, window)
+        if (errors := self.known.get(key)) is None:
+            self.remembered += len(window)
+            if self.remembered > REMEMBERED:
+                self.known.clear()
+                self.remembered = len(window)
+            errors = self.known[key] = pattern.best(window)[0]
+        return errors
+
+    def around(self, text: str, at: int, piece: Step) -> dict[int, tuple[int, int]]:
+        """By item number, the items that hold within their budgets around the
+        piece's hit that begins at ``at``: errors, and where in the item the piece stands."""
+        out: dict[int, tuple[int, int]] = {}
+        steps = [(piece, 0)]
+        while steps:
+            step, errors = steps.pop()
+            for number in step.items:
+                found = (errors, step.before)
+                out[number] = min(out.get(number, found), found)
+            for above in step.above.values():
+                window = text[max(0, at - above.before - above.errors) : at + above.after + above.errors]
+                if (errors := self.least(above.pattern, window)) <= above.errors:
+                    steps.append((above, errors))
+        return out
 
     def matches(self, raw: str, first_only: bool = False) -> dict[int, tuple[int, int, int]]:
         """By item number: least errors, and start and end of that passage in the normal text."""
@@ -141,24 +189,25 @@ class Matcher:
             return {}
         text = normal(raw)
         out: dict[int, tuple[int, int, int]] = {}
-        for last, (size, found) in self.automaton.iter(text):
+        for last, (size, piece) in self.automaton.iter(text):
             at = last - size + 1
-            for number, leaf in found:
-                if (known := out.get(number)) and known[0] == 0:
+            placed: dict[str, tuple[int, int, int]] = {}
+            for number, (errors, before) in self.around(text, at, piece).items():
+                if (known := out.get(number)) and known[0] <= errors:
                     continue
-                errors = self.climb(text, at, leaf)
-                if errors is not None and (not known or errors < known[0]):
-                    out[number] = self.place(text, at, leaf, number, errors)
-                    if first_only:
-                        return out
+                item = self.items[number][1]
+                if item not in placed:
+                    placed[item] = self.place(text, at - before, item, errors)
+                out[number] = placed[item]
+                if first_only:
+                    return out
         return out
 
-    def place(self, text: str, at: int, leaf: Node, number: int, errors: int) -> tuple[int, int, int]:
-        item = self.items[number][1]
-        budget = len(item)  # the window climb() verified is within it
-        lo = max(0, at - leaf.start - errors)
-        window = text[lo : min(len(text), at + budget - leaf.start + errors)]
-        least, end = Pattern(item).best(window)
+    def place(self, text: str, at: int, item: str, errors: int) -> tuple[int, int, int]:
+        """Errors, start and end of the item's closest passage, which begins about ``at``."""
+        lo = max(0, at - errors)
+        window = text[lo : min(len(text), at + len(item) + errors)]
+        least, end = self.pattern(item).best(window)
         _, back = Pattern(item[::-1]).best(window[:end][::-1])
         return least, lo + end - back, lo + end
 

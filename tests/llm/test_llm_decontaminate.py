@@ -88,3 +88,35 @@ def test_a_hot_piece_stays_linear():
     matcher = d.Matcher(items, 10)
     assert not matcher.matches("the " * 20_000)
     assert matcher.matches("the " * 20_000 + items[0][1])[0][0] == 0
+
+
+def test_items_of_one_template_share_their_checks(monkeypatch):
+    """A node of equal text, and a window of equal text, is verified once for all items and hits."""
+    head = "the committee met again on the first monday of the month and "
+    items = [(k, f"{head}agreed upon the plan number {k:04d} for the harbour of the northern town") for k in range(400)]
+    checks = []
+    best = d.Pattern.best
+    monkeypatch.setattr(d.Pattern, "best", lambda self, window: checks.append(self.size) or best(self, window))
+    matcher = d.Matcher(items, 10)
+    words = ["grain", "copper", "timber", "salt"]
+    text = " ".join(f"{head}spoke of {words[k % 4]} only." for k in range(50))
+    assert not matcher.matches(text)
+    # Whole items are checked once for each of the few windows that differ, not for 400 items x 50 passages x pieces.
+    assert len(checks) < 400 * 10
+    monkeypatch.setattr(d, "REMEMBERED", 0)  # nothing is kept: the same result
+    assert not d.Matcher(items[:20], 10).matches(text)
+    found = matcher.matches(f"{text} {items[7][1]}")
+    assert found[7][0] == 0
+    assert all((number in found) == (distance_inside(matcher.items[number][1], items[7][1]) <= 13) for number in (0, 7, 8, 123, 399))
+
+
+def test_equal_items_are_found_alike_in_any_company():
+    rnd = random.Random(8)
+    base = "a quiet river runs below the old mill and nobody in the village remembers its name "
+    items = [(k, edited(base, k % 5, rnd)) for k in range(12)] + [(99, base), (100, base)]
+    text = "x " * 30 + " ".join(edited(base, k % 7, rnd) for k in range(9)) + " y" * 20
+    together = d.Matcher(items, 10).matches(text)
+    for number, item in enumerate(items):
+        alone = d.Matcher([item], 10).matches(text)
+        assert alone.get(0) == together.get(number)
+    assert together[12] == together[13]
