@@ -39,13 +39,16 @@ WHAT_IF_MIN_ROWS = 5
 WHAT_IF_KG_PER_LOAD = 3000.0
 WHAT_IF_FLOOR_KG = 500.0
 
-# Aircraft-type multipliers (default 1 for anything else).
+# Aircraft-type multipliers (default 1 for anything else).
 TYPE_FACTORS = {"NG": 1.0, "Max": 2.0, "Airbus": 1.5}
 
+# Decimals of the exact totals of money, CO2 and fuel.
+FIXED_PLACES = 4
+
 # Driver data: part types that stand for the named aircraft families.
 TYPE_NAMES = {"ECONOMY": "NG", "LARGE": "Max", "MEDIUM": "Airbus"}
 
-# Season by departure month.
+# Fixed values (labels and edges appear in the results): season by departure month.
 SEASONS = {
     "Winter": (12, 1, 2),
     "Spring": (3, 4, 5),
@@ -54,7 +57,7 @@ SEASONS = {
 }
 SEASON_ORDER = ["Winter", "Spring", "Summer", "Fall"]
 
-# Departure hour bands (inclusive hour ranges); everything else is night.
+# Departure hour bands (inclusive hour ranges); everything else is night.
 HOUR_BANDS = [
     ("Morning Peak", 5, 8),
     ("Late Morning", 9, 12),
@@ -64,11 +67,11 @@ HOUR_BANDS = [
 NIGHT_BAND = "Night / Early"
 UNKNOWN = "Unknown"
 
-# Load-factor bands: label for x < upper bound; last label for the rest.
+# Load-factor bands, label for x < upper bound; last label for the rest.
 LOAD_BANDS = [("<60%", 0.60), ("60-75%", 0.75), ("75-85%", 0.85), ("85-95%", 0.95)]
 LOAD_BAND_TOP = "95-100%"
 
-# Distance bands: label for x < upper bound; last label for the rest.
+# Distance bands, label for x < upper bound; last label for the rest.
 DISTANCE_BANDS = [
     ("Short (<800 km)", 800.0),
     ("Medium (800-1500 km)", 1500.0),
@@ -76,7 +79,7 @@ DISTANCE_BANDS = [
 ]
 DISTANCE_BAND_TOP = "Ultra-long (>2500 km)"
 
-# Dashboard fallback bands: right-closed edges (pd.cut style).
+# Dashboard fallback bands, right-closed edges (pd.cut style).
 FALLBACK_HOUR_EDGES = [-1, 8, 12, 16, 20, 24]
 FALLBACK_HOUR_LABELS = ["Morning Peak", "Late Morning", "Afternoon", "Evening Peak", "Night / Early"]
 FALLBACK_LOAD_EDGES = [-0.01, 0.6, 0.75, 0.85, 0.95, 1.0]
@@ -87,7 +90,7 @@ FALLBACK_DIST_LABELS = ["Short (<800 km)", "Medium (800-1500 km)", "Long (1500-2
 # Segment separator for composite names.
 SEGMENT_SEP = " | "
 
-# Segment definitions, in the order the reference evaluates them.
+# Fixed values (names appear in the results): segment definitions, in their order of evaluation.
 Z_SPECS = [
     ("Route × Aircraft", ["ScheduledRoute", "AircraftTypeGroup"]),
     ("Route", ["ScheduledRoute"]),
@@ -122,7 +125,8 @@ SCENARIOS = [
 ]
 PEER_SCENARIO = "Move to peer median"
 
-# Model features.
+# Fixed values (the model and its tables must have these columns): model features,
+# columns of the VIF and correlation tables, ridge penalties, split, folds and seed.
 TARGET = "Burnoff"
 NUMERIC_FEATURES = [
     "PlannedTripTime", "PlannedTOW", "PlannedZeroFuelWeight", "TeledyneRampWeight",

@@ -169,9 +169,9 @@ def _rate(cond: Column) -> Column:
     return F.avg(S.is_true(cond).cast("double"))
 
 
-def _sum0(c: str) -> Column:
-    """pandas ``sum`` (empty / all-missing -> 0)."""
-    return F.coalesce(F.sum(c), F.lit(0.0))
+def _total0(c: str) -> Column:
+    """pandas ``sum`` (empty / all-missing -> 0), exact."""
+    return F.coalesce(S.fixed_sum(c), F.lit(0.0))
 
 
 def group_mode(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
@@ -215,8 +215,8 @@ def route_opportunity(flights: DataFrame, airports: DataFrame | None = None,
         F.avg("PredictedBurn_kg").alias("MeanPredictedBurn"),
         F.avg("ExcessBurn_kg").alias("MeanExcessBurn"),
         _rate(F.col("ExcessBurn_kg") > 0).alias("PositiveExcessRate"),
-        _sum0("AvoidableCO2_kg").alias("TotalAvoidableCO2_kg"),
-        _sum0("AvoidableFuelCost_eur").alias("TotalAvoidableCost_eur"),
+        _total0("AvoidableCO2_kg").alias("TotalAvoidableCO2_kg"),
+        _total0("AvoidableFuelCost_eur").alias("TotalAvoidableCost_eur"),
         F.avg("AvoidableFuelCost_eur").alias("MeanAvoidableCost_eur"),
         F.avg("StructuralCO2_kg").alias("MeanStructuralCO2_kg"),
         F.avg("AvoidableCO2_kg").alias("MeanAvoidableCO2_kg"),
@@ -285,8 +285,8 @@ def segment_opportunity(flights: DataFrame, specs: list | None = None, econ: C.E
         _rate(F.col("IsAnomaly")).alias("AnomalyRate"),
         _rate(F.col("IsOverburnAnomaly")).alias("OverburnAnomalyRate"),
         F.avg("AvoidableFuelCost_eur").alias("MeanAvoidableCost_eur"),
-        _sum0("AvoidableFuelCost_eur").alias("TotalAvoidableCost_eur"),
-        _sum0("AvoidableCO2_kg").alias("TotalAvoidableCO2_kg"),
+        _total0("AvoidableFuelCost_eur").alias("TotalAvoidableCost_eur"),
+        _total0("AvoidableCO2_kg").alias("TotalAvoidableCO2_kg"),
         F.stddev_pop("Residual_kg").alias("ResidualStd"),
         F.avg("StructuralCO2_kg").alias("MeanStructuralCO2_kg"),
         F.avg("OpsPlanningGap_kg").alias("MeanOpsPlanningGap_kg"),

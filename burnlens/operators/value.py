@@ -131,6 +131,7 @@ def annualise(df: DataFrame, econ: C.Economics = C.Economics()) -> DataFrame:
     )
 
 
+# The exports have these columns in this order.
 FLIGHT_COLUMNS = [
     "ScheduledRoute", "Carrier", "AOCDescription", "AircraftTypeGroup",
     "Origin", "Destination", "Season", "DepartureYear", "DepartureMonth",
@@ -167,9 +168,9 @@ def anomaly_list(flights: DataFrame) -> DataFrame:
 def annual_totals(flights: DataFrame, econ: C.Economics = C.Economics()) -> DataFrame:
     """Annualised cost, CO2 and carry penalty (1 row)."""
     return flights.agg(
-        (F.sum("AvoidableFuelCost_eur") * F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("AnnualAvoidableCost_eur"),
-        (F.sum("AvoidableCO2_kg") * F.lit(float(econ.annual_flights)) / F.count(F.lit(1)) / 1000).alias("AnnualAvoidableCO2_t"),
-        (F.sum("CarryPenaltyCost_eur") * F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("AnnualCarryPenalty_eur"),
+        (S.fixed_sum("AvoidableFuelCost_eur") * F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("AnnualAvoidableCost_eur"),
+        (S.fixed_sum("AvoidableCO2_kg") * F.lit(float(econ.annual_flights)) / F.count(F.lit(1)) / 1000).alias("AnnualAvoidableCO2_t"),
+        (S.fixed_sum("CarryPenaltyCost_eur") * F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("AnnualCarryPenalty_eur"),
     )
 
 

@@ -26,8 +26,8 @@ def kpis(eng: DataFrame, target: str = C.TARGET) -> DataFrame:
 def avoidable_share(flights: DataFrame) -> DataFrame:
     """Sum avoidable CO2 / max(sum actual CO2, 1)."""
     return flights.agg(
-        F.coalesce(F.sum("AvoidableCO2_kg"), F.lit(0.0)).alias("TotalAvoidableCO2_kg"),
-        F.coalesce(F.sum("ActualCO2_kg"), F.lit(0.0)).alias("TotalActualCO2_kg"),
+        F.coalesce(S.fixed_sum("AvoidableCO2_kg"), F.lit(0.0)).alias("TotalAvoidableCO2_kg"),
+        F.coalesce(S.fixed_sum("ActualCO2_kg"), F.lit(0.0)).alias("TotalActualCO2_kg"),
     ).withColumn(
         "AvoidableShare",
         F.col("TotalAvoidableCO2_kg") / F.greatest(F.col("TotalActualCO2_kg"), F.lit(1.0)),
@@ -253,8 +253,8 @@ def fallback_route_opportunity(ff: DataFrame) -> DataFrame:
     g = ff.where(F.col("ScheduledRoute").isNotNull()).groupBy("ScheduledRoute").agg(
         F.count(F.lit(1)).alias("FlightCount"),
         F.avg("ExcessBurn_kg").alias("MeanExcessBurn"),
-        F.coalesce(F.sum("AvoidableFuelCost_eur"), F.lit(0.0)).alias("AnnualAvoidableCost_eur"),
-        (F.coalesce(F.sum("AvoidableCO2_kg"), F.lit(0.0)) / 1000).alias("AnnualAvoidableCO2_t"),
+        F.coalesce(S.fixed_sum("AvoidableFuelCost_eur"), F.lit(0.0)).alias("AnnualAvoidableCost_eur"),
+        (F.coalesce(S.fixed_sum("AvoidableCO2_kg"), F.lit(0.0)) / 1000).alias("AnnualAvoidableCO2_t"),
         F.avg(F.col("IsAnomaly").cast("double")).alias("AnomalyRate"),
         F.avg("RouteDistanceKm").alias("MeanDistanceKm"),
         F.avg("LoadFactor").alias("MeanLoadFactor"),
@@ -267,8 +267,8 @@ def fallback_segment_opportunity(ff: DataFrame) -> DataFrame:
     g = ff.where(F.col("AircraftTypeGroup").isNotNull()).groupBy(F.col("AircraftTypeGroup").alias("SegmentName")).agg(
         F.count(F.lit(1)).alias("FlightCount"),
         F.avg("ExcessBurn_kg").alias("MeanExcessBurn"),
-        F.coalesce(F.sum("AvoidableFuelCost_eur"), F.lit(0.0)).alias("AnnualAvoidableCost_eur"),
-        (F.coalesce(F.sum("AvoidableCO2_kg"), F.lit(0.0)) / 1000).alias("AnnualAvoidableCO2_t"),
+        F.coalesce(S.fixed_sum("AvoidableFuelCost_eur"), F.lit(0.0)).alias("AnnualAvoidableCost_eur"),
+        (F.coalesce(S.fixed_sum("AvoidableCO2_kg"), F.lit(0.0)) / 1000).alias("AnnualAvoidableCO2_t"),
         F.avg(F.col("IsAnomaly").cast("double")).alias("AnomalyRate"),
     )
     return g.withColumns(

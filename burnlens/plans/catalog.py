@@ -3,8 +3,10 @@
 Each Spark callable takes ``(spark, sf_dir)`` and returns a DataFrame built
 from the driver tables (through the written stage tables of
 ``plans.stages``). Each oracle is ``BASE`` (the same stages in SQL) plus a
-body. DOUBLE outputs are rounded to 9 significant digits on both sides
-(``sig_round`` / ``sr``) so that summation order cannot flip a hash.
+body. Row values, counts' shares and totals of money, CO2 and fuel (``S.fixed_sum``)
+don't depend on the order of the rows and are returned in full. Means, deviations
+and what is computed from them or by trigonometry do: columns marked ``:d`` are
+rounded to 9 significant digits on both sides (``sig_round`` / ``sr``).
 """
 
 from __future__ import annotations
@@ -13,32 +15,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import scalar as S
 from ..operators import features, predict, residuals, segments, stats, value, views
 from . import stages
-from .oracle_base import BASE, sr, wrap
+from .oracle_base import BASE, fsum, sr, wrap
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def finalize(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE column to 9 significant digits."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            cols.append(S.sig_round(F.col(f"`{f.name}`")).alias(f.name))
-        else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
+def finalize(df: DataFrame, rounded: set[str]) -> DataFrame:
+    """Round the ``rounded`` columns to 9 significant digits."""
+    return df.select(*[S.sig_round(F.col(f"`{c}`")).alias(c) if c in rounded else F.col(f"`{c}`") for c in df.columns])
 
 
 def query(name: str, sql_body: str | None = None, cols: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: finalize(fn(spark, sf_dir))
+        rounded = {c.strip()[:-2] for c in (cols or "").split(",") if c.strip().endswith(":d")}
+        QUERIES[name] = lambda spark, sf_dir: finalize(fn(spark, sf_dir), rounded)
         QUERIES[name].__doc__ = fn.__doc__
         if sql_body is not None:
             ORACLES[name] = BASE + wrap(sql_body, cols)
@@ -90,7 +86,7 @@ def feat_route_distance(spark, sf):
 @query(
     "feat_load",
     "SELECT OrderKey, TotalPassengers, AircraftCapacity, LoadFactor, Freight, FreightPerKg, WeightDelta, BaselineDelta FROM eng",
-    "OrderKey, TotalPassengers, AircraftCapacity, LoadFactor:d, Freight:d, FreightPerKg:d, WeightDelta:d, BaselineDelta:d",
+    "OrderKey, TotalPassengers, AircraftCapacity, LoadFactor, Freight, FreightPerKg, WeightDelta, BaselineDelta",
 )
 def feat_load(spark, sf):
     """Passengers, clipped load factor, freight fill, weight deltas."""
@@ -102,7 +98,7 @@ def feat_load(spark, sf):
 @query(
     "feat_type_factor",
     "SELECT OrderKey, AircraftTypeGroup, TypeWeightInteraction, TypeTripTimeInteraction FROM eng",
-    "OrderKey, AircraftTypeGroup, TypeWeightInteraction:d, TypeTripTimeInteraction:d",
+    "OrderKey, AircraftTypeGroup, TypeWeightInteraction, TypeTripTimeInteraction",
 )
 def feat_type_factor(spark, sf):
     """Type multiplier times TOW and trip time."""
@@ -112,7 +108,7 @@ def feat_type_factor(spark, sf):
 @query(
     "feat_burn_rate",
     "SELECT OrderKey, Burnoff, PlannedTripTime, BurnoffPerMinute FROM eng",
-    "OrderKey, Burnoff:d, PlannedTripTime:d, BurnoffPerMinute:d",
+    "OrderKey, Burnoff, PlannedTripTime, BurnoffPerMinute",
 )
 def feat_burn_rate(spark, sf):
     """Burn per planned minute."""
@@ -173,8 +169,8 @@ def dropna_features(spark, sf):
     LEFT JOIN airports d ON upper(string_split(g.ScheduledRoute, '-')[2]) = d.iata
     """,
     "ScheduledRoute, FlightCount, MeanBurnoff:d, MedianBurnoff:d, StdBurnoff:d, MeanTOW:d, MeanTripTime:d, "
-    "MeanLoadFactor:d, MeanDistanceKm:d, Origin, Destination, OrgLat:d, OrgLon:d, OrgCity, OrgCountry, "
-    "DstLat:d, DstLon:d, DstCity, DstCountry",
+    "MeanLoadFactor:d, MeanDistanceKm:d, Origin, Destination, OrgLat, OrgLon, OrgCity, OrgCountry, "
+    "DstLat, DstLon, DstCity, DstCountry",
 )
 def route_summary(spark, sf):
     """Route EDA table with both ends' location."""
@@ -200,7 +196,7 @@ def hash_split(spark, sf):
     "baseline_by_group",
     "SELECT m.AircraftTypeGroup, m.PredictedBurn_kg AS TrainMean, b.BaselinePred_kg AS OverallMean "
     "FROM gm_model m JOIN gm_base b ON m.AircraftTypeGroup = b.AircraftTypeGroup",
-    "AircraftTypeGroup, TrainMean:d, OverallMean:d",
+    "AircraftTypeGroup, TrainMean, OverallMean",
 )
 def baseline_by_group(spark, sf):
     """Mean target per aircraft type on the training split and overall."""
@@ -213,7 +209,7 @@ def baseline_by_group(spark, sf):
 @query(
     "residuals",
     "SELECT OrderKey, Burnoff, PredictedBurn_kg, Residual, AbsError, RelError, Excess AS ExcessBurn_kg, ExcessBurnPct FROM resid",
-    "OrderKey, Burnoff:d, PredictedBurn_kg:d, Residual:d, AbsError:d, RelError:d, ExcessBurn_kg:d, ExcessBurnPct:d",
+    "OrderKey, Burnoff, PredictedBurn_kg, Residual, AbsError, RelError, ExcessBurn_kg, ExcessBurnPct",
 )
 def residuals_q(spark, sf):
     """M20 over every row: residual, abs / relative error, excess, excess %."""
@@ -269,7 +265,7 @@ def baseline_vs_model(spark, sf):
     "within_tolerance",
     "SELECT avg(CASE WHEN abs(PredictedBurn_kg - Burnoff) / greatest(abs(Burnoff), 1.0) <= 0.05 THEN 1.0 ELSE 0.0 END) AS WithinTolShare, "
     "avg(PredictedBurn_kg - Burnoff) AS MeanBias, count(*) AS Rows FROM bench",
-    "WithinTolShare:d, MeanBias:d, Rows",
+    "WithinTolShare, MeanBias:d, Rows",
 )
 def within_tolerance(spark, sf):
     """Share within 5 % relative error (actual floored at 1), and mean bias."""
@@ -290,7 +286,7 @@ _ROUTE_ERR_SQL = """
 """
 _ROUTE_ERR_COLS = (
     "ScheduledRoute, FlightCount, MeanBurnoff:d, MeanPred:d, RMSE:d, MAPE:d, MeanAbsError:d, MeanTripTime:d, "
-    "MeanLoadFactor:d, MeanDistKm:d, Origin, Destination, OrgLat:d, OrgLon:d, OrgCity, DstLat:d, DstLon:d, DstCity"
+    "MeanLoadFactor:d, MeanDistKm:d, Origin, Destination, OrgLat, OrgLon, OrgCity, DstLat, DstLon, DstCity"
 )
 
 
@@ -376,7 +372,7 @@ def monthly_drift(spark, sf):
              arg_min(Month, Flights * 100000000 + CAST(replace(Month, '-', '') AS BIGINT)) AS TroughMonth, min(Flights) AS TroughFlights
       FROM v) p
     """,
-    "Month, Flights, PeakMonth, PeakFlights, TroughMonth, TroughFlights, PeakTroughRatio:d",
+    "Month, Flights, PeakMonth, PeakFlights, TroughMonth, TroughFlights, PeakTroughRatio",
 )
 def monthly_volume(spark, sf):
     """Flights per month; peak / trough month (earliest on ties, like idxmax) and ratio."""
@@ -439,9 +435,9 @@ def mean_ci(spark, sf):
     FROM resid
     """,
     "ScheduledRoute, Carrier, AOCDescription, AircraftTypeGroup, Origin, Destination, Season, DepartureYear, "
-    "DepartureMonth, DepartureHour, Burnoff:d, y_pred_primary:d, Baseline_pred:d, Residual:d, AbsError:d, RelError:d, "
-    "ExcessBurn_kg:d, ExcessBurnPct:d, RouteDistanceKm:d, LoadFactor:d, TotalPassengers, PlannedTripTime:d, "
-    "PlannedTOW:d, PlannedZeroFuelWeight:d, TeledyneRampWeight:d",
+    "DepartureMonth, DepartureHour, Burnoff, y_pred_primary, Baseline_pred, Residual, AbsError, RelError, "
+    "ExcessBurn_kg, ExcessBurnPct, RouteDistanceKm:d, LoadFactor, TotalPassengers, PlannedTripTime, "
+    "PlannedTOW, PlannedZeroFuelWeight, TeledyneRampWeight",
 )
 def residual_diagnostics(spark, sf):
     """The 25-column validation-diagnostics projection."""
@@ -458,8 +454,8 @@ def residual_diagnostics(spark, sf):
     SELECT OrderKey, ExcessBurnPct_pred, ExcessBurnPct_actual, StructuralCO2_kg, ActualCO2_kg, AvoidableCO2_kg,
            AvoidableFuelCost_eur, PlannedFuelProxy_kg, OpsPlanningGap_kg, CarryPenaltyCost_eur FROM f0
     """,
-    "OrderKey, ExcessBurnPct_pred:d, ExcessBurnPct_actual:d, StructuralCO2_kg:d, ActualCO2_kg:d, AvoidableCO2_kg:d, "
-    "AvoidableFuelCost_eur:d, PlannedFuelProxy_kg:d, OpsPlanningGap_kg:d, CarryPenaltyCost_eur:d",
+    "OrderKey, ExcessBurnPct_pred, ExcessBurnPct_actual, StructuralCO2_kg, ActualCO2_kg, AvoidableCO2_kg, "
+    "AvoidableFuelCost_eur, PlannedFuelProxy_kg, OpsPlanningGap_kg, CarryPenaltyCost_eur",
 )
 def emissions_cost(spark, sf):
     """CO2, avoidable fuel cost, planning gap and carry penalty."""
@@ -532,7 +528,7 @@ def cut_edges(spark, sf):
 @query(
     "segment_zscores",
     "SELECT OrderKey, Residual_kg, ResidualMean_segment, ResidualStd_segment, SegmentBasis, ResidualZ_global, ResidualZ_segment FROM f3",
-    "OrderKey, Residual_kg:d, ResidualMean_segment:d, ResidualStd_segment:d, SegmentBasis, ResidualZ_global:d, ResidualZ_segment:d",
+    "OrderKey, Residual_kg, ResidualMean_segment:d, ResidualStd_segment:d, SegmentBasis, ResidualZ_global:d, ResidualZ_segment:d",
 )
 def segment_zscores(spark, sf):
     """Hierarchical first-match segment z-scores."""
@@ -554,9 +550,9 @@ def anomaly_flags(spark, sf):
 
 
 _ANOM_COLS = (
-    "ScheduledRoute, AircraftTypeGroup, Carrier, Origin, Destination, Season, DepartureHourBand, LoadFactor:d, "
-    "RouteDistanceKm:d, ActualBurn_kg:d, PredictedBurn_kg:d, ExcessBurn_kg:d, Residual_kg:d, AnomalyType, "
-    "AnomalyScore:d, LikelyIssueClass, OpsPlanningGap_kg:d"
+    "ScheduledRoute, AircraftTypeGroup, Carrier, Origin, Destination, Season, DepartureHourBand, LoadFactor, "
+    "RouteDistanceKm:d, ActualBurn_kg, PredictedBurn_kg, ExcessBurn_kg, Residual_kg, AnomalyType, "
+    "AnomalyScore:d, LikelyIssueClass, OpsPlanningGap_kg"
 )
 
 
@@ -575,11 +571,8 @@ def anomalies(spark, sf):
     "SELECT * FROM flights",
     ", ".join(
         c + (":d" if c in {
-            "ActualBurn_kg", "PredictedBurn_kg", "BaselinePred_kg", "Residual_kg", "AbsError_kg", "ExcessBurn_kg",
-            "ExcessBurnPct_pred", "ExcessBurnPct_actual", "ActualBurnPerKm", "PredictedBurnPerKm", "IntensityGapPerKm",
-            "BurnPerPaxKm_actual", "BurnPerPaxKm_pred", "ActualCO2_kg", "StructuralCO2_kg", "AvoidableCO2_kg",
-            "AvoidableFuelCost_eur", "CarryPenaltyCost_eur", "PlannedFuelProxy_kg", "OpsPlanningGap_kg",
-            "ResidualZ_global", "ResidualZ_segment", "AnnualisedAvoidableCO2_t", "AnnualisedAvoidableCost_eur",
+            "ActualBurnPerKm", "PredictedBurnPerKm", "IntensityGapPerKm", "BurnPerPaxKm_actual", "BurnPerPaxKm_pred",
+            "ResidualZ_global", "ResidualZ_segment",
         } else "")
         for c in value.FLIGHT_COLUMNS
     ),
@@ -591,10 +584,10 @@ def flight_analytics(spark, sf):
 
 @query(
     "annualised_totals",
-    "SELECT sum(AvoidableFuelCost_eur) * CAST(550000.0 AS DOUBLE) / count(*) AS AnnualAvoidableCost_eur, "
-    "sum(AvoidableCO2_kg) * CAST(550000.0 AS DOUBLE) / count(*) / 1000 AS AnnualAvoidableCO2_t, "
-    "sum(CarryPenaltyCost_eur) * CAST(550000.0 AS DOUBLE) / count(*) AS AnnualCarryPenalty_eur FROM flights",
-    "AnnualAvoidableCost_eur:d, AnnualAvoidableCO2_t:d, AnnualCarryPenalty_eur:d",
+    f"SELECT {fsum('AvoidableFuelCost_eur')} * CAST(550000.0 AS DOUBLE) / count(*) AS AnnualAvoidableCost_eur, "
+    f"{fsum('AvoidableCO2_kg')} * CAST(550000.0 AS DOUBLE) / count(*) / 1000 AS AnnualAvoidableCO2_t, "
+    f"{fsum('CarryPenaltyCost_eur')} * CAST(550000.0 AS DOUBLE) / count(*) AS AnnualCarryPenalty_eur FROM flights",
+    "AnnualAvoidableCost_eur, AnnualAvoidableCO2_t, AnnualCarryPenalty_eur",
 )
 def annualised_totals(spark, sf):
     """Annualised avoidable cost, CO2 and carry penalty."""
@@ -606,7 +599,7 @@ def annualised_totals(spark, sf):
     "SELECT count(*) FILTER (WHERE IsAnomaly) AS AnomalyCount, avg(CAST(IsAnomaly AS DOUBLE)) AS AnomalyShare, "
     "count(*) FILTER (WHERE IsOverburnAnomaly) AS OverburnCount, count(*) FILTER (WHERE IsUnderburnAnomaly) AS UnderburnCount, "
     "count(*) FILTER (WHERE PossibleDataIssue) AS DataIssueCount, count(*) AS Flights FROM flights",
-    "AnomalyCount, AnomalyShare:d, OverburnCount, UnderburnCount, DataIssueCount, Flights",
+    "AnomalyCount, AnomalyShare, OverburnCount, UnderburnCount, DataIssueCount, Flights",
 )
 def anomaly_kpis(spark, sf):
     """Anomaly headline counts and share."""
@@ -640,7 +633,7 @@ WITH ra AS (
          avg(ExcessBurn_kg) AS MeanExcessBurn, quantile_cont(ExcessBurn_kg, 0.5) AS MedianExcessBurn,
          quantile_cont(ExcessBurn_kg, 0.9) AS P90ExcessBurn,
          avg(CASE WHEN coalesce(ExcessBurn_kg > 0, false) THEN 1.0 ELSE 0.0 END) AS PositiveExcessRate,
-         coalesce(sum(AvoidableCO2_kg), 0.0) AS TotalAvoidableCO2_kg, coalesce(sum(AvoidableFuelCost_eur), 0.0) AS TotalAvoidableCost_eur,
+         coalesce({fsum("AvoidableCO2_kg")}, 0.0) AS TotalAvoidableCO2_kg, coalesce({fsum("AvoidableFuelCost_eur")}, 0.0) AS TotalAvoidableCost_eur,
          avg(AvoidableFuelCost_eur) AS MeanAvoidableCost_eur, avg(StructuralCO2_kg) AS MeanStructuralCO2_kg,
          avg(AvoidableCO2_kg) AS MeanAvoidableCO2_kg,
          avg(CASE WHEN coalesce(IsAnomaly, false) THEN 1.0 ELSE 0.0 END) AS AnomalyRate,
@@ -680,11 +673,11 @@ FROM rs LEFT JOIN geo ON rs.ScheduledRoute = geo.ScheduledRoute
 """
 _ROUTE_OPP_COLS = (
     "ScheduledRoute, FlightCount, MeanActualBurn:d, MeanPredictedBurn:d, MeanExcessBurn:d, MedianExcessBurn:d, "
-    "P90ExcessBurn:d, PositiveExcessRate:d, TotalAvoidableCO2_kg:d, TotalAvoidableCost_eur:d, MeanAvoidableCost_eur:d, "
-    "MeanStructuralCO2_kg:d, MeanAvoidableCO2_kg:d, AnomalyRate:d, OverburnAnomalyRate:d, ResidualStd:d, RouteRMSE:d, "
-    "MeanOpsPlanningGap_kg:d, MeanLoadFactor:d, MeanDistanceKm:d, AircraftTypeMode, AnnualAvoidableCO2_t:d, "
-    "AnnualAvoidableCost_eur:d, StructuralVsAvoidableRatio:d, ConfidenceScore:d, OpportunityScore:d, VolumePriority:d, "
-    "PersistentOverburnFlag, Origin, Destination, OrgLat:d, OrgLon:d, DstLat:d, DstLon:d, OrgCity, DstCity"
+    "P90ExcessBurn:d, PositiveExcessRate, TotalAvoidableCO2_kg, TotalAvoidableCost_eur, MeanAvoidableCost_eur:d, "
+    "MeanStructuralCO2_kg:d, MeanAvoidableCO2_kg:d, AnomalyRate, OverburnAnomalyRate, ResidualStd:d, RouteRMSE:d, "
+    "MeanOpsPlanningGap_kg:d, MeanLoadFactor:d, MeanDistanceKm:d, AircraftTypeMode, AnnualAvoidableCO2_t, "
+    "AnnualAvoidableCost_eur, StructuralVsAvoidableRatio:d, ConfidenceScore, OpportunityScore:d, VolumePriority:d, "
+    "PersistentOverburnFlag, Origin, Destination, OrgLat, OrgLon, DstLat, DstLon, OrgCity, DstCity"
 )
 
 
@@ -703,7 +696,7 @@ def route_opportunity(spark, sf):
     f"SELECT ScheduledRoute, FlightCount, MeanDistanceKm, MeanLoadFactor, MeanStructuralCO2_kg, MeanAvoidableCO2_kg, "
     f"AnnualAvoidableCO2_t, StructuralVsAvoidableRatio, OpportunityScore FROM ({_ROUTE_OPP_SQL})",
     "ScheduledRoute, FlightCount, MeanDistanceKm:d, MeanLoadFactor:d, MeanStructuralCO2_kg:d, MeanAvoidableCO2_kg:d, "
-    "AnnualAvoidableCO2_t:d, StructuralVsAvoidableRatio:d, OpportunityScore:d",
+    "AnnualAvoidableCO2_t, StructuralVsAvoidableRatio:d, OpportunityScore:d",
 )
 def co2_hotspots(spark, sf):
     """The sustainability projection of the route table."""
@@ -733,8 +726,8 @@ _SEG_MEASURES = (
     "avg(CASE WHEN coalesce(ExcessBurn_kg > 0, false) THEN 1.0 ELSE 0.0 END) AS PositiveExcessRate, "
     "avg(CASE WHEN coalesce(IsAnomaly, false) THEN 1.0 ELSE 0.0 END) AS AnomalyRate, "
     "avg(CASE WHEN coalesce(IsOverburnAnomaly, false) THEN 1.0 ELSE 0.0 END) AS OverburnAnomalyRate, "
-    "avg(AvoidableFuelCost_eur) AS MeanAvoidableCost_eur, coalesce(sum(AvoidableFuelCost_eur), 0.0) AS TotalAvoidableCost_eur, "
-    "coalesce(sum(AvoidableCO2_kg), 0.0) AS TotalAvoidableCO2_kg, stddev_pop(Residual_kg) AS ResidualStd, "
+    f"avg(AvoidableFuelCost_eur) AS MeanAvoidableCost_eur, coalesce({fsum('AvoidableFuelCost_eur')}, 0.0) AS TotalAvoidableCost_eur, "
+    f"coalesce({fsum('AvoidableCO2_kg')}, 0.0) AS TotalAvoidableCO2_kg, stddev_pop(Residual_kg) AS ResidualStd, "
     "avg(StructuralCO2_kg) AS MeanStructuralCO2_kg, avg(OpsPlanningGap_kg) AS MeanOpsPlanningGap_kg, "
     "quantile_cont(ExcessBurn_kg, 0.5) AS MedianExcessBurn"
 )
@@ -756,9 +749,9 @@ FROM ss
 """
 _SEG_OPP_COLS = (
     "SegmentType, SegmentName, ScheduledRoute, AircraftTypeGroup, Carrier, Origin, Destination, Season, DepartureHourBand, "
-    "LoadFactorBand, DistanceBand, FlightCount, MeanExcessBurn:d, PositiveExcessRate:d, AnomalyRate:d, OverburnAnomalyRate:d, "
-    "MeanAvoidableCost_eur:d, TotalAvoidableCost_eur:d, TotalAvoidableCO2_kg:d, ResidualStd:d, MeanStructuralCO2_kg:d, "
-    "MeanOpsPlanningGap_kg:d, MedianExcessBurn:d, AnnualAvoidableCost_eur:d, AnnualAvoidableCO2_t:d, ConfidenceScore:d, "
+    "LoadFactorBand, DistanceBand, FlightCount, MeanExcessBurn:d, PositiveExcessRate, AnomalyRate, OverburnAnomalyRate, "
+    "MeanAvoidableCost_eur:d, TotalAvoidableCost_eur, TotalAvoidableCO2_kg, ResidualStd:d, MeanStructuralCO2_kg:d, "
+    "MeanOpsPlanningGap_kg:d, MedianExcessBurn:d, AnnualAvoidableCost_eur, AnnualAvoidableCO2_t, ConfidenceScore, "
     "OpportunityScore:d, PersistentOverburnFlag"
 )
 
@@ -790,7 +783,7 @@ FROM (
 """
 _MON_COLS = (
     "SegmentType, SegmentName, ScheduledRoute, AircraftTypeGroup, Origin, DepartureHourBand, Season, FlightCount, "
-    "AnomalyCount, OverburnCount, UnderburnCount, AnomalyRate:d, MeanExcessBurn:d, ResidualStd:d, MeanOpsPlanningGap_kg:d, "
+    "AnomalyCount, OverburnCount, UnderburnCount, AnomalyRate, MeanExcessBurn:d, ResidualStd:d, MeanOpsPlanningGap_kg:d, "
     "PersistenceFlag, LikelyIssueClass"
 )
 
@@ -812,7 +805,7 @@ def anomaly_monitor(spark, sf):
            count(*) AS Segments
     FROM ({_MON_SQL}) WHERE FlightCount >= 5 GROUP BY 1
     """,
-    "SegmentType, PersistentPct:d, MeanAnomalyRatePct:d, Segments",
+    "SegmentType, PersistentPct, MeanAnomalyRatePct:d, Segments",
 )
 def persistence_by_type(spark, sf):
     """Share of persistent segments and mean anomaly rate per segment type."""
@@ -839,7 +832,7 @@ _SCEN_SQL = f"""
 @query(
     "scenarios",
     _SCEN_SQL,
-    _SEG_OPP_COLS + ", CurrentAnnualValue_eur:d, Scenario, SavingsPotential_eur:d, SavingsPotential_CO2_t:d",
+    _SEG_OPP_COLS + ", CurrentAnnualValue_eur, Scenario, SavingsPotential_eur:d, SavingsPotential_CO2_t:d",
 )
 def scenarios(spark, sf):
     """Three intervention scenarios per qualifying segment."""
@@ -899,9 +892,9 @@ def kpis(spark, sf):
 
 @query(
     "avoidable_share",
-    "SELECT coalesce(sum(AvoidableCO2_kg), 0.0) AS TotalAvoidableCO2_kg, coalesce(sum(ActualCO2_kg), 0.0) AS TotalActualCO2_kg, "
-    "coalesce(sum(AvoidableCO2_kg), 0.0) / greatest(coalesce(sum(ActualCO2_kg), 0.0), 1.0) AS AvoidableShare FROM flights",
-    "TotalAvoidableCO2_kg:d, TotalActualCO2_kg:d, AvoidableShare:d",
+    f"SELECT coalesce({fsum('AvoidableCO2_kg')}, 0.0) AS TotalAvoidableCO2_kg, coalesce({fsum('ActualCO2_kg')}, 0.0) AS TotalActualCO2_kg, "
+    f"coalesce({fsum('AvoidableCO2_kg')}, 0.0) / greatest(coalesce({fsum('ActualCO2_kg')}, 0.0), 1.0) AS AvoidableShare FROM flights",
+    "TotalAvoidableCO2_kg, TotalActualCO2_kg, AvoidableShare",
 )
 def avoidable_share(spark, sf):
     """Avoidable share of actual CO2."""
@@ -937,7 +930,7 @@ def co2_by_load_band(spark, sf):
     f"SELECT avg(CASE WHEN coalesce(ActualBurn_kg >= 10000, false) THEN 1.0 ELSE 0.0 END) * 100 AS HeavyBurnPct, "
     f"avg(CASE WHEN coalesce(RouteDistanceKm >= 3000, false) THEN 1.0 ELSE 0.0 END) * 100 AS LongHaulPct, "
     f"avg(CASE WHEN coalesce(abs(ResidualZ_segment) >= {C.ANOMALY_Z}, false) THEN 1.0 ELSE 0.0 END) * 100 AS BeyondZPct FROM flights",
-    "HeavyBurnPct:d, LongHaulPct:d, BeyondZPct:d",
+    "HeavyBurnPct, LongHaulPct, BeyondZPct",
 )
 def threshold_shares(spark, sf):
     """Shares above fixed thresholds."""
@@ -951,7 +944,7 @@ _RE_OK = "FlightCount >= 5 AND OrgLat IS NOT NULL AND OrgLon IS NOT NULL AND Dst
     "airport_layer",
     f"SELECT Origin, OrgLat, OrgLon, OrgCity, avg(MeanBurnoff) AS MetricMean, sum(FlightCount) AS Flights, "
     f"pow(sum(FlightCount), 0.45) * 2 AS MarkerSize FROM ({_ROUTE_ERR_SQL}) WHERE {_RE_OK} GROUP BY 1, 2, 3, 4",
-    "Origin, OrgLat:d, OrgLon:d, OrgCity, MetricMean:d, Flights, MarkerSize:d",
+    "Origin, OrgLat, OrgLon, OrgCity, MetricMean:d, Flights, MarkerSize:d",
 )
 def airport_layer(spark, sf):
     """Origin-airport aggregate with marker size."""
@@ -962,7 +955,7 @@ def airport_layer(spark, sf):
     "route_arcs",
     f"SELECT ScheduledRoute, FlightCount, OrgLat, OrgLon, DstLat, DstLon, (OrgLat + DstLat) / 2 + 2 AS MidLat, "
     f"(OrgLon + DstLon) / 2 AS MidLon FROM ({_ROUTE_ERR_SQL}) WHERE {_RE_OK} ORDER BY FlightCount DESC, ScheduledRoute LIMIT 500",
-    "ScheduledRoute, FlightCount, OrgLat:d, OrgLon:d, DstLat:d, DstLon:d, MidLat:d, MidLon:d",
+    "ScheduledRoute, FlightCount, OrgLat, OrgLon, DstLat, DstLon, MidLat, MidLon",
 )
 def route_arcs(spark, sf):
     """Top-500 arcs with a lifted midpoint."""
@@ -1064,7 +1057,7 @@ def hour_heatmap(spark, sf):
            CASE WHEN _n >= {C.WHAT_IF_MIN_ROWS} THEN _n ELSE 0 END AS HistoricalFlights
     FROM h
     """,
-    "AircraftTypeGroup, ScheduledRoute, LoadFactorScenario:d, PredictedBurnoff_kg:d, CO2_kg:d, EstPassengers, "
+    "AircraftTypeGroup, ScheduledRoute, LoadFactorScenario, PredictedBurnoff_kg:d, CO2_kg:d, EstPassengers, "
     "CO2PerPax_kg:d, StdBurnoff_kg:d, DistanceKm:d, HistoricalFlights",
 )
 def what_if(spark, sf):

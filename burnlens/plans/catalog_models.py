@@ -183,7 +183,7 @@ def _scored_by_key(spark, sf):
 
 
 @query("submission", f"WITH {_SCORING_SQL} SELECT RowKey, round_even(greatest(prediction, 0.0) * 100, 0) / 100 AS Burnoff, prediction < 0 AS WasNegative, Model FROM sc",
-       "RowKey, Burnoff:d, WasNegative, Model")
+       "RowKey, Burnoff, WasNegative, Model")
 def submission(spark, sf):
     """C1/ML14/ML15/ML16/S12/S13: submission of the scoring rows, one for each key, by the registry's best usable model."""
     return models.submitted(_scored_by_key(spark, sf)[1], "RowKey")

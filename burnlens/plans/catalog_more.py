@@ -21,6 +21,7 @@ from .catalog import (
     _seg_opp,
     query,
 )
+from .oracle_base import fsum
 
 # ---------------------------------------------------------------------------
 # Distributions
@@ -249,7 +250,7 @@ def quantile_tails(spark, sf):
     "trim_p99",
     "SELECT OrderKey, ActualBurn_kg, ExcessBurn_kg, LoadFactor FROM flights "
     "WHERE ActualBurn_kg <= (SELECT quantile_cont(ActualBurn_kg, 0.99) FROM flights)",
-    "OrderKey, ActualBurn_kg:d, ExcessBurn_kg:d, LoadFactor:d",
+    "OrderKey, ActualBurn_kg, ExcessBurn_kg, LoadFactor",
 )
 def trim_p99(spark, sf):
     """P10: rows at or below the exact 99th percentile of burn."""
@@ -266,7 +267,7 @@ _SAMPLE_KEY = ["OrderKey", "Children", "Adults", "ScheduledRoute", "AircraftType
     "SELECT OrderKey, Children, Adults, ScheduledRoute, AircraftTypeGroup, Burnoff, PlannedTripTime FROM eng "
     "ORDER BY md5(concat_ws('|', CAST(OrderKey AS VARCHAR), CAST(Children AS VARCHAR), CAST(Adults AS VARCHAR), "
     "ScheduledRoute, AircraftTypeGroup, '42')), OrderKey, Children, Adults LIMIT 5000",
-    "OrderKey, Children, Adults, ScheduledRoute, AircraftTypeGroup, Burnoff:d, PlannedTripTime:d",
+    "OrderKey, Children, Adults, ScheduledRoute, AircraftTypeGroup, Burnoff, PlannedTripTime",
 )
 def det_sample(spark, sf):
     """A fixed, engine-independent sample of min(5000, rows): the
@@ -572,14 +573,14 @@ def fallback_flights(spark, sf):
 
 _FB_ROUTE_SQL = f"""
 SELECT ScheduledRoute, count(*) AS FlightCount, avg(ExcessBurn_kg) AS MeanExcessBurn,
-       coalesce(sum(AvoidableFuelCost_eur), 0.0) AS AnnualAvoidableCost_eur,
-       coalesce(sum(AvoidableCO2_kg), 0.0) / 1000 AS AnnualAvoidableCO2_t,
+       coalesce({fsum('AvoidableFuelCost_eur')}, 0.0) AS AnnualAvoidableCost_eur,
+       coalesce({fsum('AvoidableCO2_kg')}, 0.0) / 1000 AS AnnualAvoidableCO2_t,
        avg(CAST(IsAnomaly AS DOUBLE)) AS AnomalyRate, avg(RouteDistanceKm) AS MeanDistanceKm, avg(LoadFactor) AS MeanLoadFactor,
-       coalesce(sum(AvoidableFuelCost_eur), 0.0) * ln(1 + count(*)) AS OpportunityScore
+       coalesce({fsum('AvoidableFuelCost_eur')}, 0.0) * ln(1 + count(*)) AS OpportunityScore
 FROM ({_ff_sql()}) WHERE ScheduledRoute IS NOT NULL GROUP BY 1
 """
 _FB_ROUTE_COLS = (
-    "ScheduledRoute, FlightCount, MeanExcessBurn:d, AnnualAvoidableCost_eur:d, AnnualAvoidableCO2_t:d, AnomalyRate:d, "
+    "ScheduledRoute, FlightCount, MeanExcessBurn:d, AnnualAvoidableCost_eur, AnnualAvoidableCO2_t, AnomalyRate, "
     "MeanDistanceKm:d, MeanLoadFactor:d, OpportunityScore:d"
 )
 
@@ -594,12 +595,12 @@ def fallback_route_opportunity(spark, sf):
     "fallback_segment_opportunity",
     f"""
     SELECT AircraftTypeGroup AS SegmentName, count(*) AS FlightCount, avg(ExcessBurn_kg) AS MeanExcessBurn,
-           coalesce(sum(AvoidableFuelCost_eur), 0.0) AS AnnualAvoidableCost_eur, coalesce(sum(AvoidableCO2_kg), 0.0) / 1000 AS AnnualAvoidableCO2_t,
+           coalesce({fsum('AvoidableFuelCost_eur')}, 0.0) AS AnnualAvoidableCost_eur, coalesce({fsum('AvoidableCO2_kg')}, 0.0) / 1000 AS AnnualAvoidableCO2_t,
            avg(CAST(IsAnomaly AS DOUBLE)) AS AnomalyRate, 'Aircraft' AS SegmentType,
-           coalesce(sum(AvoidableFuelCost_eur), 0.0) * ln(1 + count(*)) AS OpportunityScore
+           coalesce({fsum('AvoidableFuelCost_eur')}, 0.0) * ln(1 + count(*)) AS OpportunityScore
     FROM ({_ff_sql()}) WHERE AircraftTypeGroup IS NOT NULL GROUP BY 1
     """,
-    "SegmentName, FlightCount, MeanExcessBurn:d, AnnualAvoidableCost_eur:d, AnnualAvoidableCO2_t:d, AnomalyRate:d, SegmentType, OpportunityScore:d",
+    "SegmentName, FlightCount, MeanExcessBurn:d, AnnualAvoidableCost_eur, AnnualAvoidableCO2_t, AnomalyRate, SegmentType, OpportunityScore:d",
 )
 def fallback_segment_opportunity(spark, sf):
     """Fallback segment table by aircraft type."""
@@ -614,7 +615,7 @@ def fallback_segment_opportunity(spark, sf):
                FROM ({_ff_sql()}) WHERE ScheduledRoute IS NOT NULL GROUP BY 1)
     SELECT g.*, 'Route' AS SegmentType, coalesce(AnomalyRate > (SELECT quantile_cont(AnomalyRate, 0.5) FROM g), false) AS PersistenceFlag FROM g
     """,
-    "SegmentName, FlightCount, AnomalyCount, AnomalyRate:d, MeanExcessBurn:d, SegmentType, PersistenceFlag",
+    "SegmentName, FlightCount, AnomalyCount, AnomalyRate, MeanExcessBurn:d, SegmentType, PersistenceFlag",
 )
 def fallback_anomaly_monitor(spark, sf):
     """Fallback monitor, persistent above the median route rate."""

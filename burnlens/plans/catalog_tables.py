@@ -34,7 +34,7 @@ def _top_sql(source: str, n: int, order: str, cols: str, where: str = "true") ->
     "opportunity_matrix",
     _top_sql(_ROUTE_OPP_SQL, 100, "round(OpportunityScore, 6) DESC, ScheduledRoute",
              "ScheduledRoute, FlightCount, MeanExcessBurn, AnnualAvoidableCost_eur, OpportunityScore", "FlightCount >= 5"),
-    "Rank, ScheduledRoute, FlightCount, MeanExcessBurn:d, AnnualAvoidableCost_eur:d, OpportunityScore:d",
+    "Rank, ScheduledRoute, FlightCount, MeanExcessBurn:d, AnnualAvoidableCost_eur, OpportunityScore:d",
 )
 def opportunity_matrix(spark, sf):
     """Opportunity matrix, top 100 routes with at least 5 flights."""
@@ -45,7 +45,7 @@ def opportunity_matrix(spark, sf):
     "top_segments",
     _top_sql(_SEG_OPP_SQL, 20, "round(AnnualAvoidableCost_eur, 6) DESC, SegmentType, SegmentName",
              "SegmentType, SegmentName, FlightCount, AnnualAvoidableCost_eur", "FlightCount >= 5"),
-    "Rank, SegmentType, SegmentName, FlightCount, AnnualAvoidableCost_eur:d",
+    "Rank, SegmentType, SegmentName, FlightCount, AnnualAvoidableCost_eur",
 )
 def top_segments(spark, sf):
     """Top 20 segments by annual avoidable cost."""
@@ -67,7 +67,7 @@ def top_scenarios(spark, sf):
     "emission_routes",
     _top_sql(_ROUTE_OPP_SQL, 15, "round(AnnualAvoidableCO2_t, 6) DESC, ScheduledRoute",
              "ScheduledRoute, FlightCount, AnnualAvoidableCO2_t, OpportunityScore"),
-    "Rank, ScheduledRoute, FlightCount, AnnualAvoidableCO2_t:d, OpportunityScore:d",
+    "Rank, ScheduledRoute, FlightCount, AnnualAvoidableCO2_t, OpportunityScore:d",
 )
 def emission_routes(spark, sf):
     """Top 15 routes by annual avoidable CO2."""
@@ -90,7 +90,7 @@ def emission_hotspots(spark, sf):
     _top_sql(_MON_SQL, 20, "round(AnomalyRate, 6) DESC, SegmentType, SegmentName",
              "SegmentType, SegmentName, FlightCount, AnomalyRate, LikelyIssueClass",
              "SegmentType IN ('Route', 'Route × Aircraft') AND FlightCount >= 5"),
-    "Rank, SegmentType, SegmentName, FlightCount, AnomalyRate:d, LikelyIssueClass",
+    "Rank, SegmentType, SegmentName, FlightCount, AnomalyRate, LikelyIssueClass",
 )
 def recurring_segments(spark, sf):
     """Top 20 recurring route segments by anomaly rate."""
@@ -101,7 +101,7 @@ def recurring_segments(spark, sf):
     "monitor_order",
     _top_sql(_MON_SQL, 100, "PersistenceFlag DESC, round(AnomalyRate, 6) DESC, FlightCount DESC, SegmentType, SegmentName",
              "SegmentType, SegmentName, PersistenceFlag, AnomalyRate, FlightCount"),
-    "Rank, SegmentType, SegmentName, PersistenceFlag, AnomalyRate:d, FlightCount",
+    "Rank, SegmentType, SegmentName, PersistenceFlag, AnomalyRate, FlightCount",
 )
 def monitor_order(spark, sf):
     """Presentation order of the anomaly monitor, first 100."""

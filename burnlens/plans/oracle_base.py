@@ -20,9 +20,16 @@ def sr(expr: str, digits: int = 9) -> str:
     )
 
 
+def fsum(expr: str) -> str:
+    """SQL twin of ``functions.scalar.fixed_sum``."""
+    unit = f"CAST({10 ** C.FIXED_PLACES} AS DOUBLE)"
+    return f"(CAST(sum(CAST(floor(({expr}) * {unit} + 0.5) AS BIGINT)) AS DOUBLE) / {unit})"
+
+
 def wrap(body: str, cols: str) -> str:
     """Outer projection: ``cols`` is a comma list; a ``:d`` suffix marks a
-    DOUBLE output that gets the significant-digit rounding."""
+    DOUBLE output that depends on the order of the rows and gets the
+    significant-digit rounding."""
     items = []
     for c in [x.strip() for x in cols.split(",") if x.strip()]:
         if c.endswith(":d"):

@@ -78,3 +78,19 @@ def test_segment_name_null_drops(spark):
     df = spark.createDataFrame([("R", "NG"), ("R", None)], "a string, b string")
     got = [r[0] for r in df.select(S.segment_name(["a", "b"])).collect()]
     assert got == ["R | NG", None]
+
+
+def test_fixed_sum_is_the_same_in_any_order_and_exact(spark):
+    from decimal import Decimal
+
+    vals = [1e11 + 0.1234, -1e11, 0.0001, 2.5e9 + 0.25, 7.00004, 7.00005, None, float("nan")] + [0.1] * 1000
+    want = sum((Decimal(str(v)) for v in vals[:4]), Decimal(0)) + Decimal("7.0000") + Decimal("7.0001") + 100
+    got = set()
+    for order, parts in ((vals, 1), (vals[::-1], 3), (sorted(vals[:6]) + vals[6:], 7)):
+        df = spark.createDataFrame([(v,) for v in order], "x double").repartition(parts)
+        got.add(df.agg(S.fixed_sum("x").alias("t")).first().t)
+    assert got == {float(want)}
+    none = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert none.agg(S.fixed_sum("x").alias("t")).first().t is None
+    many = spark.range(3).select(F.lit(8e14).alias("x"))
+    assert many.agg(S.fixed_sum("x").alias("t")).first().t == 2.4e15
