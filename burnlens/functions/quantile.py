@@ -16,8 +16,15 @@ comes from counts alone:
    over its *distinct values*.
 
 Windows see buckets or distinct values, never rows: a value that occurs in 90 %
-of the rows is one counted row. Nothing runs while the plan is built, nothing is
-cached, and the result equals ``percentile`` / ``quantile_cont``.
+of the rows is one counted row. Nothing is cached, and the result equals
+``percentile`` / ``quantile_cont``.
+
+Without groups the wanted ranks are a few rows and are broadcast. With groups
+their number is only known from the data: by default the last step is a shuffle
+join and nothing runs while the plan is built; with ``write`` the wanted ranks (two
+short rows per group and quantile) are written once after step 2, so that the
+counts are computed once and step 3 broadcasts them if they are small: the second
+pass over the rows is then a filter, without a shuffle of the rows.
 """
 
 from __future__ import annotations
@@ -25,6 +32,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sizing import BROADCAST_BYTES, scan_bytes
+from ..session import materialize
+
 #: Buckets per factor of two, and an offset that makes every exponent positive.
 BUCKETS, EXPONENTS = 4096, 1100
 BEYOND = 3000 * BUCKETS  # infinities
@@ -41,7 +51,7 @@ def bucket(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).when(v > 0, number).otherwise(-number).cast("long")
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, write: bool = False) -> DataFrame:
     """One row per group of ``by`` (one row overall when empty) with a column
     per entry of ``probs`` holding the exact linear-interpolated quantile.
 
@@ -76,6 +86,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list
     )
     known = F.when((F.col("_at") == 0) | (F.col("_low") == F.col("_high")), F.col("_low")).when(F.col("_at") == F.col("_n") - 1, F.col("_high"))
     hits = hits.select(*by, "_bucket", F.col("_w.slot").alias("_slot"), F.col("_w.part").alias("_part"), "_at", known.alias("_value"))
+    few = not by  # two rows per quantile
+    if write and not few:
+        hits = materialize(hits, "ranks")
+        few = scan_bytes(hits) <= BROADCAST_BYTES
 
     # Buckets that hold a rank somewhere inside: count their distinct values.
     keys = [*by, "_bucket"]
@@ -85,11 +99,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list
         part = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
         same = part if same is None else same & part
     open_hits = hits.where(F.col("_value").isNull())
-    inside = base.join(open_hits.select(*renamed).distinct(), same, "left_semi")
+    buckets = open_hits.select(*renamed).distinct()
+    wanted_at = open_hits.select(*renamed, "_slot", "_part", "_at")
+    if few:
+        buckets, wanted_at = F.broadcast(buckets), F.broadcast(wanted_at)
+    inside = base.join(buckets, same, "left_semi")
     values = inside.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     in_order = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     values = values.withColumn("_before", F.coalesce(F.sum("_n").over(in_order), F.lit(0)))
-    ranked = open_hits.select(*renamed, "_slot", "_part", "_at").join(values, same).where(
+    ranked = values.join(wanted_at, same).where(
         (F.col("_at") >= F.col("_before")) & (F.col("_at") < F.col("_before") + F.col("_n"))
     )
     found = hits.where(F.col("_value").isNotNull()).select(*by, "_slot", "_part", "_value").unionByName(

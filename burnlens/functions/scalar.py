@@ -151,14 +151,24 @@ def month_label(ts) -> Column:
     return F.date_format(col(ts), "yyyy-MM")
 
 
+def fixed_units(x) -> Column:
+    """``x`` rounded half up to whole units of 10^-FIXED_PLACES, DECIMAL(19, 0)
+    (values up to 9e14); NaN counts as missing."""
+    unit = F.lit(float(10**C.FIXED_PLACES))
+    units = F.floor(F.nanvl(col(x), F.lit(None).cast("double")) * unit + F.lit(0.5))
+    return units.cast("decimal(19,0)")
+
+
+def from_units(x: Column) -> Column:
+    """The DOUBLE that a number of units stands for."""
+    return x.cast("double") / F.lit(float(10**C.FIXED_PLACES))
+
+
 def fixed_sum(x) -> Column:
     """Total of ``x`` in units of 10^-FIXED_PLACES, added up as DECIMAL(29, 0): the
     same for any order of the rows, partitioning and engine, where a sum of DOUBLE
-    loses its last digits. Every value is rounded half up to a unit first (values up
-    to 9e14); NULL and NaN add nothing, no value at all gives NULL."""
-    unit = F.lit(float(10**C.FIXED_PLACES))
-    units = F.floor(F.nanvl(col(x), F.lit(None).cast("double")) * unit + F.lit(0.5))
-    return F.sum(units.cast("decimal(19,0)")).cast("double") / unit
+    loses its last digits. NULL and NaN add nothing, no value at all gives NULL."""
+    return from_units(F.sum(fixed_units(x)))
 
 
 def sig_round(x, digits: int = 9) -> Column:

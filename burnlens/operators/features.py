@@ -95,7 +95,7 @@ def route_summary(eng: DataFrame, airports: DataFrame, target: str = C.TARGET) -
         F.avg("LoadFactor").alias("MeanLoadFactor"),
         F.avg("RouteDistanceKm").alias("MeanDistanceKm"),
     )
-    med = exact_quantiles(eng.where(F.col("ScheduledRoute").isNotNull()), target, {"MedianBurnoff": 0.5}, by=["ScheduledRoute"])
+    med = exact_quantiles(eng.where(F.col("ScheduledRoute").isNotNull()), target, {"MedianBurnoff": 0.5}, by=["ScheduledRoute"], write=True)
     agg = agg.join(med, "ScheduledRoute", "left")
     agg = agg.withColumns(
         {"Origin": S.route_part("ScheduledRoute", 0), "Destination": S.route_part("ScheduledRoute", 1)}

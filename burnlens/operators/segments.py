@@ -13,7 +13,7 @@ dropped, as pandas ``groupby`` does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -174,17 +174,17 @@ def _total0(c: str) -> Column:
     return F.coalesce(S.fixed_sum(c), F.lit(0.0))
 
 
-def group_mode(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """Most frequent non-NULL ``value`` per group, smallest on ties.
+def mode_of_counts(value: str, count: str) -> Column:
+    """Aggregate over one row per distinct value and its count: the most frequent
+    non-NULL value, the smallest on ties. Merged across tasks, without a window."""
+    return F.min(F.when(F.col(value).isNotNull(), F.struct((-F.col(count)).alias("c"), F.col(value).alias("v"))))["v"]
 
-    Counts per (group, value) with partial aggregation first; the window then
-    only ranks the distinct values of a group, never its rows.
-    """
+
+def group_mode(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Most frequent non-NULL ``value`` per group, smallest on ties, from counts
+    per (group, value)."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by).orderBy(F.desc("_c"), F.asc(value))
-    return counts.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1).select(
-        *by, F.col(value).alias(name)
-    )
+    return counts.groupBy(*by).agg(mode_of_counts(value, "_c").alias(name))
 
 
 # --------------------------------------------------------------------------
@@ -205,34 +205,49 @@ def route_geography(df: DataFrame, airports: DataFrame, route: str = "ScheduledR
     )
 
 
+ROUTE_MEANS = {
+    "ActualBurn_kg": "MeanActualBurn", "PredictedBurn_kg": "MeanPredictedBurn", "ExcessBurn_kg": "MeanExcessBurn",
+    "AvoidableFuelCost_eur": "MeanAvoidableCost_eur", "StructuralCO2_kg": "MeanStructuralCO2_kg",
+    "AvoidableCO2_kg": "MeanAvoidableCO2_kg", "OpsPlanningGap_kg": "MeanOpsPlanningGap_kg",
+    "LoadFactor": "MeanLoadFactor", "RouteDistanceKm": "MeanDistanceKm",
+}
+ROUTE_RATES = {"PositiveExcessRate": "ExcessBurn_kg > 0", "AnomalyRate": "IsAnomaly", "OverburnAnomalyRate": "IsOverburnAnomaly"}
+ROUTE_TOTALS = {"AvoidableCO2_kg": "TotalAvoidableCO2_kg", "AvoidableFuelCost_eur": "TotalAvoidableCost_eur"}
+
+
 def route_opportunity(flights: DataFrame, airports: DataFrame | None = None,
                       econ: C.Economics = C.Economics()) -> DataFrame:
     """Per-route rollup, annualised, scored and flagged."""
     f = flights.where(F.col("ScheduledRoute").isNotNull())
-    agg = f.groupBy("ScheduledRoute").agg(
-        F.count(F.lit(1)).alias("FlightCount"),
-        F.avg("ActualBurn_kg").alias("MeanActualBurn"),
-        F.avg("PredictedBurn_kg").alias("MeanPredictedBurn"),
-        F.avg("ExcessBurn_kg").alias("MeanExcessBurn"),
-        _rate(F.col("ExcessBurn_kg") > 0).alias("PositiveExcessRate"),
-        _total0("AvoidableCO2_kg").alias("TotalAvoidableCO2_kg"),
-        _total0("AvoidableFuelCost_eur").alias("TotalAvoidableCost_eur"),
-        F.avg("AvoidableFuelCost_eur").alias("MeanAvoidableCost_eur"),
-        F.avg("StructuralCO2_kg").alias("MeanStructuralCO2_kg"),
-        F.avg("AvoidableCO2_kg").alias("MeanAvoidableCO2_kg"),
-        _rate(F.col("IsAnomaly")).alias("AnomalyRate"),
-        _rate(F.col("IsOverburnAnomaly")).alias("OverburnAnomalyRate"),
-        F.stddev_pop("Residual_kg").alias("ResidualStd"),
-        F.sqrt(F.avg(F.col("ExcessBurn_kg") * F.col("ExcessBurn_kg"))).alias("RouteRMSE"),
-        F.avg("OpsPlanningGap_kg").alias("MeanOpsPlanningGap_kg"),
-        F.avg("LoadFactor").alias("MeanLoadFactor"),
-        F.avg("RouteDistanceKm").alias("MeanDistanceKm"),
+    # One pass by (route, type): the mode and every total follow from its rows.
+    parts = f.groupBy("ScheduledRoute", "AircraftTypeGroup").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c).alias(f"_sum_{c}") for c in ROUTE_MEANS],
+        *[F.count(c).alias(f"_has_{c}") for c in ROUTE_MEANS],
+        *[F.count_if(F.expr(cond)).alias(f"_is_{name}") for name, cond in ROUTE_RATES.items()],
+        *[F.sum(S.fixed_units(c)).alias(f"_total_{c}") for c in ROUTE_TOTALS],
+        F.sum(F.col("ExcessBurn_kg") * F.col("ExcessBurn_kg")).alias("_squares"),
+        F.count("Residual_kg").alias("_r_n"), F.avg("Residual_kg").alias("_r_mean"), F.var_pop("Residual_kg").alias("_r_var"),
     )
-    q = exact_quantiles(f, "ExcessBurn_kg", {"MedianExcessBurn": 0.5, "P90ExcessBurn": 0.9}, by=["ScheduledRoute"])
-    mode = group_mode(f, ["ScheduledRoute"], "AircraftTypeGroup", "AircraftTypeMode")
-    out = agg.join(q, "ScheduledRoute", "left").join(mode, "ScheduledRoute", "left").withColumn(
-        "AircraftTypeMode", F.coalesce(F.col("AircraftTypeMode"), F.lit(C.UNKNOWN))
+
+    def mean(c: str) -> Column:
+        return F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_has_{c}"), F.lit(0))
+
+    # the spread of a route: within its types, and of their means around its own
+    around = F.sum(F.col("_r_n") * F.col("_r_mean")) / F.nullif(F.sum("_r_n"), F.lit(0))
+    between = F.sum(F.col("_r_n") * F.col("_r_mean") * F.col("_r_mean")) / F.nullif(F.sum("_r_n"), F.lit(0)) - around * around
+    within = F.sum(F.col("_r_n") * F.col("_r_var")) / F.nullif(F.sum("_r_n"), F.lit(0))
+    agg = parts.groupBy("ScheduledRoute").agg(
+        F.sum("_n").alias("FlightCount"),
+        *[mean(c).alias(name) for c, name in ROUTE_MEANS.items()],
+        *[(F.sum(f"_is_{name}") / F.sum("_n")).alias(name) for name in ROUTE_RATES],
+        *[F.coalesce(S.from_units(F.sum(f"_total_{c}")), F.lit(0.0)).alias(name) for c, name in ROUTE_TOTALS.items()],
+        F.sqrt(within + F.greatest(between, F.lit(0.0))).alias("ResidualStd"),
+        F.sqrt(F.sum("_squares") / F.nullif(F.sum("_has_ExcessBurn_kg"), F.lit(0))).alias("RouteRMSE"),
+        F.coalesce(mode_of_counts("AircraftTypeGroup", "_n"), F.lit(C.UNKNOWN)).alias("AircraftTypeMode"),
     )
+    q = exact_quantiles(f, "ExcessBurn_kg", {"MedianExcessBurn": 0.5, "P90ExcessBurn": 0.9}, by=["ScheduledRoute"], write=True)
+    out = agg.join(q, "ScheduledRoute", "left")
     out = with_scalars(out, flights.agg((F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("_scale")))
     out = out.withColumns(
         {
@@ -250,7 +265,8 @@ def route_opportunity(flights: DataFrame, airports: DataFrame | None = None,
         }
     )
     if airports is not None:
-        out = out.join(route_geography(f, airports), "ScheduledRoute", "left")
+        # the routes of the written rollup, not another pass over the flights
+        out = out.join(route_geography(out, airports), "ScheduledRoute", "left")
     return out
 
 
@@ -293,7 +309,7 @@ def segment_opportunity(flights: DataFrame, specs: list | None = None, econ: C.E
     )
     # narrow copy of the expansion for the quantile passes: no key columns
     narrow = segment_long(flights, specs, ["ExcessBurn_kg"], keep_keys=False)
-    med = exact_quantiles(narrow, "ExcessBurn_kg", {"MedianExcessBurn": 0.5}, by=gk)
+    med = exact_quantiles(narrow, "ExcessBurn_kg", {"MedianExcessBurn": 0.5}, by=gk, write=True)
     out = agg.join(med, gk, "left")
     out = with_scalars(out, flights.agg((F.lit(float(econ.annual_flights)) / F.count(F.lit(1))).alias("_scale")))
     out = out.withColumns(

@@ -7,7 +7,6 @@ only k x k matrices (k = number of features) ever reach the driver.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,62 +14,29 @@ from ..functions.quantile import exact_quantiles
 from .sizing import with_scalars
 
 
-def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per pair of columns, over the rows that have both: ``i, j, n`` and the
-    centred sums ``sxx, syy, sxy``. Every task adds up its batches in numpy and
-    emits one row per pair. The columns are shifted by their means first (one
-    aggregate, attached as a scalar), or large means would cancel the digits."""
-    k = len(cols)
-    # NaN counts as missing, as in pandas
-    df = df.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in cols])
-    df = with_scalars(df, df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols]))
-    df = df.select(*[(F.col(c) - F.col(f"_mean_{c}")).alias(c) for c in cols])
-    left, right = np.triu_indices(k, 1)
-
-    def run(batches):
-        total = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(k)])
-            has = ~np.isnan(x)
-            z, h = np.where(has, x, 0.0), has.astype(float)
-            part = np.stack([h.T @ h, z.T @ h, h.T @ z, (z * z).T @ h, h.T @ (z * z), z.T @ z])
-            total = part if total is None else total + part
-        if total is not None:
-            n, sx, sy, sxx, syy, sxy = (m[left, right] for m in total)
-            safe = np.maximum(n, 1)
-            columns = [
-                left, right, n.astype(np.int64), sx / safe, sy / safe,
-                sxx - sx * sx / safe, syy - sy * sy / safe, sxy - sx * sy / safe,
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "j", "n", "mx", "my", "sxx", "syy", "sxy"])
-
-    parts = df.mapInArrow(run, "i long, j long, n long, mx double, my double, sxx double, syy double, sxy double").where("n > 0")
-    n = F.col("n").cast("double")
-    sums = parts.groupBy("i", "j").agg(
-        F.sum("n").alias("n"),
-        *[F.sum(n * F.col(m)).alias(f"n{m}") for m in ("mx", "my")],
-        *[F.sum(F.col(s) + n * F.col(a) * F.col(b)).alias(s) for s, a, b in (("sxx", "mx", "mx"), ("syy", "my", "my"), ("sxy", "mx", "my"))],
-    )
-    centred = {s: F.col(s) - F.col(f"n{a}") * F.col(f"n{b}") / F.col("n") for s, a, b in (("sxx", "mx", "mx"), ("syy", "my", "my"), ("sxy", "mx", "my"))}
-    return sums.select("i", "j", "n", *[e.alias(s) for s, e in centred.items()])
-
-
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """L1: Pearson r for every ordered pair, pairwise-complete rows (NULLs and
-    NaN skipped per pair, like pandas); long (FeatureA, FeatureB, Corr). All
-    pairs share one pass (``pair_moments``)."""
-    moments = pair_moments(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
-    names = F.array(*[F.lit(c) for c in cols])
-    size = F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy"))
-    pairs = moments.select(
-        names[F.col("i").cast("int")].alias("_a"), names[F.col("j").cast("int")].alias("_b"),
-        F.when(size > 0, F.col("sxy") / size).otherwise(F.lit(float("nan"))).alias("Corr"),
-    )
-    both = pairs.select("Corr", F.explode(F.array(F.struct(F.col("_a").alias("a"), F.col("_b").alias("b")), F.struct(F.col("_b").alias("a"), F.col("_a").alias("b")))).alias("p"))
-    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "FeatureA string, FeatureB string, Corr double")
-    return diag.unionByName(both.select(F.col("p.a").alias("FeatureA"), F.col("p.b").alias("FeatureB"), "Corr"))
+    NaN skipped per pair, like pandas; NaN where a column doesn't vary or no row
+    has both); long (FeatureA, FeatureB, Corr).
+
+    A generator deals every row to its pairs inside the scan's stage, and the
+    built-in ``corr`` (centred co-moments, merged across tasks) adds them up: one
+    pass, and one row per pair and task is shuffled."""
+    # NaN counts as missing, as in pandas
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    rows = df.select(*[e.alias(f"_x{i}") for i, e in enumerate(x)])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    out = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "FeatureA string, FeatureB string, Corr double")
+    if not pairs:
+        return out
+    dealt = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(p).alias("_p"), F.col(f"_x{i}").alias("_a"), F.col(f"_x{j}").alias("_b")) for p, (i, j) in enumerate(pairs)
+    ])))
+    r = dealt.groupBy("_p").agg(F.corr("_a", "_b").alias("_r"))
+    named = df.sparkSession.createDataFrame(
+        [(p, cols[a], cols[b]) for p, (i, j) in enumerate(pairs) for a, b in ((i, j), (j, i))], "_p int, FeatureA string, FeatureB string")
+    both = named.join(F.broadcast(r), "_p", "left")  # a row per pair at most
+    return out.unionByName(both.select("FeatureA", "FeatureB", F.coalesce("_r", F.lit(float("nan"))).alias("Corr")))
 
 
 def strongest_pairs(corr: DataFrame, target: str) -> DataFrame:
@@ -199,7 +165,7 @@ def box_summary(df: DataFrame, x: str, by: str) -> DataFrame:
     """Quartiles, IQR, 1.5 IQR whiskers (clamped to data), outlier
     count, mean and n per group; exact quantiles without a per-group sort."""
     d = df.where(F.col(by).isNotNull())
-    q = exact_quantiles(d, x, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}, by=[by])
+    q = exact_quantiles(d, x, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}, by=[by], write=True)
     q = q.withColumn("IQR", F.col("Q3") - F.col("Q1")).withColumns(
         {"_lf": F.col("Q1") - 1.5 * F.col("IQR"), "_uf": F.col("Q3") + 1.5 * F.col("IQR")}
     )
