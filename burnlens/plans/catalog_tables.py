@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import ml, predict, residuals, segments, stats, tables
+from ..operators import absorbed, ml, predict, residuals, segments, stats, tables
 from .catalog import (
     _MON_SQL,
     _ROUTE_ERR_SQL,
@@ -308,6 +308,39 @@ def ridge_one_feature(spark, sf):
     return spark.createDataFrame([(float(p["alpha"]), float(r)) for p, r in fitted.search], "Alpha double, CV_RMSE double")
 
 
+@query(
+    "ridge_route_effects",
+    f"""
+    WITH t AS (SELECT ScheduledRoute AS l, CAST({_RIDGE_FEATURE} AS DOUBLE) AS x, Burnoff AS y FROM splitf WHERE NOT IsValidation AND {_RIDGE_ROWS}),
+    m AS (SELECT avg(x) AS mu, stddev_pop(x) AS sd, avg(y) AS yb FROM t),
+    z AS (SELECT l, (x - mu) / sd AS z, y - yb AS y FROM t, m),
+    lev AS (SELECT l, CAST(count(*) AS DOUBLE) AS n, sum(z) AS s, sum(y) AS t FROM z WHERE l IS NOT NULL GROUP BY l),
+    g AS (SELECT count(*) AS n, sum(z) AS s, sum(z * z) AS zz, sum(y) AS t, sum(z * y) AS zy FROM z),
+    r AS (SELECT sum(n * n / (n + 1)) AS n, sum(n * s / (n + 1)) AS s, sum(s * s / (n + 1)) AS zz, sum(n * t / (n + 1)) AS t, sum(s * t / (n + 1)) AS zy FROM lev),
+    a AS (SELECT g.n - r.n AS p, g.s - r.s AS q, g.zz - r.zz + 1 AS u, g.t - r.t AS b0, g.zy - r.zy AS b1 FROM g, r),
+    w AS (SELECT (p * b1 - q * b0) / (p * u - q * q) AS w, p, q, b0 FROM a),
+    f AS (SELECT w, (b0 - q * w) / p AS b FROM w)
+    SELECT l AS ScheduledRoute, (t - n * b - s * w) / (n + 1) AS Effect FROM lev, f
+    """,
+    "ScheduledRoute, Effect:d",
+)
+def ridge_route_effects(spark, sf):
+    """ML2/ML4: effect of every route beside one feature, the routes eliminated by group sums."""
+    return _absorbed(spark, sf, [_RIDGE_FEATURE], [1.0]).effects
+
+
+@query("ridge_route_search")
+def ridge_route_search(spark, sf):
+    """ML4/ML8: the ridge search over all numerics and the routes as levels."""
+    search = _absorbed(spark, sf, C.NUMERIC_FEATURES, C.RIDGE_ALPHAS).search
+    return spark.createDataFrame(search, "Alpha double, CV_RMSE double")
+
+
+def _absorbed(spark, sf, numeric, alphas):
+    data = ml.training_frame(_eng(spark, sf)).where(~F.col("IsValidation"))
+    return absorbed.absorbed_ridge_cv(data, numeric, "ScheduledRoute", alphas)
+
+
 @query(
     "distance_error",
     """
