@@ -7,9 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import features, ml, models, predict, residuals, rows, value
-from ..session import checkpoint_dir, materialize, remove_at_exit
-from ..sources import bind
+from ..operators import ml, models, predict, residuals, rows, value
+from ..session import checkpoint_dir, remove_at_exit
 from . import stages
 from .catalog import _eng, _vs_sql, query
 
@@ -173,9 +172,7 @@ def _registry(spark, sf) -> models.Registry:
 def _scored_by_key(spark, sf):
     """Every row of the validation orders, whatever its target: the scoring variant of
     the features, gaps filled from the rows themselves, and the first usable model."""
-    fact = bind.raw_fact(spark, sf).drop(C.TARGET)
-    every = features.engineer_features(fact, stages.airports(spark, sf), with_target=False)
-    every = materialize(predict.hash_split(every).where(F.col("IsValidation")), "scoring")
+    every = stages.scoring_rows(spark, sf)
     rows.require_unique(every, "RowKey")
     registry = _registry(spark, sf)
     filled = ml.impute_for_scoring(every, [], ["ScheduledRoute", "AircraftTypeGroup"])
@@ -203,7 +200,9 @@ def keyed_errors(spark, sf):
     every, scored = _scored_by_key(spark, sf)
     keyed = scored.select("RowKey", "prediction").join(every.select("RowKey", "AircraftTypeGroup"), "RowKey")
     e = F.col("prediction") - F.col(C.TARGET)
-    both = keyed.join(_eng(spark, sf).select("RowKey", C.TARGET), "RowKey")
+    # a key begins with its order: only rows of the validation orders can match
+    actual = predict.hash_split(_eng(spark, sf)).where(F.col("IsValidation"))
+    both = keyed.join(actual.select("RowKey", C.TARGET), "RowKey")
     return both.groupBy("AircraftTypeGroup").agg(F.count("*").alias("Flights"), F.sqrt(F.avg(e * e)).alias("RMSE"), F.avg(e).alias("MeanBias"))
 
 
