@@ -14,7 +14,7 @@ from burnlens.functions import quantile
 from burnlens.functions import scalar as S
 from burnlens.operators import predict
 from burnlens.plans import catalog, stages
-from burnlens.session import checkpoint_dir
+from burnlens.session import checkpoint_dir, materialize
 from burnlens.sources import bind, sinks
 from tests.conftest import SF_SMALL
 
@@ -117,3 +117,13 @@ def test_scoring_rows_keep_every_row_of_the_validation_orders(spark):
     assert C.TARGET not in rows.columns and rows.count() == raw.count()
     assert rows.select("RowKey", "ScheduledRoute").exceptAll(raw.select("RowKey", "ScheduledRoute")).isEmpty()
     assert all("RowKey" not in cols for cols in written(spark, "scoring").values())
+
+
+def test_written_tables_are_packed_tightly(spark, tmp_path):
+    df = spark.range(50_000).select((F.col("id") % 3).cast("int").alias("Year"), (F.xxhash64("id") % 100000 / 7).alias("x"))
+    store = sinks.StageStore(spark, str(tmp_path))
+    store.commit("s", {"parts": df, "whole": df}, {"parts": "Year"})
+    materialize(df, "packed")
+    files = glob.glob(f"{tmp_path}/parts/*/*/*.parquet") + glob.glob(f"{tmp_path}/whole/*/*.parquet") + glob.glob(f"{checkpoint_dir(spark)}/burnlens/packed-*/*.parquet")
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+    assert codecs == {"ZSTD"}
