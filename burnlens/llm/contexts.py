@@ -76,8 +76,8 @@ class Chunk:
         for k in range(0, len(events), size):
             at = events[k : k + size]
             x = value[self.index[:, at]]
-            x = np.where(bits(self.window[at]), x, -x)
-            x[x == -BALANCED] = BALANCED
+            np.negative(x, out=x, where=~bits(self.window[at]))
+            np.copyto(x, BALANCED, where=x == -BALANCED)
             yield at, x
 
     def log2(self, counts: np.ndarray, mixer: Mixer) -> np.ndarray:

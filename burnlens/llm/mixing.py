@@ -51,7 +51,6 @@ STEP_EVENTS, PULL, STEP_LIMIT = 1 << 13, 1.0, 0.25
 BYTES_AT_ONCE, EVENTS_AT_ONCE = 1 << 18, 1 << 15
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_SHIFT = np.arange(7, -1, -1, dtype=np.uint64)
 
 
 def streams(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -132,7 +131,7 @@ def rests(words: list[bytes], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def bits(window: np.ndarray) -> np.ndarray:
-    return ((window & np.uint64(0xFF))[:, None] >> _SHIFT & np.uint64(1)).astype(bool)
+    return np.unpackbits(window.astype(np.uint8)).view(bool).reshape(-1, 8)
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -201,8 +200,11 @@ class Learner:
         for at, share in ((cell, 1 - far.ravel()), (cell + 1, far.ravel())):
             self.mixer.hits += np.bincount(at, share * times, 8 * LEVELS).reshape(8, LEVELS)
             self.mixer.ones += np.bincount(at, share * ones, 8 * LEVELS).reshape(8, LEVELS)
-        order = np.argsort(gate.ravel(), kind="stable")
-        gates_here, first = np.unique(gate.ravel()[order], return_index=True)
+        flat = gate.ravel().astype(np.uint8)  # short numbers are sorted by counting
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.diff(flat, prepend=np.uint8(GATES)))
+        gates_here = flat[first]
         p = squash(mix.ravel()[order])
         x = inputs.reshape(ORDERS, -1)[:, order].astype(np.float64)
         error, curve = ones[order] - times[order] * p, times[order] * p * (1 - p)
@@ -238,14 +240,24 @@ NOTHING = stretch_hash(prefix_sums(np.zeros(0, np.uint8)), np.zeros(1, np.int64)
 
 
 def packed(a: np.ndarray) -> bytes:
-    """Compressed numbers, byte by byte of equal rank."""
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), -1).T.tobytes())
+    """Compressed numbers, byte by byte of equal rank; first the number of ranks beyond which
+    all bytes are 0."""
+    most = int(a.max()) if len(a) else 0
+    width = a.itemsize if len(a) and a.min() < 0 else max((most.bit_length() + 7) // 8, 1)
+    raw = a.view(np.uint8).reshape(len(a), a.itemsize)
+    ranks = np.empty((width, len(a)), np.uint8)
+    for k in range(width):
+        ranks[k] = raw[:, k]
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(ranks.tobytes())
 
 
 def unpacked(b: bytes, dtype: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(dtype).ravel()
+    ranks = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    out = np.zeros(ranks.shape[1], dtype)
+    raw = out.view(np.uint8).reshape(len(out), out.itemsize)
+    for k in range(b[0]):
+        raw[:, k] = ranks[k]
+    return out
 
 
 class Tally:
@@ -303,7 +315,8 @@ class Counter:
 
     def rows(self) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
         """``(kind, keys, numbers)``; forgets them."""
-        border = [w.tobytes() for w in np.concatenate(self.border)] if self.border else []
+        raw = np.concatenate(self.border).tobytes() if self.border else b""
+        border = [raw[k : k + 8] for k in range(0, len(raw), 8)]
         yield TOKEN, self.token, self.tokens.counts()
         yield BORDER, border, self.borders.counts()
         self.clear()
