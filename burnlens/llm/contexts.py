@@ -50,6 +50,17 @@ def entry_codes(window: np.ndarray, word: np.ndarray) -> np.ndarray:
     return out
 
 
+def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct numbers, a place of each (any, unlike ``np.unique``), and every number's rank."""
+    order = np.argsort(a)
+    held = a[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = held[1:] != held[:-1]
+    back = np.empty(len(a), np.int32)
+    back[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+    return held[fresh], order[fresh], back
+
+
 class Chunk:
     def __init__(self, kind: int, keys: list[bytes], number: np.ndarray) -> None:
         if kind == TOKEN:
@@ -58,10 +69,10 @@ class Chunk:
             window = np.frombuffer(b"".join(keys), np.uint64)
             word, self.of = np.repeat(NOTHING, len(keys)), np.arange(len(keys))
         self.size = len(keys)
-        _, at, self.back = np.unique(mixed(window * _A + word), return_index=True, return_inverse=True)
+        _, at, self.back = distinct(mixed(window * _A + word))
         self.window, self.word = window[at], word[at]
         self.weight = np.bincount(self.back, number[self.of], len(at))
-        self.codes, index = np.unique(entry_codes(self.window, self.word), return_inverse=True)
+        self.codes, _, index = distinct(entry_codes(self.window, self.word).ravel())
         self.index = index.reshape(ORDERS, -1)
 
     def numbers(self) -> np.ndarray:
@@ -92,10 +103,14 @@ class Chunk:
 def entry_inputs(counts: np.ndarray, others: bool) -> np.ndarray:
     """Inputs (entries x 8) for the entry's own bits, 0 where the context is unknown."""
     c = np.maximum(counts - 1, 0) if others else counts
-    value = np.log((c[1:] + PRIOR) / (c[:-1] - c[1:] + PRIOR)).astype(np.float32)
-    value[value == 0] = BALANCED
-    value[c[:-1] == 0] = 0
-    return np.ascontiguousarray(value.T)
+    out = np.zeros((8, counts.shape[1]), np.float32)
+    for k in range(8):
+        known = np.flatnonzero(c[k])
+        both, ones = c[k][known], c[k + 1][known]
+        value = np.log((ones + PRIOR) / (both - ones + PRIOR)).astype(np.float32)
+        value[value == 0] = BALANCED
+        out[k][known] = value
+    return np.ascontiguousarray(out.T)
 
 
 def branch_counts(codes: np.ndarray, number: np.ndarray) -> np.ndarray:

@@ -52,3 +52,20 @@ def test_inputs_take_the_sign_of_their_bit():
         want = np.where(mixing.bits(chunk.window[at]), plain, -plain)
         want[want == -contexts.BALANCED] = contexts.BALANCED
         assert np.array_equal(x, want)
+
+
+def test_distinct_numbers_have_a_place_and_a_rank():
+    for a in (np.zeros(0, np.uint64), np.random.default_rng(6).integers(0, 50, 400).astype(np.uint64)):
+        values, at, back = contexts.distinct(a)
+        assert np.array_equal(values, np.unique(a)) and np.array_equal(a[at], values) and np.array_equal(values[back], a)
+
+
+@pytest.mark.parametrize("others", [False, True])
+def test_inputs_of_unknown_contexts_are_0(others):
+    counts = np.array([[0, 1, 4, 9]] + [[0, 1, 4, 3]] * 8, np.int64)
+    c = np.maximum(counts - 1, 0) if others else counts
+    value = contexts.entry_inputs(counts, others)
+    for j in range(4):
+        for k in range(8):
+            plain = np.float32(np.log((c[k + 1, j] + contexts.PRIOR) / (c[k, j] - c[k + 1, j] + contexts.PRIOR))) if c[k, j] else np.float32(0)
+            assert value[j, k] == plain
