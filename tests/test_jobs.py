@@ -1,5 +1,6 @@
 """Stage sinks, row accounting, bootstrap intervals and violin densities."""
 
+import gzip
 import math
 
 import numpy as np
@@ -80,6 +81,31 @@ def test_rows_are_accounted_for(spark, tmp_path):
     assert accounting.read_counted(spark, str(tmp_path / "empty.csv"))[2]["read"] == 0
 
 
+def test_accounted_rows_are_compact(spark, tmp_path, monkeypatch):
+    """The text is compressed in files of bounded rows, the accounted table packed; every row is counted."""
+    written = []
+    monkeypatch.setattr(accounting, "remove_at_exit", lambda spark, path: written.append(path))
+    monkeypatch.setattr(accounting, "TEXT_FILE_ROWS", 700, raising=False)
+    k = F.col("id")
+    made = {
+        "FlightID": F.concat(F.lit('f,"'), k), "AircraftTypeGroup": F.when(k % 5 == 0, F.lit(None)).otherwise(F.lit("NG")), "DepartureScheduled": F.when(k % 10 == 1, F.lit("soon")).otherwise(F.lit("2024-01-02 03:04:05")),
+        "Adults": F.when(k % 10 == 2, F.lit("many")).otherwise(F.lit("3")), "PlannedTOW": 41000 + k / 7, "Burnoff": F.when(k % 10 == 3, F.lit(0.0)).otherwise(k + 0.1),
+    }
+    rows = spark.range(2000, numPartitions=2).select(*[made.get(f.name, F.lit(None)).cast("string").alias(f.name) for f in RAW_SCHEMA.fields])
+    fact = rows.unionAll(rows)  # every row comes twice
+    accounting.write_text(fact, str(tmp_path / "fact"))
+    parts = [p for p in (tmp_path / "fact").iterdir() if p.name.startswith("part-")]
+    assert len(parts) == 8 and all(len(gzip.decompress(p.read_bytes()).splitlines()) <= 701 for p in parts)
+    fact.write.option("header", True).csv(str(tmp_path / "plain"))
+    plain = sum(p.stat().st_size for p in (tmp_path / "plain").iterdir() if p.name.startswith("part-"))
+    assert sum(p.stat().st_size for p in parts) < plain / 3
+    accepted, rejected, counts = accounting.read_counted(spark, str(tmp_path / "fact"))
+    assert counts == {"read": 4000, "accepted": 2800, accounting.MALFORMED: 400, accounting.BAD_TIME: 400, accounting.BAD_TARGET: 400}
+    assert accepted.count() == 2800 and accepted.select("FlightID").distinct().count() == 1400 and rejected.count() == 1200
+    assert accepted.where("AircraftTypeGroup IS NULL").count() == 800
+    assert all(".zstd" in f for f in accepted.inputFiles()) and len(written) == 1
+
+
 def test_weights_are_poisson(spark):
     steps = resample.poisson_steps()
     share = np.diff([0, *steps, resample.PRIME]) / resample.PRIME
